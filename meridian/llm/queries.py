@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from meridian.llm import mixing, sharding
+from meridian.llm import language, media, mixing, sharding, substring_dedup
 
-_MODULES = (mixing, sharding)
+_MODULES = (substring_dedup, mixing, language, media, sharding)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
