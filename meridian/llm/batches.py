@@ -79,12 +79,18 @@ def word_spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(at, starts, "right") - 1
 
 
-def gram_hashes(words: np.ndarray, n: int, multiplier: int) -> np.ndarray:
-    """Hash of each run of n words, from the hashes of the words; the caller leaves out those that cross documents."""
-    if len(words) < n:
-        return np.zeros(0, np.uint64)
-    starts = np.arange(len(words) - n + 1)
-    return span_hashes(words, starts, starts + n, multiplier)
+def rolling_hashes(values: np.ndarray, n: int, multiplier: int) -> np.ndarray:
+    """Hash of each run of n values, equal to ``span_hashes`` of it; the caller leaves out runs that cross documents."""
+    out = np.empty(max(0, len(values) - n + 1), np.uint64)
+    for lo in range(0, len(out), _CHUNK):
+        hi = min(lo + _CHUNK, len(out))
+        part = values[lo : hi + n - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(multiplier, len(part)), out=sums[1:])
+        found = sums[n:] - sums[:-n]
+        found *= powers(multiplier, len(found), inverse=True)
+        out[lo:hi] = mixed(found ^ np.uint64(n << 48))
+    return out
 
 
 def in_batches(df: DataFrame, bytes_each: int = 1 << 20, text: str = "text") -> DataFrame:
@@ -146,3 +152,11 @@ def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     np.add.at(steps, starts, 1)
     np.add.at(steps, starts + length, -1)
     return np.cumsum(steps[:n]) > 0
+
+
+def packed_table(rows: list[tuple], schema: str) -> pa.Table:
+    """Messages as a table with the columns of a schema of long, int and binary."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], [name for name, _ in fields])

@@ -17,13 +17,12 @@ and stay separate rows; an empty table gives an empty result; texts are taken wh
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.batches import MULTIPLIERS, Batch, buckets_of, covered, cuts, gram_hashes, in_batches, narrow, span_hashes, widen
+from meridian.llm.batches import MULTIPLIERS, Batch, buckets_of, covered, cuts, in_batches, narrow, packed_table, rolling_hashes, span_hashes, widen
 from meridian.llm.common import documents, shuffle_partitions
 
 PROBE = "__bucket long, __batch long, n int, hashes binary, blocks binary, shared binary"
@@ -32,13 +31,6 @@ EXTEND = "__bucket long, __batch long, n int, hashes binary, ids binary, places
 REMOVE = "__batch long, places binary"
 
 
-def _table(rows: list[tuple], schema: str) -> pa.Table:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    fields = [x.split() for x in schema.split(", ")]
-    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
-    return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], [name for name, _ in fields])
-
-
 class _Runs:
     """The rolling runs of a batch by ascending hash; documents too short for a window take no part."""
 
@@ -46,7 +38,7 @@ class _Runs:
         self.size = window // 2 + 1
         starts, ends, row = batch.words()
         self.words = span_hashes(batch.raw, starts, ends, MULTIPLIERS[0])
-        runs = gram_hashes(self.words, self.size, MULTIPLIERS[1])
+        runs = rolling_hashes(self.words, self.size, MULTIPLIERS[1])
         n = len(runs)
         long_enough = np.diff(batch.first) >= window
         good = (row[:n] == row[self.size - 1 : self.size - 1 + n]) & long_enough[row[:n]]
@@ -75,7 +67,7 @@ class _Runs:
 
 def _probe(key: tuple, table: pa.Table, window: int, n_buckets: int) -> pa.Table:
     batch = Batch(table)
-    return _table(_Runs(batch, window).messages(batch, key[0].as_py(), n_buckets), PROBE)
+    return packed_table(_Runs(batch, window).messages(batch, key[0].as_py(), n_buckets), PROBE)
 
 
 def _hit(key: tuple, table: pa.Table) -> pa.Table:
@@ -95,13 +87,13 @@ def _hit(key: tuple, table: pa.Table) -> pa.Table:
     out[order] = np.repeat(live, stop - start)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     rows = [(b, key[0].as_py(), n, np.packbits(out[i : i + n]).tobytes()) for b, n, i in zip(table.column("__batch").to_pylist(), sizes, bounds[:-1], strict=True) if out[i : i + n].any()]
-    return _table(rows, HIT)
+    return packed_table(rows, HIT)
 
 
 def _extend(key: tuple, table: pa.Table, hits: pa.Table, window: int, n_buckets: int) -> pa.Table:
     """Windows around the hits, sent to the buckets of their hashes; those repeated within the batch are settled here."""
     if not hits.num_rows:
-        return _table([], EXTEND)
+        return packed_table([], EXTEND)
     batch = Batch(table)
     runs = _Runs(batch, window)
     buckets = buckets_of(runs.hash, n_buckets)
@@ -121,10 +113,10 @@ def _extend(key: tuple, table: pa.Table, hits: pa.Table, window: int, n_buckets:
     place = np.flatnonzero(np.cumsum(steps[:n_words]) > 0)
     place = place[place + window <= batch.first[batch.row[place] + 1]]
     if not len(place):
-        return _table([], EXTEND)
+        return packed_table([], EXTEND)
     second = span_hashes(batch.raw, batch.starts, batch.ends, MULTIPLIERS[1])
-    h1 = gram_hashes(runs.words, window, MULTIPLIERS[0])[place]
-    h2 = gram_hashes(second, window, MULTIPLIERS[1])[place]
+    h1 = rolling_hashes(runs.words, window, MULTIPLIERS[0])[place]
+    h2 = rolling_hashes(second, window, MULTIPLIERS[1])[place]
     order = np.lexsort((place, h2, h1))  # the places of equal windows ascend, and so do their ids
     h1, h2, place = h1[order], h2[order], place[order]
     ids = batch.ids[batch.row[place]]
@@ -138,7 +130,7 @@ def _extend(key: tuple, table: pa.Table, hits: pa.Table, window: int, n_buckets:
     to = buckets_of(h1, n_buckets)
     for a, b in zip(*cuts(to), strict=True):
         rows.append((int(to[a]), key[0].as_py(), int(b - a), h1[a:b].astype(np.uint32).tobytes() + h2[a:b].tobytes(), narrow(ids[a:b]), place[a:b].tobytes()))
-    return _table(rows, EXTEND)
+    return packed_table(rows, EXTEND)
 
 
 def _remove(key: tuple, table: pa.Table) -> pa.Table:
@@ -157,7 +149,7 @@ def _remove(key: tuple, table: pa.Table) -> pa.Table:
     gone = ids > least
     at = np.concatenate([[0], np.cumsum(sizes)])
     rows = [(b, np.frombuffer(p, np.uint32)[gone[i : i + n]].tobytes()) for b, n, p, i in zip(columns[0], columns[1], columns[4], at[:-1], strict=True) if gone[i : i + n].any()]
-    return _table(rows, REMOVE)
+    return packed_table(rows, REMOVE)
 
 
 def _kept(table: pa.Table, removed: pa.Table, window: int, keep: tuple[str, ...]) -> pa.Table:
