@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from meridian.llm import byte_dedup, language, media, mixing, sharding, substring_dedup
+from meridian.llm import byte_dedup, language, media, mixing, sharding, simhash, substring_dedup
 
-_MODULES = (substring_dedup, mixing, language, media, byte_dedup, sharding)
+_MODULES = (substring_dedup, mixing, language, media, simhash, byte_dedup, sharding)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
