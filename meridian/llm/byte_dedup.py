@@ -263,6 +263,23 @@ def _all_windows(batches):
         yield pa.record_batch([b.column("__batch"), b.column("places"), pa.array(bits, pa.binary())], ["__batch", "places", "windows"])
 
 
+def _as_text(batches):
+    for b in batches:
+        texts = [x.decode("utf-8", "ignore") for x in b.column("kept").to_pylist()]
+        rest = [c for c in b.schema.names if c != "kept"]
+        yield pa.record_batch([*[b.column(c) for c in rest], pa.array(texts, pa.string())], [*rest, "kept"])
+
+
+def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+    """``docs`` with what is kept as text; of a character that was cut in two, no part is kept. n_chars, where it is there, is counted anew."""
+    rest = [c for c in docs.columns if c != "text"]
+    found = remove_repeated_bytes(docs, length, keep=tuple(rest)).select(*rest, "kept")
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in found.dtypes if c != "kept")
+    found = found.mapInArrow(_as_text, f"{schema}, kept string")
+    changed = {"text": F.col("kept")} | ({"n_chars": F.length("kept").cast("long")} if "n_chars" in rest else {})
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+
+
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated_bytes(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

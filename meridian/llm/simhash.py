@@ -231,6 +231,107 @@ def near_duplicate_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks
     return prints.join(points.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+# --- near duplicates by similarity: wide fingerprints find, shingle sets decide ---
+
+#: Bits of 128 in which wide fingerprints of candidates may differ: two shingle sets of similarity 0.8 differ in 19 on average, 4 standard.
+CANDIDATE_BITS = 32
+#: Blocks of 23 bits in the wide fingerprint whose anchors are visited; a pair of similarity 0.8 meets in one of the three with 98 %.
+BLOCK_STARTS = (0, 23, 64)
+
+
+def _forest(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
+    """Places of the edges of a minimum spanning forest: each tree takes its lightest edge, until none is left."""
+    label, key = np.arange(n), np.empty(len(w), np.int64)
+    key[np.argsort(w, kind="stable")] = np.arange(len(w))  # all different, so that trees agree on what is lighter
+    chosen, todo = np.zeros(len(w), bool), np.arange(len(w))
+    while True:
+        x, y = label[a[todo]], label[b[todo]]
+        apart = x != y
+        todo, x, y = todo[apart], x[apart], y[apart]
+        if not len(todo):
+            return np.flatnonzero(chosen)
+        least = np.full(n, len(w), np.int64)
+        np.minimum.at(least, x, key[todo])
+        np.minimum.at(least, y, key[todo])
+        mine = (key[todo] == least[x]) | (key[todo] == least[y])
+        chosen[todo[mine]] = True
+        x, y = x[mine], y[mine]
+        parent = np.arange(n)
+        while len(x):
+            np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+            while (parent[parent] != parent).any():
+                parent = parent[parent]
+            x, y = parent[x], parent[y]
+            x, y = x[x != y], y[x != y]
+        label = parent[label]
+
+
+def _candidates(table: pa.Table, most: int) -> pa.Table:
+    """The closest links of the documents that meet at an anchor: a minimum spanning forest by differing bits."""
+    ids = table.column("doc_id").to_numpy()
+    ids, first = np.unique(ids, return_index=True)
+    lanes = [table.column(c).to_numpy().view(np.uint64)[first] for c in ("fp", "fp2")]
+    n = len(ids)
+    a = b = w = np.zeros(0, np.int64)
+    for lo in range(0, n, 256):
+        near = sum(np.bitwise_count(x[lo : lo + 256, None] ^ x[None, lo:]) for x in lanes)
+        i, j = np.nonzero(near <= most)
+        some = i < j
+        i, j = i[some], j[some]
+        a, b, w = np.concatenate([a, i + lo]), np.concatenate([b, j + lo]), np.concatenate([w, near[i, j]])
+        if len(a) > 4 * n:
+            keep = _forest(a, b, w, n)
+            a, b, w = a[keep], b[keep], w[keep]
+    keep = _forest(a, b, w, n)
+    return pa.table([pa.array(ids[a[keep]]), pa.array(ids[b[keep]])], ["a", "b"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            hashes, begin = shingles(*text_bytes(part.column("text")), words)
+            sets = [np.unique(hashes[i:j]).tobytes() for i, j in zip(begin[:-1], begin[1:], strict=True)]
+            yield pa.record_batch([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
+
+
+def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = []
+        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(both >= least * (len(x) + len(y) - both) and both > 0)
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one document, that of the smallest doc_id, of each group of near duplicates.
+
+    Groups are joined by equal texts and by links of Jaccard similarity of ``similarity`` or more between sets of word shingles. Candidates
+    are the closest links at each anchor of wide fingerprints, and the sets of shingles decide on each of them. Rows with one doc_id are one
+    document, with the smallest of its texts for comparison; rows with a null doc_id stay; a null text is an empty one.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    named = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    # One document of each text; of equal texts the smallest doc_id, and one row of each doc_id.
+    heads = named.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("h")).agg(F.min("doc_id").alias("doc_id"))
+    heads = materialise(heads.groupBy("doc_id").agg(F.min("h").alias("h")), "heads")
+    rows = named.withColumn("h", F.sha2(F.col("text").cast("binary"), 256)).join(heads, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id"])
+    prints = materialise(fingerprints(rows, words, wide=True), "wide-fingerprints")
+    met = meetings(prints, 1, BLOCK_STARTS)
+    links = met.groupBy("anchor", "one", "two").applyInArrow(lambda t: _candidates(t, CANDIDATE_BITS), "a long, b long").distinct()
+    links = materialise(links, "candidates")
+    nodes = links.select(F.col("a").alias("doc_id")).unionAll(links.select("b")).distinct()
+    sets = rows.join(nodes, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: _sets(it, words), "doc_id long, shingles binary")
+    sets = materialise(sets, "shingles")
+    paired = links.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+    paired = paired.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    similar = paired.select("a", "b", "x", "y").mapInArrow(lambda it: _similar(it, similarity), "a long, b long")
+    lost = components(similar).select(F.col("node").alias("doc_id"))
+    kept = heads.select("doc_id").join(lost, "doc_id", "left_anti")
+    return docs.where(F.col("doc_id").isNull()).unionByName(docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicate_groups(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
