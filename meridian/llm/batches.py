@@ -19,7 +19,7 @@ from meridian.llm.common import shuffle_partitions, text_bytes
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: A null doc_id comes after all others.
 LAST = np.iinfo(np.int64).max
-_CHUNK = 1 << 20
+_CHUNK = 1 << 17
 _tables: dict[tuple[int, bool], np.ndarray] = {}
 
 
@@ -28,7 +28,7 @@ def powers(multiplier: int, n: int, inverse: bool = False) -> np.ndarray:
     table = _tables.get((multiplier, inverse))
     if table is None or len(table) < n:
         base = pow(multiplier, -1, 1 << 64) if inverse else multiplier
-        table = np.full(max(n, _CHUNK + 1), base, np.uint64)
+        table = np.full(max(n, _CHUNK + 64), base, np.uint64)
         table[0] = 1
         table = np.cumprod(table, dtype=np.uint64)
         if len(table) <= 4 * _CHUNK:
@@ -96,7 +96,7 @@ def rolling_hashes(values: np.ndarray, n: int, multiplier: int) -> np.ndarray:
 def in_batches(df: DataFrame, bytes_each: int = 1 << 20, text: str = "text") -> DataFrame:
     """``df`` with ``__batch``; so many that one holds about ``bytes_each`` of text, whatever the size of the table."""
     total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    n = max(2 * shuffle_partitions(df.sparkSession), -(-total // bytes_each))
+    n = max(shuffle_partitions(df.sparkSession), -(-total // bytes_each))
     return df.withColumn("__batch", F.pmod(F.xxhash64("doc_id", text, F.lit(17)), F.lit(int(n))))
 
 

@@ -243,7 +243,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, keep: tuple[str, ..
     if not ANCHOR < length <= ANCHOR + 31:
         raise ValueError(f"length must be {ANCHOR + 1} to {ANCHOR + 31}")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = int(max(4 * shuffle_partitions(docs.sparkSession), total // (2 * shard_bytes)))
+    n_buckets = int(max(shuffle_partitions(docs.sparkSession), total // (2 * shard_bytes)))
     rows = in_batches(docs.select(*dict.fromkeys(["doc_id", "text", *keep])), batch_bytes)
     by_batch = rows.groupBy("__batch")
     live = by_batch.applyInArrow(lambda key, t: _anchors(key, t, length, n_buckets), ANCHORS).groupBy("__bucket").applyInArrow(lambda key, t: _live(key, t, hot), LIVE)
@@ -266,18 +266,16 @@ def _all_windows(batches):
 def _as_text(batches):
     for b in batches:
         texts = [x.decode("utf-8", "ignore") for x in b.column("kept").to_pylist()]
-        rest = [c for c in b.schema.names if c != "kept"]
-        yield pa.record_batch([*[b.column(c) for c in rest], pa.array(texts, pa.string())], [*rest, "kept"])
+        yield pa.record_batch([b.column("row"), pa.array(texts, pa.string())], ["row", "kept"])
 
 
 def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     """``docs`` with what is kept as text; of a character that was cut in two, no part is kept. n_chars, where it is there, is counted anew."""
-    rest = [c for c in docs.columns if c != "text"]
-    found = remove_repeated_bytes(docs, length, keep=tuple(rest)).select(*rest, "kept")
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in found.dtypes if c != "kept")
-    found = found.mapInArrow(_as_text, f"{schema}, kept string")
-    changed = {"text": F.col("kept")} | ({"n_chars": F.length("kept").cast("long")} if "n_chars" in rest else {})
-    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+    found = remove_repeated_bytes(rows, length, keep=("row",)).select("row", "kept")
+    found = found.mapInArrow(_as_text, f"row {dict(rows.dtypes)['row']}, kept string")
+    changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,7 +186,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep: tuple[str, ...] = ("
     spark = docs.sparkSession
     rows = in_batches(docs.select(*dict.fromkeys(["doc_id", "text", *keep])), batch_bytes)
     words = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = int(max(4 * shuffle_partitions(spark), words // 6 // entries_each))
+    n_buckets = int(max(shuffle_partitions(spark), words // 6 // entries_each))
     by_batch = rows.groupBy("__batch")
     probes = by_batch.applyInArrow(lambda key, docs: _probe(key, docs, window, n_buckets), PROBE)
     hits = probes.groupBy("__bucket").applyInArrow(lambda key, sent: _hit(key, sent), HIT)
