@@ -88,7 +88,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> Iterator[pa.RecordBatch]:
         for lang, counts in totals.items():
-            yield pa.record_batch([pa.array([lang] * len(counts)), pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], ["lang", "trigram", "n"])
+            yield pa.record_batch([pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], ["lang", "trigram", "n"])
         totals.clear()
 
     for batch in batches:
@@ -120,7 +120,7 @@ def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mine = langs[start:stop] == lang
                 sums[lang] = sums.get(lang, 0) + n[start:stop][mine] @ vectors[mine]
     for lang, v in sums.items():
-        yield pa.record_batch([pa.array([lang]), pa.array([v.tolist()], pa.list_(pa.float64()))], ["lang", "vector"])
+        yield pa.record_batch([pa.array([lang], pa.string()), pa.array([v.tolist()], pa.list_(pa.float64()))], ["lang", "vector"])
 
 
 def prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:

@@ -83,12 +83,12 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, max_epochs: float = 2.0
     numbered = docs.withColumn("__size", word_count()).withColumn("__no", F.row_number().over(same))
     plan = mix(docs, share, max_epochs, seed).where("repeats > 0 or part_words > 0")
     plan = plan.withColumn("__no", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("repeats", "part_words")))
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__src"), F.col("size").alias("__n"), F.col("__no").alias("__k"), "repeats", "part_words")
+    plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__src"), F.col("size").alias("__n"), F.col("__no").alias("__k"), F.col("repeats").alias("__repeats"), F.col("part_words").alias("__part"))
     on = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__src")) & (F.col("__size") == F.col("__n")) & (F.col("__no") == F.col("__k"))
     taken = numbered.join(plan, on)
-    taken = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats") + F.when(F.col("part_words") > 0, 1).otherwise(0))))
-    part = F.expr(f"array_join(slice(regexp_extract_all(text, '{WORD}', 0), 1, cast(part_words as int)), ' ')".replace("\\", "\\\\"))
-    text = F.when(F.col("__copy") > F.col("repeats"), part).otherwise(F.col("text"))
+    taken = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__repeats") + F.when(F.col("__part") > 0, 1).otherwise(0))))
+    leading = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("__part").cast("int")), " ")
+    text = F.when(F.col("__copy") > F.col("__repeats"), leading).otherwise(F.col("text"))
     changed = {"text": text} | ({"n_chars": F.length(text).cast("long")} if "n_chars" in docs.columns else {})
     return taken.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
 

@@ -30,6 +30,8 @@ EMBED, HIDDEN = 8, 8
 WORDS, GRAMS = 1 << 15, 1 << 13
 #: Training texts that are toxic, at most; of the others twice as many.
 MOST = 1500
+#: Windows of a training step, and steps of the first phase at least; a round takes half as many.
+BATCH, STEPS = 192, 100
 SLICE, CHUNK = 1 << 19, 2048
 #: Bytes that make up words: ASCII letters, digits and all of the longer characters.
 _WORD = np.zeros(256, bool)
@@ -217,19 +219,25 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11, rounds: int = 3)
 
     def fit(chosen: np.ndarray) -> None:
         rng.shuffle(chosen)
-        for k in range(0, len(chosen), 256):
-            some = chosen[k : k + 256]
+        for k in range(0, len(chosen), BATCH):
+            some = chosen[k : k + BATCH]
             net_words, places = _narrowed(words, at[some])
             adam.step(net.w, net.gradients(net_words, places, labels[text[some]].astype(np.float32), balance[text[some]], rng.integers(0, 2, (len(net_words.word), 1)).astype(np.float32)))
 
-    for _ in range(2):
+    def passes(size: int, least: int) -> int:
+        """Passes over ``size`` windows, so that there are at least so many steps."""
+        return max(1, -(-least * BATCH // max(size, 1)))
+
+    for _ in range(1 + passes(6 * len(fitted), STEPS)):
         fit(np.concatenate([rng.choice(np.arange(a, b), min(6, b - a), replace=False) for a, b in zip(first[fitted], first[fitted + 1], strict=True)]))
     for k in range(rounds):
         logit = net.logits(words, at)
         order = np.lexsort((-logit, text))
         adam.rate = 0.01 / (1 + k)
         # The highest window of a toxic text, and the highest three of another.
-        fit(np.concatenate([order[a : min(b, a + (1 if y else 3))] for a, b, y in zip(first[fitted], first[fitted + 1], labels[fitted], strict=True)]))
+        high = np.concatenate([order[a : min(b, a + (1 if y else 3))] for a, b, y in zip(first[fitted], first[fitted + 1], labels[fitted], strict=True)])
+        for _ in range(passes(len(high), STEPS // 2)):
+            fit(high)
     high, known = np.maximum.reduceat(net.logits(words, at), first[:-1]).astype(np.float64), labels
     if len(set(labels[back].tolist())) == 2:
         high, known = high[back], labels[back]
@@ -273,18 +281,19 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST, seed: int = 11)
     return train([r["text"] for r in rows], y, seed)
 
 
-def _score(batches: Iterator[pa.RecordBatch], net: Network | None) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], net: Network | None, into: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             score = net.scores(part.column("text").to_pylist()) if net else np.zeros(part.num_rows)
-            yield pa.record_batch([*part.columns, pa.array(score, pa.float64())], [*part.schema.names, "score"])
+            yield pa.record_batch([*part.columns, pa.array(score, pa.float64())], [*part.schema.names, into])
 
 
-def score(docs: DataFrame, net: Network | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with ``score`` (0 to 1)."""
+def score(docs: DataFrame, net: Network | None, keep: tuple[str, ...] = ("doc_id",), into: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs``, but one named as ``into``, with the score (0 to 1) in ``into``."""
+    keep = tuple(c for c in keep if c != into)
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes)
-    return rows.mapInArrow(lambda it: _score(it, net), f"{schema}, score double").select(*keep, "score")
+    return rows.mapInArrow(lambda it: _score(it, net, into), f"{schema}, `{into}` double").select(*keep, into)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
