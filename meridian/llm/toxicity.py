@@ -6,7 +6,8 @@ reads from the left, one from the right, attention pools their states, and a log
 its highest window, calibrated on the training texts.
 
 Training takes a bounded sample of labelled texts that are not held out, ``most`` toxic ones and twice as many others by a seeded order, and
-whole texts of these: first random windows with the label of their text, then, in rounds, the highest windows of each text alone.
+whole texts of these: first the windows whose words or trigrams are commonest in toxic texts against others, and random ones of the others;
+then, in rounds, the highest windows of each text by the network itself.
 
 Defined results: a null text counts as the empty one; texts without words get the score of a window without words, at most that of a text
 that says nothing; without labelled rows of both classes every score is 0; a null doc_id is held out; labels other than 0 and 1 are left
@@ -218,7 +219,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11, rounds: int = 3)
     balance = np.where(labels == 1, (labels == 0).mean(), (labels == 1).mean()) * 2
 
     def fit(chosen: np.ndarray) -> None:
-        rng.shuffle(chosen)
+        chosen = rng.permutation(chosen)
         for k in range(0, len(chosen), BATCH):
             some = chosen[k : k + BATCH]
             net_words, places = _narrowed(words, at[some])
@@ -228,8 +229,15 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11, rounds: int = 3)
         """Passes over ``size`` windows, so that there are at least so many steps."""
         return max(1, -(-least * BATCH // max(size, 1)))
 
-    for _ in range(1 + passes(6 * len(fitted), STEPS)):
-        fit(np.concatenate([rng.choice(np.arange(a, b), min(6, b - a), replace=False) for a, b in zip(first[fitted], first[fitted + 1], strict=True)]))
+    hint = _hints(words, text, at, labels, ~back)
+    order = np.lexsort((-hint, text))
+    start = []
+    for i in fitted:
+        lo, hi = first[i], first[i + 1]
+        start += [order[lo : min(hi, lo + 1 + labels[i])], rng.choice(np.arange(lo, hi), min(2, hi - lo), replace=False) if not labels[i] else order[:0]]
+    start = np.concatenate(start)
+    for _ in range(1 + passes(len(start), STEPS)):
+        fit(start)
     for k in range(rounds):
         logit = net.logits(words, at)
         order = np.lexsort((-logit, text))
@@ -241,16 +249,40 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11, rounds: int = 3)
     high, known = np.maximum.reduceat(net.logits(words, at), first[:-1]).astype(np.float64), labels
     if len(set(labels[back].tolist())) == 2:
         high, known = high[back], labels[back]
-    # Calibration: a logistic curve over the highest logits, by Newton steps with a little shrinkage.
+    # Calibration: a logistic curve over the highest logits, by Newton steps that are halved until they help; a prior holds it near the logits.
     x, beta = np.stack([high, np.ones_like(high)], 1), np.array([1.0, 0.0])
+    loss = lambda b: float((np.logaddexp(0, x @ b) - known * (x @ b)).sum() + ((b - [1.0, 0.0]) ** 2).sum() / 2)
     for _ in range(25):
         p = _sigmoid(x @ beta)
-        h = (x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(2)
-        beta = np.clip(beta - np.linalg.solve(h, x.T @ (p - known) + 0.01 * (beta - np.array([1.0, 0.0]))), -50, 50)
+        slope, curve = x.T @ (p - known) + beta - np.array([1.0, 0.0]), (x * (p * (1 - p))[:, None]).T @ x + np.eye(2)
+        step = np.linalg.solve(curve, slope)
+        while loss(beta - step) > loss(beta) and np.abs(step).max() > 1e-9:
+            step /= 2
+        beta = beta - step
     net.slope, net.shift = max(float(beta[0]), 1e-3), float(beta[1])
     return net
 
 
+def _hints(words: Words, text: np.ndarray, at: np.ndarray, labels: np.ndarray, use: np.ndarray) -> np.ndarray:
+    """For each window the largest log odds, over its words and their trigrams, of being in a toxic text, counted over the texts in ``use``."""
+    toxic, other = use & (labels == 1), use & (labels == 0)
+    inside = at >= 0
+    pair = np.unique(np.repeat(text, WINDOW).reshape(at.shape)[inside] * len(words.word) + at[inside])
+    row, word = pair // len(words.word), pair % len(words.word)
+
+    def odds(row: np.ndarray, feature: np.ndarray, n: int) -> np.ndarray:
+        seen = [np.bincount(feature[group[row]], minlength=n) for group in (toxic, other)]
+        return np.log((seen[0] + 0.5) / (toxic.sum() + 1)) - np.log((seen[1] + 0.5) / (other.sum() + 1))
+
+    of_word = odds(row, word, len(words.word))
+    size = words.gram_size[word]
+    gram = words.gram[np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - words.gram_start[word], size)]
+    both = np.unique(np.repeat(row, size) * GRAMS + gram)
+    of_gram = odds(both // GRAMS, both % GRAMS, GRAMS)
+    best = np.maximum(of_word, np.maximum.reduceat(of_gram[words.gram], words.gram_start))
+    return np.append(best, -np.inf)[at].max(axis=1)
+
+
 def _narrowed(words: Words, at: np.ndarray) -> tuple[Words, np.ndarray]:
     """Only the distinct words that these windows use."""
     used, place = np.unique(at, return_inverse=True)
