@@ -22,16 +22,23 @@ def pixels_in_polygons(pixels: DataFrame, edges: DataFrame, band: float = 8.0) -
     return inside.groupBy("row", "col").agg(F.max_by("location_id", "shape_order").alias("location_id"))
 
 
-def shapes_of_blocks(bounds: DataFrame, blocks: DataFrame, buffer: int = 10) -> DataFrame:
+def shapes_of_blocks(bounds: DataFrame, blocks: DataFrame, buffer: int = 10, tile: float = 64.0) -> DataFrame:
     """Which shapes touch which block, and their pixel window in it: a buffer around, cut at the block.
 
     ``bounds``: location_id, xmin, ymin, xmax, ymax; ``blocks``: block_key, bxmin, bymin, bxmax, bymax, in pixels of size 1, rows downwards.
+    Both are listed by the square tiles that they touch and joined on the tile; a pair counts in the first tile that both touch.
     """
+    at = lambda c: F.floor(F.col(c) / F.lit(tile))
+
+    def listed(df: DataFrame, x0: str, y0: str, x1: str, y1: str) -> DataFrame:
+        return df.withColumn("__tx", F.explode(F.sequence(at(x0), at(x1)))).withColumn("__ty", F.explode(F.sequence(at(y0), at(y1))))
+
+    both = listed(blocks, "bxmin", "bymin", "bxmax", "bymax").join(listed(bounds, "xmin", "ymin", "xmax", "ymax"), ["__tx", "__ty"])
+    first = (F.col("__tx") == F.greatest(at("bxmin"), at("xmin"))) & (F.col("__ty") == F.greatest(at("bymin"), at("ymin")))
     meets = (F.col("xmin") <= F.col("bxmax")) & (F.col("xmax") >= F.col("bxmin")) & (F.col("ymin") <= F.col("bymax")) & (F.col("ymax") >= F.col("bymin"))
-    both = blocks.join(F.broadcast(bounds) if buffer < 0 else bounds, meets)
     width, height = F.col("bxmax") - F.col("bxmin"), F.col("bymax") - F.col("bymin")
     cut = lambda x, top: F.greatest(F.lit(0), F.least(top, x)).cast("int")
-    return both.select(
+    return both.where(first & meets).select(
         "block_key", "location_id",
         cut(F.floor(F.col("xmin") - F.col("bxmin")) - buffer, width).alias("col_start"), cut(F.ceil(F.col("xmax") - F.col("bxmin")) + buffer, width).alias("col_stop"),
         cut(F.floor(F.col("ymin") - F.col("bymin")) - buffer, height).alias("row_start"), cut(F.ceil(F.col("ymax") - F.col("bymin")) + buffer, height).alias("row_stop"),
