@@ -27,7 +27,7 @@ from meridian.llm.common import documents, slices
 
 SLICE = 1 << 20
 #: Pieces kept with their ids between slices, at most.
-KNOWN = 150_000
+KNOWN = 100_000
 #: Longest piece (in signs) that is merged together with others.
 SHORT = 64
 NONE = np.iinfo(np.int64).max
@@ -86,9 +86,9 @@ class Vocabulary:
         ids = data["model"]["vocab"]
         merges = [m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.tokens = {i: t for t, i in ids.items()} | {i: t for t, i in self.special.items()}
-        self.token_table = np.array([self.tokens.get(i) for i in range(max(self.tokens) + 1)], object)
-        self.size = max(self.tokens) + 1
+        tokens = {i: t for t, i in ids.items()} | {i: t for t, i in self.special.items()}
+        self.size = max(tokens) + 1
+        self.token_table = np.array([tokens.get(i) for i in range(self.size)], object)
         # Spelling: the id of each byte inside a word and at its end; -1 where the vocabulary lacks it.
         self.inner = np.array([ids.get(s, -1) for s in byte_signs()], np.int64)
         self.last = np.array([ids.get(s + END, -1) for s in byte_signs()], np.int64)
@@ -317,9 +317,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select(*rest, "ids").mapInArrow(lambda it: _decode(it, path), f"{_schema(encoded, rest)}, ids binary, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """What ``decode(encode(docs))`` gives, in one pass: a slice of texts is decoded by the worker that encoded it, so no batch of ids waits."""
+    rows = docs.select(*keep, "text")
+    return rows.mapInArrow(lambda it: _decode(_encode(it, path), path), f"{_schema(rows, list(keep))}, n_tokens long, ids binary, decoded string")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = default_vocabulary()
-    found = decode(encode(documents(spark, sf_dir), path), path)
+    found = round_trip(documents(spark, sf_dir), path)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -50,7 +50,8 @@ class Words:
         bounds = np.cumsum([len(p) + 1 for p in parts]) if parts else np.zeros(0, np.int64)
         self.count = np.diff(np.concatenate([[0], np.searchsorted(starts, bounds)]))
         hashes = span_hashes(raw, starts, ends, MULTIPLIERS[0])
-        distinct, first, self.at = np.unique(hashes, return_index=True, return_inverse=True)
+        distinct, first, at = np.unique(hashes, return_index=True, return_inverse=True)
+        self.at = at.astype(np.int32)
         self.word = (distinct >> np.uint64(20)).astype(np.int64) % WORDS
         # Trigrams of "<word>": one for each byte, centred on it.
         s, e = starts[first], ends[first]
@@ -69,11 +70,11 @@ class Words:
         text = np.repeat(np.arange(len(n)), n)
         begin = np.cumsum(self.count) - self.count
         step = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * STRIDE
-        place = step[:, None] + np.arange(WINDOW)
-        inside = place < self.count[text][:, None]
-        if not len(self.at):
-            return np.full(place.shape, -1), text
-        return np.where(inside, self.at[np.where(inside, place + begin[text][:, None], 0)], -1), text
+        out = np.full((len(text), WINDOW), -1, np.int32)
+        for t in range(WINDOW):
+            inside = np.flatnonzero(step + t < self.count[text])
+            out[inside, t] = self.at[begin[text[inside]] + step[inside] + t]
+        return out, text
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -239,14 +240,13 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11, rounds: int = 3)
     for _ in range(1 + passes(len(start), STEPS)):
         fit(start)
     for k in range(rounds):
-        logit = net.logits(words, at)
-        order = np.lexsort((-logit, text))
+        order = np.lexsort((-_all_logits(net, words, at), text))
         adam.rate = 0.01 / (1 + k)
         # The highest window of a toxic text, and the highest three of another.
         high = np.concatenate([order[a : min(b, a + (1 if y else 3))] for a, b, y in zip(first[fitted], first[fitted + 1], labels[fitted], strict=True)])
         for _ in range(passes(len(high), STEPS // 2)):
             fit(high)
-    high, known = np.maximum.reduceat(net.logits(words, at), first[:-1]).astype(np.float64), labels
+    high, known = np.maximum.reduceat(_all_logits(net, words, at), first[:-1]).astype(np.float64), labels
     if len(set(labels[back].tolist())) == 2:
         high, known = high[back], labels[back]
     # Calibration: a logistic curve over the highest logits, by Newton steps that are halved until they help; a prior holds it near the logits.
@@ -265,22 +265,24 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11, rounds: int = 3)
 
 def _hints(words: Words, text: np.ndarray, at: np.ndarray, labels: np.ndarray, use: np.ndarray) -> np.ndarray:
     """For each window the largest log odds, over its words and their trigrams, of being in a toxic text, counted over the texts in ``use``."""
-    toxic, other = use & (labels == 1), use & (labels == 0)
-    inside = at >= 0
-    pair = np.unique(np.repeat(text, WINDOW).reshape(at.shape)[inside] * len(words.word) + at[inside])
-    row, word = pair // len(words.word), pair % len(words.word)
-
-    def odds(row: np.ndarray, feature: np.ndarray, n: int) -> np.ndarray:
-        seen = [np.bincount(feature[group[row]], minlength=n) for group in (toxic, other)]
-        return np.log((seen[0] + 0.5) / (toxic.sum() + 1)) - np.log((seen[1] + 0.5) / (other.sum() + 1))
-
-    of_word = odds(row, word, len(words.word))
-    size = words.gram_size[word]
-    gram = words.gram[np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - words.gram_start[word], size)]
-    both = np.unique(np.repeat(row, size) * GRAMS + gram)
-    of_gram = odds(both // GRAMS, both % GRAMS, GRAMS)
-    best = np.maximum(of_word, np.maximum.reduceat(of_gram[words.gram], words.gram_start))
-    return np.append(best, -np.inf)[at].max(axis=1)
+    first = np.searchsorted(text, np.arange(len(labels) + 1))
+    seen_word, seen_gram = np.zeros((2, len(words.word)), np.int64), np.zeros((2, GRAMS), np.int64)
+    for i in np.flatnonzero(use):
+        word = np.unique(at[first[i] : first[i + 1]])
+        word = word[word >= 0]
+        size = words.gram_size[word]
+        gram = words.gram[np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - words.gram_start[word], size)]
+        seen_word[labels[i], word] += 1
+        seen_gram[labels[i], np.unique(gram)] += 1
+    n = np.bincount(labels[use], minlength=2) + 1
+    of_word, of_gram = (np.log((seen[1] + 0.5) / n[1]) - np.log((seen[0] + 0.5) / n[0]) for seen in (seen_word, seen_gram))
+    best = np.append(np.maximum(of_word, np.maximum.reduceat(of_gram[words.gram], words.gram_start)), -np.inf).astype(np.float32)
+    return np.concatenate([best[at[k : k + CHUNK]].max(axis=1) for k in range(0, len(at), CHUNK)])
+
+
+def _all_logits(net: Network, words: Words, at: np.ndarray) -> np.ndarray:
+    """Logits of all windows of a training sample; each run of windows has its own few words, so that the inputs of all are never there at once."""
+    return np.concatenate([net.logits(*_narrowed(words, at[k : k + CHUNK])) for k in range(0, len(at), CHUNK)])
 
 
 def _narrowed(words: Words, at: np.ndarray) -> tuple[Words, np.ndarray]:
