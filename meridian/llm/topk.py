@@ -42,29 +42,25 @@ class Lists:
     """Sorted lists of the components of some rows."""
 
     def __init__(self, x: np.ndarray, ids: np.ndarray):
-        order = np.argsort(x, axis=0, kind="stable")
-        self.x, self.ids = x, ids
-        self.sorted = np.take_along_axis(x, order, axis=0)
-        self.rank = np.empty(x.shape, np.int32)
-        np.put_along_axis(self.rank, order, np.arange(len(x), dtype=np.int32)[:, None], axis=0)
+        self.x, self.ids, self.sorted = x, ids, np.sort(x, axis=0)
 
     def best(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """vec_ids and scores of the k best rows but ``own``."""
-        n = len(self.x)
-        left = np.flatnonzero(self.ids != own)
-        up = q > 0
+        """vec_ids and scores of the k best rows but ``own``.
+
+        A list is read from the end that adds most, to ``last``. What adds at least that much has been read; of the rest a bound is known.
+        """
+        n, up = len(self.x), q > 0
         least = q * np.where(up, self.sorted[0], self.sorted[-1])
-        depth = 0
+        left, depth = np.flatnonzero(self.ids != own), 0
+        adds = self.x[left] * q
         while len(left) > 2 * k and depth < n:
-            depth = min(n, depth + max(64, n // 4))
+            depth = min(n, depth + max(64, n // 3))
             last = q * np.where(up, self.sorted[n - depth], self.sorted[depth - 1])
-            rank = self.rank[left]
-            seen = np.where(up, rank >= n - depth, rank < depth)
-            read = self.x[left] * q
-            upper = np.where(seen, read, last).sum(axis=1)
-            lower = np.where(seen, read, least).sum(axis=1)
-            left = left[upper >= np.partition(lower, len(lower) - k)[len(lower) - k]]
-        score = self.x[left] @ q
+            upper = np.maximum(adds, last).sum(axis=1, dtype=q.dtype)
+            lower = np.where(adds >= last, adds, least).sum(axis=1, dtype=q.dtype)
+            keep = upper >= np.partition(lower, len(lower) - k)[len(lower) - k]
+            left, adds = left[keep], adds[keep]
+        score = adds.sum(axis=1, dtype=np.int64)
         order = np.lexsort((self.ids[left], -score))[:k]
         return self.ids[left][order], score[order]
 
