@@ -66,6 +66,15 @@ def shingles(raw: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return hashes, np.append(begin, len(hashes))
 
 
+def distinct(hashes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each hash of a row once, sorted, and where each row's begin."""
+    row = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    order = np.lexsort((hashes, row))
+    hashes = hashes[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1]))[: len(hashes)]  # rows are in order already
+    return hashes[new], np.append(0, np.cumsum(np.bincount(row[new], minlength=len(begin) - 1)))
+
+
 def majority(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """For each row the 64 bits that more than half of its hashes have set; 0 for a row without hashes."""
     count = np.diff(begin)
@@ -88,6 +97,8 @@ def _fingerprint(batches: Iterator[pa.RecordBatch], words: int, wide: bool) -> I
         rest = [c for c in batch.schema.names if c != "text"]
         for part in slices(batch, "text", SLICE):
             hashes, begin = shingles(*text_bytes(part.column("text")), words)
+            if wide:
+                hashes, begin = distinct(hashes, begin)
             found = [majority(hashes, begin)]
             if wide:
                 found.append(majority(mixed(hashes), begin))
@@ -95,7 +106,7 @@ def _fingerprint(batches: Iterator[pa.RecordBatch], words: int, wide: bool) -> I
 
 
 def fingerprints(docs: DataFrame, words: int = 4, wide: bool = False, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with the fingerprint ``fp`` as a signed number; ``wide``: with 64 further bits in ``fp2``."""
+    """The columns ``keep`` of ``docs`` with the fingerprint ``fp`` as a signed number; ``wide``: with 64 further bits in ``fp2``, both of distinct shingles."""
     rows = docs.select(*keep, "text")
     schema = ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes if c in keep)
     return rows.mapInArrow(lambda it: _fingerprint(it, words, wide), f"{schema}, fp long" + ", fp2 long" * wide)
@@ -289,8 +300,8 @@ def _candidates(table: pa.Table, most: int) -> pa.Table:
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text", SLICE):
-            hashes, begin = shingles(*text_bytes(part.column("text")), words)
-            sets = [np.unique(hashes[i:j]).tobytes() for i, j in zip(begin[:-1], begin[1:], strict=True)]
+            hashes, begin = distinct(*shingles(*text_bytes(part.column("text")), words))
+            sets = [hashes[i:j].tobytes() for i, j in zip(begin[:-1], begin[1:], strict=True)]
             yield pa.record_batch([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
 
 

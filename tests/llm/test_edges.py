@@ -130,6 +130,14 @@ def test_simhash(docs, empty):
     assert simhash.drop_near_duplicates(empty).count() == 0
 
 
+def test_near_copies_with_repeated_lines(spark):
+    """Sets decide, so a line that one copy repeats does not keep it: of 296 and 300 distinct shingles 296 are shared."""
+    body = " ".join(f"body{i}" for i in range(300))
+    rows = [(1, body), (2, body + " body295 body296 body297 body298 body299" * 400), (3, " ".join(f"other{i}" for i in range(300)))]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
 def test_bpe(docs, empty):
     path = bpe.default_vocabulary()
     got = by_id(bpe.decode(bpe.encode(docs, path), path))
