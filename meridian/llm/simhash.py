@@ -100,16 +100,20 @@ def _fingerprint(batches: Iterator[pa.RecordBatch], words: int, wide: bool) -> I
             if wide:
                 hashes, begin = distinct(hashes, begin)
             found = [majority(hashes, begin)]
+            more = []
             if wide:
                 found.append(majority(mixed(hashes), begin))
-            yield pa.record_batch([*[part.column(c) for c in rest], *[pa.array(x.view(np.int64)) for x in found]], [*rest, *["fp", "fp2"][: len(found)]])
+                same = [xxhash.xxh3_128_digest(hashes[i:j], SEED) for i, j in zip(begin[:-1], begin[1:], strict=True)]
+                more = [pa.array(np.diff(begin)), pa.array(same, pa.binary())]
+            names = [*rest, *["fp", "fp2"][: len(found)], *["size", "same"][: len(more)]]
+            yield pa.record_batch([*[part.column(c) for c in rest], *[pa.array(x.view(np.int64)) for x in found], *more], names)
 
 
 def fingerprints(docs: DataFrame, words: int = 4, wide: bool = False, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with the fingerprint ``fp`` as a signed number; ``wide``: with 64 further bits in ``fp2``, both of distinct shingles."""
+    """The columns ``keep`` of ``docs`` with the fingerprint ``fp`` as a signed number; ``wide``: of distinct shingles, with 64 further bits in ``fp2``, their number ``size`` and a hash ``same`` of them."""
     rows = docs.select(*keep, "text")
     schema = ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes if c in keep)
-    return rows.mapInArrow(lambda it: _fingerprint(it, words, wide), f"{schema}, fp long" + ", fp2 long" * wide)
+    return rows.mapInArrow(lambda it: _fingerprint(it, words, wide), f"{schema}, fp long" + ", fp2 long, size long, same binary" * wide)
 
 
 @cache
@@ -210,7 +214,8 @@ def meetings(points: DataFrame, blocks: int, starts: tuple[int, ...] = (0,)) ->
     # An anchor with more points than one task compares is cut into stripes, and each point goes to every pair with its own stripe.
     crowded = spread.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MEET).select("anchor", F.ceil(F.col("n") / (MEET / 2)).alias("__stripes"))
     spread = spread.join(crowded, "anchor", "left")
-    mine = F.pmod(F.xxhash64("fp", F.lit(3)), F.col("__stripes"))
+    # Documents with one fingerprint are dealt to different stripes, too.
+    mine = F.pmod(F.xxhash64(*[c for c in points.columns if c in ("fp", "doc_id")], F.lit(3)), F.col("__stripes"))
     pairs = F.when(F.col("__stripes").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("__stripes") - 1))
     spread = spread.withColumn("__mine", F.coalesce(mine, F.lit(0))).withColumn("__other", F.explode(pairs))
     return spread.select("anchor", F.least("__mine", "__other").alias("one"), F.greatest("__mine", "__other").alias("two"), *points.columns)
@@ -318,7 +323,7 @@ def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document, that of the smallest doc_id, of each group of near duplicates.
 
-    Groups are joined by equal texts and by links of Jaccard similarity of ``similarity`` or more between sets of word shingles. Candidates
+    Groups are joined by equal texts, equal sets of shingles and links of Jaccard similarity of ``similarity`` or more between sets of word shingles. Candidates
     are the closest links at each anchor of wide fingerprints, and the sets of shingles decide on each of them. Rows with one doc_id are one
     document, with the smallest of its texts for comparison; rows with a null doc_id stay; a null text is an empty one.
     """
@@ -328,8 +333,11 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     heads = named.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("h")).agg(F.min("doc_id").alias("doc_id"))
     heads = materialise(heads.groupBy("doc_id").agg(F.min("h").alias("h")), "heads")
     rows = named.withColumn("h", F.sha2(F.col("text").cast("binary"), 256)).join(heads, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id"])
-    prints = materialise(fingerprints(rows, words, wide=True), "wide-fingerprints")
-    met = meetings(prints, 1, BLOCK_STARTS)
+    # Documents with equal sets are one point, that of the smallest doc_id; without a shingle they are like no other.
+    prints = materialise(fingerprints(rows, words, wide=True).where("size > 0"), "wide-fingerprints")
+    points = prints.groupBy("same").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("fp", "fp2", "size")]).drop("same")
+    points = materialise(points, "points")
+    met = meetings(points, 1, BLOCK_STARTS)
     links = met.groupBy("anchor", "one", "two").applyInArrow(lambda t: _candidates(t, CANDIDATE_BITS), "a long, b long").distinct()
     links = materialise(links, "candidates")
     nodes = links.select(F.col("a").alias("doc_id")).unionAll(links.select("b")).distinct()
@@ -338,7 +346,7 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     paired = links.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
     paired = paired.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
     similar = paired.select("a", "b", "x", "y").mapInArrow(lambda it: _similar(it, similarity), "a long, b long")
-    lost = components(similar).select(F.col("node").alias("doc_id"))
+    lost = components(similar).select(F.col("node").alias("doc_id")).unionAll(prints.select("doc_id").join(points.select("doc_id"), "doc_id", "left_anti"))
     kept = heads.select("doc_id").join(lost, "doc_id", "left_anti")
     return docs.where(F.col("doc_id").isNull()).unionByName(docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi"))
 

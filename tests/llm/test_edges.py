@@ -138,6 +138,19 @@ def test_near_copies_with_repeated_lines(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
 
 
+def test_near_copies_with_equal_sets(spark, monkeypatch):
+    """Texts that differ in case and space are one point, and points with one fingerprint are cut into stripes."""
+    met, meetings = [], simhash.meetings
+    monkeypatch.setattr(simhash, "meetings", lambda points, *rest: met.append(points.count()) or meetings(points, *rest))
+    words = [f"word{i}" for i in range(40)]
+    rows = [(k, " ".join(w.upper() if k >> i & 1 else w for i, w in enumerate(words)) + " " * (k % 3)) for k in range(200)]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [r["doc_id"] for r in kept.collect()] == [0] and met[0] == 1
+    monkeypatch.setattr(simhash, "MEET", 64)
+    spread = meetings(spark.range(400).selectExpr("id as doc_id", "0L as fp", "0L as fp2"), 1).where("anchor = 0")
+    assert max(r["count"] for r in spread.groupBy("one", "two").count().collect()) < 128
+
+
 def test_bpe(docs, empty):
     path = bpe.default_vocabulary()
     got = by_id(bpe.decode(bpe.encode(docs, path), path))
