@@ -282,24 +282,45 @@ def _forest(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
         label = parent[label]
 
 
-def _candidates(table: pa.Table, most: int) -> pa.Table:
-    """The closest links of the documents that meet at an anchor: a minimum spanning forest by differing bits."""
-    ids = table.column("doc_id").to_numpy()
-    ids, first = np.unique(ids, return_index=True)
-    lanes = [table.column(c).to_numpy().view(np.uint64)[first] for c in ("fp", "fp2")]
-    n = len(ids)
-    a = b = w = np.zeros(0, np.int64)
-    for lo in range(0, n, 256):
+def _close(table: pa.Table, most: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Links of documents that meet at an anchor, in blocks of 256 rows: places a < b, and the bits in which they differ, at most ``most``.
+
+    A pair of sets whose sizes rule out a similarity of ``least``, or whose documents have one ``root`` already, is no link.
+    """
+    lanes = [table.column(c).to_numpy().view(np.uint64) for c in ("fp", "fp2")]
+    size = table.column("size").to_numpy()
+    root = table.column("root").to_numpy() if "root" in table.column_names else None
+    for lo in range(0, table.num_rows, 256):
         near = sum(np.bitwise_count(x[lo : lo + 256, None] ^ x[None, lo:]) for x in lanes)
         i, j = np.nonzero(near <= most)
-        some = i < j
+        some = (i < j) & (np.minimum(size[i + lo], size[j + lo]) >= least * np.maximum(size[i + lo], size[j + lo]))
+        if root is not None:
+            some &= root[i + lo] != root[j + lo]
         i, j = i[some], j[some]
-        a, b, w = np.concatenate([a, i + lo]), np.concatenate([b, j + lo]), np.concatenate([w, near[i, j]])
+        yield i + lo, j + lo, near[i, j]
+
+
+def _candidates(table: pa.Table, most: int, least: float) -> pa.Table:
+    """The closest links of the documents that meet at an anchor: a minimum spanning forest by differing bits."""
+    ids, n = table.column("doc_id").to_numpy(), table.num_rows
+    a = b = w = np.zeros(0, np.int64)
+    for i, j, bits in _close(table, most, least):
+        a, b, w = np.concatenate([a, i]), np.concatenate([b, j]), np.concatenate([w, bits])
         if len(a) > 4 * n:
             keep = _forest(a, b, w, n)
             a, b, w = a[keep], b[keep], w[keep]
     keep = _forest(a, b, w, n)
-    return pa.table([pa.array(ids[a[keep]]), pa.array(ids[b[keep]])], ["a", "b"])
+    a, b = ids[a[keep]], ids[b[keep]]
+    return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _unsettled(batches: Iterator[pa.RecordBatch], most: int, least: float) -> Iterator[pa.RecordBatch]:
+    """All links of the documents that meet at an anchor and have different roots."""
+    table = pa.Table.from_batches(list(batches))
+    ids = table.column("doc_id").to_numpy()
+    for i, j, _ in _close(table, most, least):
+        a, b = ids[i], ids[j]
+        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -323,8 +344,9 @@ def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document, that of the smallest doc_id, of each group of near duplicates.
 
-    Groups are joined by equal texts, equal sets of shingles and links of Jaccard similarity of ``similarity`` or more between sets of word shingles. Candidates
-    are the closest links at each anchor of wide fingerprints, and the sets of shingles decide on each of them. Rows with one doc_id are one
+    Groups are joined by equal texts, equal sets of shingles and links of Jaccard similarity of ``similarity`` or more between sets of word
+    shingles. Candidates are all links at the anchors of wide fingerprints, and the sets of shingles decide: first on the closest links of
+    each anchor, then on those between documents that are not joined yet. Rows with one doc_id are one
     document, with the smallest of its texts for comparison; rows with a null doc_id stay; a null text is an empty one.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -338,14 +360,33 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     points = prints.groupBy("same").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("fp", "fp2", "size")]).drop("same")
     points = materialise(points, "points")
     met = meetings(points, 1, BLOCK_STARTS)
-    links = met.groupBy("anchor", "one", "two").applyInArrow(lambda t: _candidates(t, CANDIDATE_BITS), "a long, b long").distinct()
+    links = met.groupBy("anchor", "one", "two").applyInArrow(lambda t: _candidates(t, CANDIDATE_BITS, similarity), "a long, b long").distinct()
     links = materialise(links, "candidates")
     nodes = links.select(F.col("a").alias("doc_id")).unionAll(links.select("b")).distinct()
     sets = rows.join(nodes, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: _sets(it, words), "doc_id long, shingles binary")
     sets = materialise(sets, "shingles")
-    paired = links.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-    paired = paired.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    similar = paired.select("a", "b", "x", "y").mapInArrow(lambda it: _similar(it, similarity), "a long, b long")
+
+    def tested(links: DataFrame) -> DataFrame:
+        paired = links.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+        paired = paired.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+        return paired.select("a", "b", "x", "y").mapInArrow(lambda it: _similar(it, similarity), "a long, b long")
+
+    similar = materialise(tested(links), "similar")
+    # A forest tells only what it joins. Where a link of it fails, other links may still hold: all links that meet between documents of
+    # different roots are tested, too. Their ends have roots that a failed link touches, as the forest's path between them has one.
+    roots = components(similar)
+    root = nodes.join(roots, nodes["doc_id"] == roots["node"], "left").select("doc_id", F.coalesce("root", "doc_id").alias("root"))
+    root = materialise(root, "roots")
+    ends = links.join(root.select(F.col("doc_id").alias("a"), F.col("root").alias("x")), "a").join(root.select(F.col("doc_id").alias("b"), F.col("root").alias("y")), "b").where("x <> y")
+    open_roots = ends.select(F.col("x").alias("root")).unionAll(ends.select("y")).distinct()
+    again = meetings(points.join(root.join(open_roots, "root", "left_semi"), "doc_id"), 1, BLOCK_STARTS)
+
+    def rest(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _unsettled(it, CANDIDATE_BITS, similarity)
+
+    rest.__annotations__ = {"it": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}  # as types, which tell Spark that batches come one by one
+    others = again.groupBy("anchor", "one", "two").applyInArrow(rest, "a long, b long").distinct().join(links, ["a", "b"], "left_anti")
+    similar = similar.unionAll(tested(materialise(others, "other-candidates")))
     lost = components(similar).select(F.col("node").alias("doc_id")).unionAll(prints.select("doc_id").join(points.select("doc_id"), "doc_id", "left_anti"))
     kept = heads.select("doc_id").join(lost, "doc_id", "left_anti")
     return docs.where(F.col("doc_id").isNull()).unionByName(docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi"))

@@ -113,6 +113,26 @@ def test_near_copies(docs):
     assert kept == {i for i in rows if groups.find(i) == i}
 
 
+def test_near_copies_around_the_limit(spark):
+    """A family of variants whose similarities lie around 0.8: every pair that meets at an anchor is tested, not only the closest."""
+    rng = np.random.default_rng(7)
+    body = [f"word{i}" for i in range(300)]
+    rows = [(i, " ".join(f"new{i}x{k}" if rng.random() < 0.02 else w for k, w in enumerate(body))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {r["doc_id"]: r for r in simhash.fingerprints(docs, 5, wide=True).collect()}
+    met = []
+    for i in prints:
+        lanes = [np.array([prints[i][c] % (1 << 64)], np.uint64) for c in ("fp", "fp2")]
+        met.append({(k, a) for k, start in enumerate(simhash.BLOCK_STARTS) for a in simhash.anchors(lanes[start // 64], 1, start % 64)[1].tolist()})
+    sets, groups = [set(shingles(t, 5)) for _, t in rows], Groups(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        bits = sum(((prints[a][c] ^ prints[b][c]) % (1 << 64)).bit_count() for c in ("fp", "fp2"))
+        if sets[a] == sets[b] or bits <= simhash.CANDIDATE_BITS and met[a] & met[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            groups.join(a, b)
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
+    assert kept == {i for i in range(len(rows)) if groups.find(i) == i}
+
+
 def test_golay_anchors():
     """Each 23-bit word has one anchor within 3 bits, and words 4 bits apart share an anchor within 5 of both."""
     rng = np.random.default_rng(1)
