@@ -67,9 +67,11 @@ def write_shards(df: DataFrame, path: str, n_shards: int = 8, seed: int = 42) ->
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and checksum of each text where the shuffle has put it: whole documents are dealt."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = documents(spark, sf_dir).select("doc_id", (F.octet_length(raw) + F.lit(1)).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
-    return shard_rows(rows, 8).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    size = (F.octet_length(raw) + F.lit(1)).cast("long").alias("size")
+    placed = shard_rows(documents(spark, sf_dir), 8)
+    return placed.select("doc_id", size, F.crc32(raw).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 QUERIES = {"op10_sharding": op10_sharding}

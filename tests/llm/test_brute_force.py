@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, byte_dedup, language, media, queries, simhash, suffix_array, topk, toxicity
+from meridian.llm import bpe, byte_dedup, language, media, queries, sharding, simhash, suffix_array, topk, toxicity
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -133,6 +133,17 @@ def test_near_copies_around_the_limit(spark):
     assert kept == {i for i in range(len(rows)) if groups.find(i) == i}
 
 
+@needs_tables
+def test_sharding_of_documents(spark, docs, tmp_path):
+    """The query's digests are those of the documents that are dealt and written, at their places."""
+    want = {r["doc_id"]: (len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode()), r["shard"], r["slot"]) for r in sharding.shard_rows(docs, 8).collect()}
+    found = sharding.op10_sharding(spark, SF).collect()
+    assert len(found) == len(want) and {r["doc_id"]: (r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in found} == want
+    sharding.write_shards(docs, f"{tmp_path}/shards", 8)
+    written = spark.read.parquet(f"{tmp_path}/shards").collect()
+    assert {r["doc_id"]: (len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode()), r["shard"], r["slot"]) for r in written} == want
+
+
 def test_golay_anchors():
     """Each 23-bit word has one anchor within 3 bits, and words 4 bits apart share an anchor within 5 of both."""
     rng = np.random.default_rng(1)
