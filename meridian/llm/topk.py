@@ -1,4 +1,4 @@
-"""Exact top-k search by inner product, by aggregation of sorted lists without random access.
+"""Exact top-k search by inner product, by aggregation of sorted lists, with random access only to the few rows that are left.
 
 Rows are dealt to shards of bounded size; in a shard each component is a list sorted by value. A query reads its lists in step, from the end
 that adds most to the score, and keeps for every row a lower and an upper bound: what was read of it, and for the rest the least value of
@@ -42,25 +42,29 @@ class Lists:
     """Sorted lists of the components of some rows."""
 
     def __init__(self, x: np.ndarray, ids: np.ndarray):
-        self.x, self.ids, self.sorted = x, ids, np.sort(x, axis=0)
+        self.x, self.ids, self.rows = x, ids, np.argsort(x, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(x, self.rows, axis=0)
 
     def best(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
         """vec_ids and scores of the k best rows but ``own``.
 
-        A list is read from the end that adds most, to ``last``. What adds at least that much has been read; of the rest a bound is known.
+        Lists are read in slices from the end that adds most, each to ``last``; an entry read takes the place of the bounds of its row and list.
         """
         n, up = len(self.x), q > 0
         least = q * np.where(up, self.sorted[0], self.sorted[-1])
+        lower, read = np.full(n, least.sum(dtype=np.int64)), np.zeros(self.x.shape, bool)
         left, depth = np.flatnonzero(self.ids != own), 0
-        adds = self.x[left] * q
         while len(left) > 2 * k and depth < n:
-            depth = min(n, depth + max(64, n // 3))
+            done, depth = depth, min(n, depth + max(64, n // 3))
+            rows = np.where(up, self.rows[n - depth : n - done], self.rows[done:depth])
+            adds = q * np.where(up, self.sorted[n - depth : n - done], self.sorted[done:depth])
+            np.add.at(lower, rows.ravel(), (adds - least).ravel().astype(np.int64))
+            np.put_along_axis(read, rows, True, axis=0)
             last = q * np.where(up, self.sorted[n - depth], self.sorted[depth - 1])
-            upper = np.maximum(adds, last).sum(axis=1, dtype=q.dtype)
-            lower = np.where(adds >= last, adds, least).sum(axis=1, dtype=q.dtype)
-            keep = upper >= np.partition(lower, len(lower) - k)[len(lower) - k]
-            left, adds = left[keep], adds[keep]
-        score = adds.sum(axis=1, dtype=np.int64)
+            upper = lower[left] + (~read[left]) @ (last - least).astype(np.int64)
+            left = left[upper >= np.partition(lower[left], len(left) - k)[len(left) - k]]
+        # All lists are read to the end, or the few rows left are looked up.
+        score = lower[left] if depth == n else (self.x[left] * q).sum(axis=1, dtype=np.int64)
         order = np.lexsort((self.ids[left], -score))[:k]
         return self.ids[left][order], score[order]
 

@@ -167,6 +167,24 @@ def test_topk_lists():
         assert [(-int(s), int(i)) for i, s in zip(ids, scores, strict=True)] == every
 
 
+def test_topk_reads_lists():
+    """Bounds come from the lists: at most 2 k rows are looked up."""
+
+    class Rows(np.ndarray):
+        def __getitem__(self, at):
+            looked.append(np.size(at))
+            return np.asarray(self)[at]
+
+    rng, looked = np.random.default_rng(4), []
+    x = np.floor(rng.standard_normal((900, 3)) * 50).astype(np.int64)
+    lists = topk.Lists(x, np.arange(900))
+    lists.x = x.view(Rows)
+    for q in x[::90]:
+        _, scores = lists.best(q, 10, -1)
+        assert scores.tolist() == sorted((x @ q).tolist(), reverse=True)[:10]
+    assert max(looked, default=0) <= 20
+
+
 def test_png_filters():
     """All five filters, a checksum that fails, and chunks that are cut short."""
     rng = np.random.default_rng(3)
