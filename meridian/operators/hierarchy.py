@@ -8,14 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _too_deep(step: DataFrame, depth: int) -> DataFrame:
+    """``step``, whose rows raise an error. It names columns of both sides of the last join, so that it isn't evaluated below that join."""
+    message = F.concat(F.lit(f"more than {depth} steps from the root: "), *[F.col(c).cast("string") for c in step.columns])
+    return step.where(F.raise_error(message).cast("boolean"))
+
+
 def closure(hierarchy: DataFrame, depth: int = 6) -> DataFrame:
-    """(ancestor, descendant) for each location and all above it, itself included; a root is its own parent. ``depth``: steps upwards at most."""
+    """(ancestor, descendant) for each location and all above it, itself included; a root is its own parent. ``depth``: steps upwards; a deeper tree is an error."""
     up = hierarchy.where("parent_id <> location_id").select(F.col("location_id").alias("__child"), F.col("parent_id").alias("__parent"))
     step = hierarchy.select(F.col("location_id").alias("ancestor"), F.col("location_id").alias("descendant"))
     out = step
-    for _ in range(depth):
+    for k in range(depth + 1):
         step = step.join(up, step["ancestor"] == up["__child"]).select(F.col("__parent").alias("ancestor"), "descendant")
-        out = out.unionByName(step)
+        out = out.unionByName(step if k < depth else _too_deep(step, depth))
     return out
 
 
@@ -53,16 +59,16 @@ def missing_locations(hierarchy: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def depth_first(hierarchy: DataFrame, depth: int = 6, name: str = "location_name") -> DataFrame:
-    """location_id with its ``position`` in depth-first order, siblings by name.
+    """location_id with its ``position`` in depth-first order, siblings by name; a tree of more than ``depth`` steps is an error.
 
     The path of names from the root is the order; it is numbered in one window, over the locations alone.
     """
     node = lambda h: F.struct(F.col(f"{h}.{name}").alias("n"), F.col(f"{h}.location_id").alias("i"))
     frontier = hierarchy.alias("h").where("parent_id = location_id").select("location_id", F.array(node("h")).alias("path"))
     out = frontier
-    for _ in range(depth):
+    for k in range(depth + 1):
         below = hierarchy.alias("h").where("parent_id <> location_id")
         f = frontier.alias("f")
         frontier = below.join(f, F.col("h.parent_id") == F.col("f.location_id")).select(F.col("h.location_id"), F.concat("f.path", F.array(node("h"))).alias("path"))
-        out = out.unionByName(frontier)
+        out = out.unionByName(frontier if k < depth else _too_deep(frontier, depth))
     return out.select("location_id", F.row_number().over(Window.orderBy("path")).alias("position"))

@@ -172,3 +172,12 @@ def test_the_library_stands_without_training_operators(tmp_path):
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert q and set(q) == set(o), set(q) ^ set(o)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
+
+
+def test_hierarchy_too_deep(spark):
+    """Seven levels are summed and ordered; an eighth raises instead of losing rows."""
+    tree = lambda n: spark.createDataFrame([(i, max(1, i - 1), f"n{i}") for i in range(1, n + 1)], "location_id int, parent_id int, location_name string")
+    assert len(hierarchy.closure(tree(7)).collect()) == 28 and len(hierarchy.depth_first(tree(7)).collect()) == 7
+    for found in (hierarchy.closure(tree(8)), hierarchy.depth_first(tree(8))):
+        with pytest.raises(Exception, match="more than 6 steps"):
+            found.collect()
