@@ -1,43 +1,22 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, over one shard in numpy.
 
 A suffix is S if it is smaller than the one after it, else L; an S suffix after an L suffix is leftmost-smaller (LMS). The LMS substrings
-are sorted by inducing from their first characters and named; where names repeat, the string of names is sorted in turn; from the sorted
-LMS suffixes all L suffixes, and from these all S suffixes, are induced in one scan each. A scan goes through the buckets of characters;
-what a bucket induces is worked out for all its members at once, in one more step for each repeat of the bucket's own character.
+are sorted by inducing from their first characters and named; where names repeat, the string of names is sorted in turn by the same steps;
+from the sorted LMS suffixes all L suffixes, and from these all S suffixes, are induced in one scan each.
+
+Buckets are parts of one array, sized by counts, with a head for each. A scan takes a large bucket by itself, in one step for each repeat of
+its own character, and some thousand members of small neighbouring buckets together: strings of names have many of those. Where these
+induce one another in long chains, they are scanned one by one.
 """
 
 from __future__ import annotations
 
-import numpy as np
-
-#: Strings over more characters than this are ranked by doubling, as their buckets are too small to be worked on as arrays.
-WIDE = 1024
+from itertools import chain
 
+import numpy as np
 
-def _doubling(s: np.ndarray) -> np.ndarray:
-    """Suffix array of a string over a wide alphabet: ranks of prefixes of doubled length, until all differ; only what still ties is sorted."""
-    n = len(s)
-    _, group, size = np.unique(s, return_inverse=True, return_counts=True)
-    # The rank of a suffix is the place of the first of those that tie with it.
-    rank = (np.cumsum(size) - size)[group]
-    todo, span = np.flatnonzero(size[group] > 1), 1
-    while len(todo):
-        after = np.zeros(len(todo), np.int64)
-        inside = todo + span < n
-        after[inside] = rank[todo[inside] + span] + 1
-        key = rank[todo] * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        todo, key = todo[order], key[order]
-        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(start, len(key)))
-        old = rank[todo[start]]
-        first = np.maximum.accumulate(np.where(np.append(True, old[1:] != old[:-1]), start, 0))
-        rank[todo] = np.repeat(old + start - first, size)
-        todo = todo[np.repeat(size > 1, size)]
-        span *= 2
-    order = np.empty(n, np.int64)
-    order[rank] = np.arange(n)
-    return order
+#: Members of neighbouring buckets that are scanned together, about, and steps that this may take.
+TOGETHER, STEPS = 1 << 10, 10
 
 
 def _types(s: np.ndarray) -> np.ndarray:
@@ -52,63 +31,99 @@ def _types(s: np.ndarray) -> np.ndarray:
     return inside & (s[at] < s[np.minimum(at + 1, n - 1)])
 
 
-class _Buckets:
-    """What was induced so far, by first character; parts are kept in the order in which they came."""
+class _Scan:
+    """One scan through the buckets 0, 1, ..: a suffix whose next one is scanned, and which is ``wanted``, joins the end of its own bucket.
 
-    def __init__(self, s: np.ndarray, chars: int):
-        self.s, self.parts = s, [[] for _ in range(chars)]
+    ``key``: bucket of each suffix; ``fixed``: suffixes that each bucket ends with, by bucket and in the order of the scan.
+    """
 
-    def add(self, at: np.ndarray) -> None:
+    def __init__(self, key: np.ndarray, wanted: np.ndarray, fixed: np.ndarray, chars: int):
+        self.key, self.wanted, self.fixed = key, wanted, fixed
+        size = np.bincount(key[wanted], minlength=chars)
+        self.start = np.concatenate([[0], np.cumsum(size)])
+        self.head, self.out = self.start[:-1].copy(), np.empty(self.start[-1], np.int32)
+        self.fixed_start = np.searchsorted(key[fixed], np.arange(chars + 1))
+        self.ends = self.start[1:] + self.fixed_start[1:]
+
+    def run(self) -> np.ndarray:
+        """The wanted suffixes as the scan finds them."""
+        first, chars = 0, len(self.head)
+        while first < chars:
+            stop = int(np.searchsorted(self.ends, self.start[first] + self.fixed_start[first] + TOGETHER, "right"))
+            stop = min(max(stop, first + 1), chars)
+            if stop == first + 1:
+                self._alone(first)
+            elif not self._together(first, stop):
+                self._one_by_one(first, stop)
+            first = stop
+        return self.out
+
+    def _before(self, at: np.ndarray) -> np.ndarray:
+        before = at[at > 0] - 1
+        return before[self.wanted[before]]
+
+    def put(self, at: np.ndarray) -> None:
+        """Add suffixes to the ends of their buckets."""
         if not len(at):
             return
-        first = self.s[at]
-        order = np.argsort(first, kind="stable")
-        first, at = first[order], at[order]
-        edges = np.flatnonzero(first[1:] != first[:-1]) + 1
-        for part in np.split(at, edges):
-            self.parts[self.s[part[0]]].append(part)
-
-    def take(self, c: int) -> np.ndarray:
-        parts, self.parts[c] = self.parts[c], []
-        return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, np.int32)
-
-
-def _induce(s: np.ndarray, small: np.ndarray, chars: int, lms: np.ndarray) -> np.ndarray:
-    """All suffixes in the order induced by ``lms``, the LMS suffixes by first character and, among those, as given."""
-    n = len(s)
-    first = s[lms]
-    bounds = np.searchsorted(first, np.arange(chars + 1))
-    large: list[np.ndarray] = []
-    buckets = _Buckets(s, chars)
-    buckets.add(np.array([n - 1], np.int32))  # the end of the string induces the last suffix
-    for c in range(chars):
-        found, wave = [], buckets.take(c)
-        while len(wave):
-            found.append(wave)
-            before = wave[wave > 0] - 1
-            before = before[~small[before]]
-            same = s[before] == c
-            buckets.add(before[~same])
-            wave = before[same]
-        mine = lms[bounds[c] : bounds[c + 1]]
-        before = mine[mine > 0] - 1
-        buckets.add(before)  # before an LMS suffix there is always an L suffix
-        large.append(np.concatenate(found) if found else np.zeros(0, np.int32))
-    out: list[np.ndarray] = []
-    for c in range(chars - 1, -1, -1):
-        found, wave = [], buckets.take(c)
-        while len(wave):
-            found.append(wave)
-            before = wave[wave > 0] - 1
-            before = before[small[before]]
-            same = s[before] == c
-            buckets.add(before[~same])
-            wave = before[same]
-        mine = large[c][::-1]
-        before = mine[mine > 0] - 1
-        buckets.add(before[small[before]])
-        out += [*found, mine]
-    return np.concatenate(out)[::-1]
+        key = self.key[at]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        edge = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1)
+        size = np.diff(np.append(edge, len(key)))
+        self.out[np.arange(len(key)) + np.repeat(self.head[key[edge]] - edge, size)] = at[order]
+        self.head[key[edge]] += size
+
+    def _alone(self, bucket: int) -> None:
+        done = self.start[bucket]
+        while done < self.head[bucket]:
+            wave, done = self.out[done : self.head[bucket]], self.head[bucket]
+            self.put(self._before(wave))
+        self.put(self._before(self.fixed[self.fixed_start[bucket] : self.fixed_start[bucket + 1]]))
+
+    def _together(self, first: int, stop: int) -> bool:
+        """Scan several buckets at once: what they induce among themselves is put in and ordered anew, until that changes nothing."""
+        lo, hi = self.start[first], self.start[stop]
+        bucket = np.repeat(np.arange(first, stop), np.diff(self.start[first : stop + 1]))
+        there = np.arange(lo, hi) < self.head[bucket]
+        came, fixed = self.out[lo:hi][there], self.fixed[self.fixed_start[first] : self.fixed_start[stop]]
+        # Within a bucket: what came before, what is induced here, what is fixed.
+        came_key, fixed_key = 3 * bucket[there], 3 * self.key[fixed] + 2
+        inner = came[:0]
+        for _ in range(STEPS):
+            key = np.concatenate([came_key, 3 * self.key[inner] + 1, fixed_key])
+            order = np.argsort(key, kind="stable")
+            line = np.concatenate([came, inner, fixed])[order]
+            before = self._before(line)
+            inside = self.key[before] < stop
+            again = before[inside]
+            if np.array_equal(again, inner):
+                self.out[lo:hi] = line[key[order] % 3 < 2]
+                self.put(before[~inside])
+                return True
+            inner = again
+        return False
+
+    def _one_by_one(self, first: int, stop: int) -> None:
+        key, wanted, later = memoryview(self.key), memoryview(self.wanted), []
+        lines = [self.out[self.start[b] : self.head[b]].tolist() for b in range(first, stop)]
+        for b, line in enumerate(lines, first):
+            fixed = self.fixed[self.fixed_start[b] : self.fixed_start[b + 1]].tolist()
+            for at in chain(line, fixed):  # the line may grow meanwhile
+                at -= 1
+                if at >= 0 and wanted[at]:
+                    to = key[at]
+                    (lines[to - first] if to < stop else later).append(at)
+        self.out[self.start[first] : self.start[stop]] = [at for line in lines for at in line]
+        self.put(np.array(later, np.int32))
+
+
+def _induce(s: np.ndarray, small: np.ndarray, chars: int, lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All L and all S suffixes in the order induced by ``lms``, the LMS suffixes by first character and, among those, as given."""
+    ascending = _Scan(s, ~small, lms, chars)
+    ascending.put(np.array([len(s) - 1], np.int32))  # the end of the string induces the last suffix
+    large = ascending.run()
+    return large, _Scan(chars - 1 - s, small, large[::-1], chars).run()[::-1]
 
 
 def _names(s: np.ndarray, order: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -126,20 +141,19 @@ def _names(s: np.ndarray, order: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Suffix array of a string of small non-negative integers."""
+    """Suffix array of a string of non-negative integers; work arrays have as many entries as the string and the largest integer."""
     n = len(s)
     if n < 2:
         return np.arange(n, dtype=np.int32)
+    s = s.astype(np.int32)
     chars = int(s.max()) + 1
-    if chars > WIDE:
-        return _doubling(s).astype(np.int32)
     small = _types(s)
     is_lms = np.zeros(n, bool)
     is_lms[1:] = small[1:] & ~small[:-1]
     lms = np.flatnonzero(is_lms).astype(np.int32)
     if len(lms) > 1:
         by_first = lms[np.argsort(s[lms], kind="stable")]
-        order = _induce(s, small, chars, by_first)
+        _, order = _induce(s, small, chars, by_first)
         order = order[is_lms[order]]
         # An LMS substring goes on to the next LMS suffix, which is in it, or to the end of the string; no other ends there.
         length = np.zeros(n, np.int32)
@@ -151,12 +165,18 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         differs[after[after < len(order)]] = True
         name = np.cumsum(differs) - 1
         if name[-1] + 1 < len(lms):
-            place = np.zeros(n, np.int64)
+            place = np.zeros(n, np.int32)
             place[order] = name
             order = lms[suffix_array(place[lms])]
-        lms = order
-        lms = lms[np.argsort(s[lms], kind="stable")]
-    return _induce(s, small, chars, lms)
+        lms = order[np.argsort(s[order], kind="stable")]
+    large, low = _induce(s, small, chars, lms)
+    # In a bucket the L suffixes come first.
+    smaller = np.concatenate([[0], np.cumsum(np.bincount(s[low], minlength=chars))])[:-1]
+    larger = np.cumsum(np.bincount(s[large], minlength=chars))
+    out = np.empty(n, np.int32)
+    out[np.arange(len(large)) + smaller[s[large]]] = large
+    out[np.arange(len(low)) + larger[s[low]]] = low
+    return out
 
 
 def permuted_lcp(s: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
