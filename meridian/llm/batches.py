@@ -1,4 +1,4 @@
-"""Documents in batches, and rolling hashes over their bytes and words.
+"""Documents in batches, and hashes over runs of their bytes and words.
 
 A batch is a group of some hundred documents, chosen by a hash of the row and sorted, so that it is the same in every attempt. Operators that
 match passages send one packed message from each batch to each hash bucket instead of a row for each position: a value that occurs in a
@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,11 +94,33 @@ def rolling_hashes(values: np.ndarray, n: int, multiplier: int) -> np.ndarray:
     return out
 
 
-def in_batches(df: DataFrame, bytes_each: int = 1 << 20, text: str = "text") -> DataFrame:
-    """``df`` with ``__batch``; so many that one holds about ``bytes_each`` of text, whatever the size of the table."""
-    total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each word, the halves of its XXH3 of 128 bits."""
+    data, digest = raw.tobytes(), xxhash.xxh3_128_digest
+    both = np.frombuffer(b"".join([digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]), np.uint64).reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
+
+
+def same_spans(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether raw[a : a + size] and raw[b : b + size] are the same bytes, for each of some spans of at least one byte."""
+    out = np.empty(len(a), bool)
+    ends = np.cumsum(size)
+    k = 0
+    while k < len(a):
+        stop = max(k + 1, int(np.searchsorted(ends, ends[k] - size[k] + _CHUNK, "right")))
+        n = size[k:stop]
+        begin = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(begin, n)
+        out[k:stop] = np.logical_and.reduceat(raw[np.repeat(a[k:stop], n) + step] == raw[np.repeat(b[k:stop], n) + step], begin)
+        k = stop
+    return out
+
+
+def in_batches(df: DataFrame, bytes_each: int = 1 << 20, text: str = "text") -> tuple[DataFrame, int]:
+    """``df`` with ``__batch``; so many that one holds about ``bytes_each`` of text, whatever the size of the table. And the bytes of all texts."""
+    total = int(df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0)
     n = max(shuffle_partitions(df.sparkSession), -(-total // bytes_each))
-    return df.withColumn("__batch", F.pmod(F.xxhash64("doc_id", text, F.lit(17)), F.lit(int(n))))
+    return df.withColumn("__batch", F.pmod(F.xxhash64("doc_id", text, F.lit(17)), F.lit(int(n)))), total
 
 
 def ordered(table: pa.Table) -> pa.Table:

@@ -5,14 +5,16 @@ don't overlap. So the blocks of all documents form the index, and every rolling
 
 1. probe: each batch of documents sends the hashes of its rolling runs to hash buckets, marked where the run is also a block;
 2. hit: a bucket answers which runs are a block somewhere and occur in a second document;
-3. extend: around the hits the 13-word windows are compared by two further hashes (over 100 bits), each with the smallest doc_id that
-   has it; runs of such windows that touch are the maximal exact repeats;
+3. extend: a hit grows to both sides as long as the next run, too, occurs in a second document, to a stretch of words; the 13-word
+   windows of a stretch are compared by the 128 bits of two hashes of their words, each with the smallest doc_id that has it. Windows that
+   are repeated and touch are the maximal exact repeats;
 4. remove: each document drops the words covered by a window that also starts in a document with a smaller doc_id.
 
 All candidates are kept, however many documents share a passage: a value costs one entry for each batch, and no pairs are formed.
 
 Defined results: a null text has no words; a null doc_id comes after all others; rows with one doc_id are one document for the comparison
-and stay separate rows; an empty table gives an empty result; texts are taken whole, of any length; ``keep`` names further columns to carry.
+and stay separate rows; an empty table gives an empty result; texts are taken whole, of any length; ``keep`` names further columns to carry,
+of which those named n_words, n_removed or kept give way to the new ones.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.batches import MULTIPLIERS, Batch, buckets_of, covered, cuts, in_batches, narrow, packed_table, rolling_hashes, span_hashes, widen
+from meridian.llm.batches import MULTIPLIERS, Batch, buckets_of, covered, cuts, in_batches, narrow, packed_table, rolling_hashes, widen, word_hashes
 from meridian.llm.common import documents, shuffle_partitions
 
 PROBE = "__bucket long, __batch long, n int, hashes binary, blocks binary, shared binary"
-HIT = "__batch long, __bucket long, n int, live binary"
+HIT = "__batch long, __bucket long, n int, live binary, shared binary"
 EXTEND = "__bucket long, __batch long, n int, hashes binary, ids binary, places binary"
 REMOVE = "__batch long, places binary"
+COUNTS = ("n_words", "n_removed", "kept")
 
 
 class _Runs:
@@ -37,7 +40,7 @@ class _Runs:
     def __init__(self, batch: Batch, window: int):
         self.size = window // 2 + 1
         starts, ends, row = batch.words()
-        self.words = span_hashes(batch.raw, starts, ends, MULTIPLIERS[0])
+        self.words, self.second = word_hashes(batch.raw, starts, ends)
         runs = rolling_hashes(self.words, self.size, MULTIPLIERS[1])
         n = len(runs)
         long_enough = np.diff(batch.first) >= window
@@ -71,7 +74,7 @@ def _probe(key: tuple, table: pa.Table, window: int, n_buckets: int) -> pa.Table
 
 
 def _hit(key: tuple, table: pa.Table) -> pa.Table:
-    """Which entries of the messages to one bucket are live: a block somewhere, and in two documents at least."""
+    """Which entries of the messages to one bucket are live, a block somewhere and in two documents at least, and which are in two documents."""
     sizes = table.column("n").to_pylist()
 
     def joined(name: str, read) -> np.ndarray:
@@ -82,41 +85,51 @@ def _hit(key: tuple, table: pa.Table) -> pa.Table:
     shared = joined("shared", lambda x, n: np.unpackbits(np.frombuffer(x, np.uint8), count=n).view(bool))
     order = np.argsort(hashes, kind="stable")
     start, stop = cuts(hashes[order])
-    live = np.logical_or.reduceat(block[order], start) & (np.logical_or.reduceat(shared[order], start) | (stop - start > 1))
-    out = np.empty(len(hashes), bool)
-    out[order] = np.repeat(live, stop - start)
+    twice = np.logical_or.reduceat(shared[order], start) | (stop - start > 1)
+    live, again = np.empty(len(hashes), bool), np.empty(len(hashes), bool)
+    live[order] = np.repeat(twice & np.logical_or.reduceat(block[order], start), stop - start)
+    again[order] = np.repeat(twice, stop - start)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
-    rows = [(b, key[0].as_py(), n, np.packbits(out[i : i + n]).tobytes()) for b, n, i in zip(table.column("__batch").to_pylist(), sizes, bounds[:-1], strict=True) if out[i : i + n].any()]
+    rows = [
+        (b, key[0].as_py(), n, np.packbits(live[i : i + n]).tobytes(), np.packbits(again[i : i + n]).tobytes())
+        for b, n, i in zip(table.column("__batch").to_pylist(), sizes, bounds[:-1], strict=True) if again[i : i + n].any()
+    ]
     return packed_table(rows, HIT)
 
 
+def _stretches(runs: _Runs, live: np.ndarray, again: np.ndarray, n_words: int, window: int) -> np.ndarray:
+    """Windows of the stretches: the live blocks, and the runs before and after them that have no gap and occur in a second document."""
+    at = [np.zeros(n_words + 1, bool) for _ in range(2)]
+    for out, value in zip(at, (live, again), strict=True):
+        out[runs.place[runs.of]] = np.repeat(value, runs.stop - runs.start)
+    blocks = np.zeros(n_words + 1, bool)
+    blocks[runs.place[runs.block]] = True
+    hit, grown = at[0] & blocks, at[1]
+    edge = np.flatnonzero(np.diff(grown, prepend=False, append=False))
+    start, stop = edge[::2], edge[1::2]
+    hits = np.append(0, np.cumsum(hit))
+    some = (hits[stop] > hits[start]) & (stop - start > window - runs.size)
+    start, size = start[some], stop[some] - start[some] - (window - runs.size)
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 def _extend(key: tuple, table: pa.Table, hits: pa.Table, window: int, n_buckets: int) -> pa.Table:
-    """Windows around the hits, sent to the buckets of their hashes; those repeated within the batch are settled here."""
+    """Windows around the hits, sent to the buckets of their hashes; those repeated within the batch are settled here, and pass with a bucket below zero."""
     if not hits.num_rows:
         return packed_table([], EXTEND)
     batch = Batch(table)
     runs = _Runs(batch, window)
     buckets = buckets_of(runs.hash, n_buckets)
-    live = np.zeros(len(runs.hash), bool)
-    for bucket, n, bits in zip(hits.column("__bucket").to_pylist(), hits.column("n").to_pylist(), hits.column("live").to_pylist(), strict=True):
+    live, again = np.zeros(len(runs.hash), bool), np.zeros(len(runs.hash), bool)
+    for bucket, n, *bits in zip(*(hits.column(c).to_pylist() for c in ("__bucket", "n", "live", "shared")), strict=True):
         at = np.searchsorted(buckets, np.uint64(bucket))
-        live[at : at + n] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n)
-    alive = np.zeros(len(runs.of), bool)
-    alive[runs.of] = np.repeat(live, runs.stop - runs.start)
-    # A window that is repeated holds a block of its own document, and that block is live.
-    blocks = runs.place[alive & runs.block]
-    n_words = len(batch.row)
-    begin = np.maximum(blocks - (window - runs.size), batch.first[batch.row[blocks]])
-    steps = np.zeros(n_words + 1, np.int32)
-    np.add.at(steps, begin, 1)
-    np.add.at(steps, blocks + 1, -1)
-    place = np.flatnonzero(np.cumsum(steps[:n_words]) > 0)
-    place = place[place + window <= batch.first[batch.row[place] + 1]]
+        for out, x in zip((live, again), bits, strict=True):
+            out[at : at + n] = np.unpackbits(np.frombuffer(x, np.uint8), count=n)
+    place = _stretches(runs, live, again, len(batch.row), window)
     if not len(place):
         return packed_table([], EXTEND)
-    second = span_hashes(batch.raw, batch.starts, batch.ends, MULTIPLIERS[1])
     h1 = rolling_hashes(runs.words, window, MULTIPLIERS[0])[place]
-    h2 = rolling_hashes(second, window, MULTIPLIERS[1])[place]
+    h2 = rolling_hashes(runs.second, window, MULTIPLIERS[1])[place]
     order = np.lexsort((place, h2, h1))  # the places of equal windows ascend, and so do their ids
     h1, h2, place = h1[order], h2[order], place[order]
     ids = batch.ids[batch.row[place]]
@@ -124,17 +137,20 @@ def _extend(key: tuple, table: pa.Table, hits: pa.Table, window: int, n_buckets:
     new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
     least = np.repeat(ids[new], np.diff(np.append(np.flatnonzero(new), len(place))))
     here = ids > least
-    rows = [(-1, key[0].as_py(), int(here.sum()), b"", b"", place[here].astype(np.uint32).tobytes())] if here.any() else []
+    number = key[0].as_py()
+    rows = [(-1 - number % n_buckets, number, int(here.sum()), b"", b"", place[here].astype(np.uint32).tobytes())] if here.any() else []
     sent = ~here
     h1, h2, place, ids = h1[sent], h2[sent], place[sent].astype(np.uint32), ids[sent]
     to = buckets_of(h1, n_buckets)
     for a, b in zip(*cuts(to), strict=True):
-        rows.append((int(to[a]), key[0].as_py(), int(b - a), h1[a:b].astype(np.uint32).tobytes() + h2[a:b].tobytes(), narrow(ids[a:b]), place[a:b].tobytes()))
+        rows.append((int(to[a]), number, int(b - a), h1[a:b].astype(np.uint32).tobytes() + h2[a:b].tobytes(), narrow(ids[a:b]), place[a:b].tobytes()))
     return packed_table(rows, EXTEND)
 
 
 def _remove(key: tuple, table: pa.Table) -> pa.Table:
     """Windows of one bucket that also start in a document with a smaller id."""
+    if key[0].as_py() < 0:
+        return table.select(["__batch", "places"])
     columns = [table.column(c).to_pylist() for c in ("__batch", "n", "hashes", "ids", "places")]
     sizes = np.array(columns[1])
     low = np.concatenate([np.frombuffer(x, np.uint32, n) for n, x in zip(columns[1], columns[2], strict=True)])
@@ -183,19 +199,16 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep: tuple[str, ...] = ("
 
     ``entries_each``: about as many entries meet in one bucket; ``batch_bytes``: text of one batch.
     """
-    spark = docs.sparkSession
-    rows = in_batches(docs.select(*dict.fromkeys(["doc_id", "text", *keep])), batch_bytes)
-    words = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = int(max(shuffle_partitions(spark), words // 6 // entries_each))
+    keep = tuple(c for c in keep if c not in COUNTS)
+    rows, total = in_batches(docs.select(*dict.fromkeys(["doc_id", "text", *keep])), batch_bytes)
+    n_buckets = int(max(shuffle_partitions(docs.sparkSession), total // 6 // entries_each))
     by_batch = rows.groupBy("__batch")
     probes = by_batch.applyInArrow(lambda key, docs: _probe(key, docs, window, n_buckets), PROBE)
     hits = probes.groupBy("__bucket").applyInArrow(lambda key, sent: _hit(key, sent), HIT)
     around = by_batch.cogroup(hits.groupBy("__batch")).applyInArrow(lambda key, docs, hit: _extend(key, docs, hit, window, n_buckets), EXTEND)
-    settled = around.where("__bucket < 0").select("__batch", "places")
-    removed = around.where("__bucket >= 0").groupBy("__bucket").applyInArrow(lambda key, sent: _remove(key, sent), REMOVE).unionByName(settled)
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in rows.select(*keep).dtypes)
-
-    return by_batch.cogroup(removed.groupBy("__batch")).applyInArrow(lambda key, docs, gone: _kept(docs, gone, window, keep), f"{schema}, n_words long, n_removed long, kept string")
+    removed = around.groupBy("__bucket").applyInArrow(lambda key, sent: _remove(key, sent), REMOVE)
+    schema = "".join(f"`{c}` {kind}, " for c, kind in rows.select(*keep).dtypes) + "n_words long, n_removed long, kept string"
+    return by_batch.cogroup(removed.groupBy("__batch")).applyInArrow(lambda key, docs, gone: _kept(docs, gone, window, keep), schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
