@@ -11,8 +11,9 @@ one machine's size are made for shards, so equal strings have to meet in one sha
    of equal windows and the smallest doc_id of each;
 3. removal: the shard answers each batch which windows go.
 
-Equal pieces of a batch are sent once. An anchor that occurs in more than ``hot`` batches (a common line between texts that differ) would
-send many distinct pieces to one shard; each of its windows goes as a piece of its own, to the shard of its own hash.
+Equal pieces of a batch are sent once. An anchor with more than ``hot_bytes`` of pieces (a common line between texts that differ) would
+overload its shard; each of its windows goes as a piece of its own, to the shard of its own hash. Hashes only bring pieces together: pieces
+count as equal when their bytes do.
 
 Defined results: a null text is empty; a null doc_id comes after all others; rows with one doc_id are one document for the comparison and
 stay separate rows; an empty table gives an empty result; texts are taken whole; ``keep`` names further columns to carry. What is kept need
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.batches import MULTIPLIERS, Batch, buckets_of, cuts, in_batches, narrow, packed_table, rolling_hashes, span_hashes, widen
+from meridian.llm.batches import MULTIPLIERS, Batch, buckets_of, cuts, in_batches, mixed, narrow, packed_table, rolling_hashes, same_spans, span_hashes, widen
 from meridian.llm.common import documents, shuffle_partitions
 from meridian.llm.suffix_array import permuted_lcp, suffix_array
 
@@ -34,10 +35,12 @@ from meridian.llm.suffix_array import permuted_lcp, suffix_array
 ANCHOR = 20
 #: A byte that UTF-8 never has, between the pieces of a shard.
 BETWEEN = 0xFF
-ANCHORS = "__bucket long, __batch long, n int, hashes binary, shared binary"
+ANCHORS = "__bucket long, __batch long, n int, hashes binary, shared binary, pieces binary"
 LIVE = "__batch long, __bucket long, n int, live binary"
 PIECES = "__bucket long, __batch long, n int, parts binary, widths binary, bytes binary, ids binary, places binary"
 GONE = "__batch long, places binary, windows binary"
+#: New columns; one of these names that is to be kept is left out.
+COUNTS = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -53,7 +56,7 @@ class _Anchored:
     """Runs of windows of a batch that have one anchor, and the distinct anchors by ascending hash."""
 
     def __init__(self, batch: Batch, length: int):
-        raw, at, span = batch.raw, batch.at, length - ANCHOR + 1
+        raw, at, span, self.length = batch.raw, batch.at, length - ANCHOR + 1, length
         self.first = self.last = self.anchor = np.zeros(0, np.int64)
         if len(raw) >= length:
             hashes = rolling_hashes(raw, ANCHOR, MULTIPLIERS[0])
@@ -81,8 +84,27 @@ class _Anchored:
     def messages(self, batch: Batch, key: int, n_buckets: int) -> list[tuple]:
         ids = batch.ids[self.row[self.order]]  # rows are sorted by id
         shared = ids[self.start] != ids[self.stop - 1]
+        pieces = self._pieces(batch.raw, shared)
+        at = np.append(0, np.cumsum(shared))
         buckets, low = buckets_of(self.distinct, n_buckets), self.distinct.astype(np.uint32)
-        return [(int(buckets[a]), key, int(b - a), low[a:b].tobytes(), np.packbits(shared[a:b]).tobytes()) for a, b in zip(*cuts(buckets), strict=True)]
+        return [
+            (int(buckets[a]), key, int(b - a), low[a:b].tobytes(), np.packbits(shared[a:b]).tobytes(), pieces[at[a] : at[b]].tobytes())
+            for a, b in zip(*cuts(buckets), strict=True)
+        ]
+
+    def _pieces(self, raw: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        """How many different pieces the anchors in two documents have here (255 at most), by the first and last eight bytes of the pieces."""
+        size = (self.stop - self.start)[shared]
+        if not len(size):
+            return np.zeros(0, np.uint8)
+        run = self.order[np.repeat(shared, self.stop - self.start)]
+        eight = np.lib.stride_tricks.sliding_window_view(raw, 8)
+        ends = [eight[at].view(np.uint64).ravel() for at in (self.first[run], self.last[run] + self.length - 8)]
+        sign = mixed(ends[0] ^ mixed(ends[1] + np.uint64(1)))
+        of = np.repeat(np.arange(len(size)), size)
+        order = np.lexsort((sign, of))
+        new = np.append(True, (np.diff(of[order]) > 0) | (sign[order][1:] != sign[order][:-1]))
+        return np.minimum(np.bincount(of[order][new], minlength=len(size)), 255).astype(np.uint8)
 
 
 def _anchors(key: tuple, table: pa.Table, length: int, n_buckets: int) -> pa.Table:
@@ -91,13 +113,16 @@ def _anchors(key: tuple, table: pa.Table, length: int, n_buckets: int) -> pa.Tab
 
 
 def _live(key: tuple, table: pa.Table, hot: int) -> pa.Table:
-    """For each anchor sent to a bucket: 0 if only one document has it, else 1, or 2 if more than ``hot`` batches do."""
+    """For each anchor sent to a bucket: 0 if only one document has it, else 1, or 2 if it has more than ``hot`` pieces."""
     sizes = table.column("n").to_pylist()
     hashes = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("hashes").to_pylist()])
     shared = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n).view(bool) for x, n in zip(table.column("shared").to_pylist(), sizes, strict=True)])
+    pieces = np.ones(len(hashes), np.int64)
+    pieces[shared] = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("pieces").to_pylist()])
     order = np.argsort(hashes, kind="stable")
     start, stop = cuts(hashes[order])
-    state = (np.logical_or.reduceat(shared[order], start) | (stop - start > 1)).astype(np.uint8) + (stop - start > hot)
+    state = (np.logical_or.reduceat(shared[order], start) | (stop - start > 1)).astype(np.uint8)
+    state[(state > 0) & (np.add.reduceat(pieces[order], start) > hot)] = 2
     out = np.empty(len(hashes), np.uint8)
     out[order] = np.repeat(state, stop - start)
     at = np.concatenate([[0], np.cumsum(sizes)])
@@ -106,8 +131,17 @@ def _live(key: tuple, table: pa.Table, hot: int) -> pa.Table:
     return packed_table(rows, LIVE)
 
 
+def _different(raw: np.ndarray, first: np.ndarray, size: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Which of some pieces, sorted by ``keys``, differ from the one before; those with equal keys are compared."""
+    new = np.ones(len(first), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in (size, *keys)])
+    again = np.flatnonzero(~new)
+    new[again] = ~same_spans(raw, first[again], first[again - 1], size[again])
+    return new
+
+
 def _pieces(key: tuple, table: pa.Table, hits: pa.Table, length: int, n_buckets: int) -> pa.Table:
-    """Pieces with live anchors, sent to their shards; those repeated within the batch are settled here."""
+    """Pieces with live anchors, sent to their shards; those repeated within the batch are settled here, and pass with a bucket below zero."""
     if not hits.num_rows:
         return packed_table([], PIECES)
     batch = Batch(table)
@@ -130,17 +164,17 @@ def _pieces(key: tuple, table: pa.Table, hits: pa.Table, length: int, n_buckets:
     if not len(first):
         return packed_table([], PIECES)
     stop = last + length
-    h1, h2 = (span_hashes(batch.raw, first, stop, m) for m in MULTIPLIERS)
+    h = span_hashes(batch.raw, first, stop, MULTIPLIERS[1])
     ids = batch.ids[np.searchsorted(batch.at, first, "right") - 1]
-    order = np.lexsort((first, h2, h1, to))  # the places of equal pieces ascend, and so do their ids
-    first, last, stop, to, h1, h2, ids = (x[order] for x in (first, last, stop, to, h1, h2, ids))
-    new = np.ones(len(first), bool)
-    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (to[1:] != to[:-1])
+    order = np.lexsort((first, h, to))  # the places of equal pieces ascend, and so do their ids
+    first, last, stop, to, h, ids = (x[order] for x in (first, last, stop, to, h, ids))
+    new = _different(batch.raw, first, stop - first, h, to)
     least = np.repeat(ids[new], np.diff(np.append(np.flatnonzero(new), len(ids))))
     here = ids > least
     rows = []
     if here.any():
-        rows = [(-1, key[0].as_py(), int(here.sum()), b"", (last - first)[here].astype(np.uint8).tobytes(), b"", b"", first[here].astype(np.uint32).tobytes())]
+        number, bits = key[0].as_py(), (np.uint64(2) << (last - first)[here].astype(np.uint64)) - np.uint64(1)
+        rows = [(-1 - number % n_buckets, number, int(here.sum()), b"", b"", bits.astype(np.uint32).tobytes(), b"", first[here].astype(np.uint32).tobytes())]
     first, last, stop, to, ids = (x[~here] for x in (first, last, stop, to, ids))
     size = stop - first
     at = np.concatenate([[0], np.cumsum(size)])
@@ -175,6 +209,8 @@ def _least_ids(pieces: np.ndarray, start: np.ndarray, width: np.ndarray, ids: np
 
 
 def _shard(key: tuple, table: pa.Table, length: int, shard_bytes: int) -> pa.Table:
+    if key[0].as_py() < 0:
+        return table.select(["__batch", "places", "bytes"]).rename_columns(["__batch", "places", "windows"])
     n = table.column("n").to_pylist()
     column = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
     part, width, data, place = column("parts", np.uint32), column("widths", np.uint8).astype(np.int64) + 1, column("bytes", np.uint8), column("places", np.uint32)
@@ -182,7 +218,7 @@ def _shard(key: tuple, table: pa.Table, length: int, shard_bytes: int) -> pa.Tab
     source = np.repeat(np.arange(len(n)), n)
     size = width + length - 1
     at = np.cumsum(size) - size
-    h1, h2 = (span_hashes(data, at, at + size, m) for m in MULTIPLIERS)
+    h = span_hashes(data, at, at + size, MULTIPLIERS[1])
     gone = np.zeros(len(place), np.uint32)
     # Parts with about shard_bytes each; all windows of an anchor are in one part.
     parts = max(1, len(data) // shard_bytes)
@@ -191,9 +227,8 @@ def _shard(key: tuple, table: pa.Table, length: int, shard_bytes: int) -> pa.Tab
         mine = np.flatnonzero(share == p)
         if not len(mine):
             continue
-        mine = mine[np.lexsort((ids[mine], h2[mine], h1[mine]))]
-        new = np.ones(len(mine), bool)
-        new[1:] = (h1[mine][1:] != h1[mine][:-1]) | (h2[mine][1:] != h2[mine][:-1])
+        mine = mine[np.lexsort((ids[mine], h[mine]))]
+        new = _different(data, at[mine], size[mine], h[mine])
         heads = mine[new]
         span = size[heads] + 1
         start = np.cumsum(span) - span
@@ -214,7 +249,7 @@ def _shard(key: tuple, table: pa.Table, length: int, shard_bytes: int) -> pa.Tab
     return packed_table(rows, GONE)
 
 
-def _kept(table: pa.Table, removed: pa.Table, length: int, keep: tuple[str, ...]) -> pa.Table:
+def _kept(table: pa.Table, removed: pa.Table, length: int, keep: tuple[str, ...], as_text: bool) -> pa.Table:
     batch = Batch(table)
     steps = np.zeros(len(batch.raw) + 1, np.int32)
     for places, windows in zip(removed.column("places").to_pylist(), removed.column("windows").to_pylist(), strict=True):
@@ -230,50 +265,41 @@ def _kept(table: pa.Table, removed: pa.Table, length: int, keep: tuple[str, ...]
     lost, spans = (np.diff(np.concatenate([[0], np.cumsum(x)])[batch.at]) for x in (gone, head))
     size = np.diff(batch.at)
     offsets = np.concatenate([[0], np.cumsum(size - lost)]).astype(np.int64)
-    kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(batch.raw[~gone].tobytes())]).cast(pa.binary())
+    data = batch.raw[~gone].tobytes()
+    if as_text:
+        kept = pa.array([data[a:b].decode("utf-8", "ignore") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.string())
+    else:
+        kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)]).cast(pa.binary())
     columns = [*[batch.table.column(c) for c in keep], pa.array(size, pa.int64()), pa.array(lost, pa.int64()), pa.array(spans, pa.int64()), kept]
-    return pa.table(columns, [*keep, "n_bytes", "n_removed", "n_spans", "kept"])
+    return pa.table(columns, [*keep, *COUNTS])
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 50, keep: tuple[str, ...] = ("doc_id",), hot: int = 4096, batch_bytes: int = 1 << 20, shard_bytes: int = 1 << 20) -> DataFrame:
-    """The columns ``keep`` of ``docs``, with n_bytes, n_removed, n_spans (maximal runs removed) and kept (binary).
+def remove_repeated_bytes(
+    docs: DataFrame, length: int = 50, keep: tuple[str, ...] = ("doc_id",), hot_bytes: int = 1 << 18, batch_bytes: int = 1 << 20, shard_bytes: int = 1 << 20, as_text: bool = False
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (but those named as new ones), with n_bytes, n_removed, n_spans (maximal runs removed) and kept (binary).
 
-    ``length``: of a repeated string, up to ANCHOR + 31 bytes; ``batch_bytes`` and ``shard_bytes`` bound what is worked on at a time.
+    ``length``: of a repeated string, up to ANCHOR + 31 bytes; ``batch_bytes``, ``shard_bytes`` and, for the pieces of one anchor,
+    ``hot_bytes`` bound what is worked on at a time; ``as_text``: what is kept as a string, without parts of characters that were cut.
     """
     if not ANCHOR < length <= ANCHOR + 31:
         raise ValueError(f"length must be {ANCHOR + 1} to {ANCHOR + 31}")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    keep = tuple(c for c in keep if c not in COUNTS)
+    rows, total = in_batches(docs.select(*dict.fromkeys(["doc_id", "text", *keep])), batch_bytes)
     n_buckets = int(max(shuffle_partitions(docs.sparkSession), total // (2 * shard_bytes)))
-    rows = in_batches(docs.select(*dict.fromkeys(["doc_id", "text", *keep])), batch_bytes)
+    hot = max(1, hot_bytes // (2 * length - ANCHOR))
     by_batch = rows.groupBy("__batch")
     live = by_batch.applyInArrow(lambda key, t: _anchors(key, t, length, n_buckets), ANCHORS).groupBy("__bucket").applyInArrow(lambda key, t: _live(key, t, hot), LIVE)
     pieces = by_batch.cogroup(live.groupBy("__batch")).applyInArrow(lambda key, t, hits: _pieces(key, t, hits, length, n_buckets), PIECES)
-    settled = pieces.where("__bucket < 0").select("__batch", "places", F.col("widths").alias("windows"))
-    settled = settled.mapInArrow(_all_windows, GONE)
-    found = pieces.where("__bucket >= 0").groupBy("__bucket").applyInArrow(lambda key, t: _shard(key, t, length, shard_bytes), GONE)
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in rows.select(*keep).dtypes)
-    removed = found.unionByName(settled).groupBy("__batch")
-    return by_batch.cogroup(removed).applyInArrow(lambda key, t, gone: _kept(t, gone, length, keep), f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary")
-
-
-def _all_windows(batches):
-    """Widths (windows less one) of pieces that go whole, as bits."""
-    for b in batches:
-        bits = [((np.uint64(2) << np.frombuffer(x, np.uint8).astype(np.uint64)) - np.uint64(1)).astype(np.uint32).tobytes() for x in b.column("windows").to_pylist()]
-        yield pa.record_batch([b.column("__batch"), b.column("places"), pa.array(bits, pa.binary())], ["__batch", "places", "windows"])
-
-
-def _as_text(batches):
-    for b in batches:
-        texts = [x.decode("utf-8", "ignore") for x in b.column("kept").to_pylist()]
-        yield pa.record_batch([b.column("row"), pa.array(texts, pa.string())], ["row", "kept"])
+    removed = pieces.groupBy("__bucket").applyInArrow(lambda key, t: _shard(key, t, length, shard_bytes), GONE).groupBy("__batch")
+    schema = "".join(f"`{c}` {kind}, " for c, kind in rows.select(*keep).dtypes) + f"n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}"
+    return by_batch.cogroup(removed).applyInArrow(lambda key, t, gone: _kept(t, gone, length, keep, as_text), schema)
 
 
 def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     """``docs`` with what is kept as text; of a character that was cut in two, no part is kept. n_chars, where it is there, is counted anew."""
     rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
-    found = remove_repeated_bytes(rows, length, keep=("row",)).select("row", "kept")
-    found = found.mapInArrow(_as_text, f"row {dict(rows.dtypes)['row']}, kept string")
+    found = remove_repeated_bytes(rows, length, keep=("row",), as_text=True)
     changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
     return found.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, byte_dedup, language, media, queries, sharding, simhash, suffix_array, topk, toxicity
+from meridian.llm import bpe, byte_dedup, language, media, queries, sharding, simhash, substring_dedup, suffix_array, topk, toxicity
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -50,9 +50,9 @@ def test_registered():
 
 
 @needs_tables
-@pytest.mark.parametrize("hot", [4096, 1])
+@pytest.mark.parametrize("hot", [1 << 18, 1])
 def test_byte_dedup(docs, hot):
-    """Both ways of anchors: the common one, and that of anchors in many batches."""
+    """Both ways of anchors: the common one, and that of anchors with many pieces."""
     rows = sorted((r["doc_id"], (r["text"] or "").encode()) for r in docs.collect())
     first = {}
     for i, b in rows:
@@ -65,7 +65,7 @@ def test_byte_dedup(docs, hot):
             if first[b[k : k + 50]] < i:
                 gone[k : k + 50] = True
         want[i] = (len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), bytes(np.frombuffer(b, np.uint8)[~gone]))
-    found = byte_dedup.remove_repeated_bytes(docs, hot=hot, batch_bytes=1 << 16, shard_bytes=1 << 14).collect()
+    found = byte_dedup.remove_repeated_bytes(docs, hot_bytes=hot, batch_bytes=1 << 16, shard_bytes=1 << 14).collect()
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found} == want
 
 
@@ -84,6 +84,41 @@ def test_suffix_arrays():
             assert lcp[b] == common
 
 
+def test_suffix_arrays_of_long_strings():
+    """Strings of 100 kB with names of LMS substrings that repeat over several levels: random, periodic, copied and Fibonacci strings."""
+    rng = np.random.default_rng(8)
+    copied = rng.integers(97, 123, 5000)
+    a, b = "a", "ab"
+    while len(b) < 100_000:
+        a, b = b, b + a
+    phrases = [rng.integers(97, 123, k) for k in rng.integers(3, 60, 40)]
+    made = [rng.integers(0, 4, 100_000), np.tile(rng.integers(0, 9, 37), 3000), np.concatenate([copied] * 20), np.frombuffer(b.encode(), np.uint8), np.concatenate([phrases[i] for i in rng.integers(0, 40, 3000)])]
+    levels, inner = [], suffix_array._induce
+    for s in made:
+        order = suffix_array.suffix_array(s)
+        rank = np.empty(len(s) + 1, np.int64)
+        rank[order], rank[len(s)] = np.arange(len(s)), -1
+        # Each suffix is larger than the one before it: by its first sign, or by the suffix after that.
+        key = s[order].astype(np.int64) * (len(s) + 1) + rank[order + 1]
+        assert (np.diff(key) > 0).all() and len(np.unique(order)) == len(s)
+    calls = levels.append
+    suffix_array._induce = lambda s, *rest: calls(len(s)) or inner(s, *rest)
+    try:
+        suffix_array.suffix_array(made[3])
+    finally:
+        suffix_array._induce = inner
+    assert len(set(levels)) > 5  # the names are sorted by the same steps, level by level
+
+
+def test_words_with_equal_polynomials(spark):
+    """Two words of 1,024 letters that polynomials modulo 2**64 can't tell apart, whatever the multiplier, are different words."""
+    bits = [i.bit_count() & 1 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ x] for b in bits) for x in (0, 1))
+    rows = [(k, " ".join([f"w{i}" for i in range(12)] + [t])) for k, t in enumerate((one, two, one))]
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 13}
+
+
 @needs_tables
 @pytest.mark.parametrize(("blocks", "meet"), [(1, 4096), (2, 4096), (1, 8)])
 def test_simhash(docs, blocks, meet, monkeypatch):
