@@ -1,24 +1,33 @@
-"""Exact top-k search by inner product, by aggregation of sorted lists, with random access only to the few rows that are left.
+"""Exact top-k search by inner product: aggregation of sorted lists without random access.
 
-Rows are dealt to shards of bounded size; in a shard each component is a list sorted by value. A query reads its lists in step, from the end
-that adds most to the score, and keeps for every row a lower and an upper bound: what was read of it, and for the rest the least value of
-the list or the last one read. Rows whose upper bound is under the k-th lower bound can't qualify and are dropped; reading stops when so few
-are left that their final scores settle the matter. The best k of each shard meet in one window a query.
+Rows are dealt to shards of bounded size; in a shard each component is a list of (value, row) sorted by value, and nothing else is kept of
+the rows. A query reads its lists in step, in slices, each from the end that adds most to the score. For a row that was seen, what was read
+of it is added up; its lower bound takes the least value of each list that has not shown it yet, its upper bound the value last read there.
+A row that was not seen has the sum of the values last read as its upper bound. A row whose upper bound is under the k-th lower bound can't
+qualify and is dropped. When no unseen row can qualify either, only the rows that are left count; their final scores are what reading on
+adds, until all lists have shown them. The best k of each shard meet in one window a query.
+
+Queries go to the shards, as the rows are many times more; a shard's lists are made once, and the queries pass by batch after batch.
 
 Defined results: rows with a null vec_id, or a vector that is null or has a null, NaN or infinite component, take no part; vectors of
 different lengths meet over the components that both have; rows with the query's own vec_id are left out; a query row that is repeated is
-one query; ties go to the smaller vec_id; scores are 64-bit; an empty table gives an empty result.
+one query; ties go to the smaller vec_id; an integer component or a score beyond 64 bits is the nearest that fits, and ranks by its exact
+sum within a shard; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SHARD, BLOCK = 8192, 512
+#: Rows of a shard, about, and entries that the first slice of each list has; later slices are half of what was read before.
+SHARD, SLICE = 16_384, 64
 FOUND = "query_key long, query_id long, vec_id long, score long"
+LONG = np.iinfo(np.int64)
 
 
 def usable(vectors: DataFrame, scale: float = 1024.0) -> DataFrame:
@@ -29,76 +38,94 @@ def usable(vectors: DataFrame, scale: float = 1024.0) -> DataFrame:
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(wide, lambda x: F.floor(x * F.lit(scale)).cast("long")).alias("v"))
 
 
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    rows = table.column("v").to_pylist()
-    width = max(map(len, rows), default=0)
-    out = np.zeros((len(rows), width), np.int64)
+def _matrix(rows: list[list[int]]) -> np.ndarray:
+    out = np.zeros((len(rows), max(map(len, rows), default=0)), np.int64)
     for i, r in enumerate(rows):
         out[i, : len(r)] = r
-    return out, table.column("vec_id").to_numpy()
+    return out
 
 
 class Lists:
-    """Sorted lists of the components of some rows."""
+    """Sorted lists of the components of some rows, and the entries that were read of them."""
 
     def __init__(self, x: np.ndarray, ids: np.ndarray):
-        self.x, self.ids, self.rows = x, ids, np.argsort(x, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(x, self.rows, axis=0)
+        self.rows = np.argsort(x, axis=0, kind="stable").astype(np.int32)
+        self.values, self.ids, self.read = np.take_along_axis(x, self.rows, axis=0), ids, 0
+        self.largest = max(abs(int(x.min())), abs(int(x.max()))) if x.size else 0
+
+    def _slice(self, used: np.ndarray, up: np.ndarray, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+        """Entries ``start`` to ``stop`` of the lists ``used``, from the end that adds most: rows and values."""
+        n, rows, values = len(self.ids), np.empty((stop - start, len(used)), np.int32), np.empty((stop - start, len(used)), self.values.dtype)
+        for side, lines in ((up, slice(n - stop, n - start)), (~up, slice(start, stop))):
+            turn = -1 if side is up else 1
+            rows[:, side], values[:, side] = self.rows[lines, used[side]][::turn], self.values[lines, used[side]][::turn]
+        self.read += rows.size
+        return rows, values
 
     def best(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """vec_ids and scores of the k best rows but ``own``.
-
-        Lists are read in slices from the end that adds most, each to ``last``; an entry read takes the place of the bounds of its row and list.
-        """
-        n, up = len(self.x), q > 0
-        least = q * np.where(up, self.sorted[0], self.sorted[-1])
-        lower, read = np.full(n, least.sum(dtype=np.int64)), np.zeros(self.x.shape, bool)
-        left, depth = np.flatnonzero(self.ids != own), 0
-        while len(left) > 2 * k and depth < n:
-            done, depth = depth, min(n, depth + max(64, n // 3))
-            rows = np.where(up, self.rows[n - depth : n - done], self.rows[done:depth])
-            adds = q * np.where(up, self.sorted[n - depth : n - done], self.sorted[done:depth])
-            np.add.at(lower, rows.ravel(), (adds - least).ravel().astype(np.int64))
-            np.put_along_axis(read, rows, True, axis=0)
-            last = q * np.where(up, self.sorted[n - depth], self.sorted[depth - 1])
-            upper = lower[left] + (~read[left]) @ (last - least).astype(np.int64)
-            left = left[upper >= np.partition(lower[left], len(left) - k)[len(left) - k]]
-        # All lists are read to the end, or the few rows left are looked up.
-        score = lower[left] if depth == n else (self.x[left] * q).sum(axis=1, dtype=np.int64)
-        order = np.lexsort((self.ids[left], -score))[:k]
-        return self.ids[left][order], score[order]
-
-
-def _search(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    parts: list[tuple] = []
-    if rows.num_rows and queries.num_rows:
-        x, ids = _matrix(rows)
-        q, query_ids = _matrix(queries)
-        width = min(x.shape[1], q.shape[1])
-        x, q = x[:, :width], q[:, :width]
-        # Half the bytes where no score can leave 32 bits.
-        if width and int(np.abs(x).max()) * int(np.abs(q).max()) * width < 1 << 31:
-            x, q = x.astype(np.int32), q.astype(np.int32)
-        lists = Lists(x, ids)
-        for key, one, own in zip(queries.column("query_key").to_pylist(), q, query_ids.tolist(), strict=True):
-            parts += [(key, own, i, s) for i, s in zip(*(a.tolist() for a in lists.best(one, k, own)), strict=True)]
-    columns = list(zip(*parts, strict=True)) or [()] * 4
-    return pa.table([pa.array(c, pa.int64()) for c in columns], ["query_key", "query_id", "vec_id", "score"])
+        """vec_ids and scores of the k best rows but those with the vec_id ``own``."""
+        q = q[: self.values.shape[1]]
+        n, used = len(self.ids), np.flatnonzero(q)
+        if self.largest * max(map(abs, q.tolist()), default=0) * max(len(used), 1) > LONG.max:
+            q = q.astype(object)  # exact sums of any size
+        q, up = q[used], np.asarray(q[used] > 0, bool)
+        least = q * np.where(up, self.values[0, used], self.values[-1, used]) if n else q
+        total, shown = np.zeros(n, least.dtype), np.zeros((n, len(used)), bool)
+        alive, depth = self.ids != own, 0
+        left = np.flatnonzero(alive) if not len(used) else np.zeros(0, np.int64)  # without a list every row scores 0
+        while depth < n and len(used):
+            start, depth = depth, min(n, depth + max(SLICE, depth // 2))
+            rows, values = self._slice(used, up, start, depth)
+            np.add.at(total, rows, q * values)
+            np.put_along_axis(shown, rows, True, axis=0)
+            left = np.flatnonzero(alive & shown.any(axis=1))
+            if len(left) < k and depth < n:
+                continue
+            last, open_ = q * values[-1], (~shown[left]).astype(least.dtype)
+            lower, upper = total[left] + open_ @ least, total[left] + open_ @ last
+            bar = np.sort(lower)[-k] if len(left) >= k else None
+            if bar is not None:
+                qualify = upper >= bar
+                alive[left[~qualify]] = False
+                left = left[qualify]
+                if last.sum() < bar and shown[left].all():
+                    break  # no other row can qualify, and these are known in full
+        score = total[left]
+        order = np.array(sorted(range(len(left)), key=lambda i: (-int(score[i]), int(self.ids[left[i]])))[:k], np.int64)
+        return self.ids[left[order]], score[order]
+
+
+def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Rows and, after them, queries of one shard after the other."""
+    shard, rows, ids, lists = None, [], [], None
+    for batch in batches:
+        kinds, shards = batch.column("query_key"), batch.column("shard").to_pylist()
+        found: list[tuple] = []
+        for at, key, i, v in zip(shards, kinds.to_pylist(), batch.column("vec_id").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            if at != shard:
+                shard, rows, ids, lists = at, [], [], None
+            if key is None:
+                rows.append(np.array(v, np.int64))
+                ids.append(i)
+                continue
+            if lists is None:
+                lists, rows = Lists(_matrix(rows), np.array(ids, np.int64)), []
+            found += [(key, i, row, min(max(int(s), LONG.min), LONG.max)) for row, s in zip(*lists.best(np.array(v, np.int64), k, i), strict=True)]
+        columns = list(zip(*found, strict=True)) or [()] * 4
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["query_key", "query_id", "vec_id", "score"])
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` best of ``vectors`` for each of ``queries`` (both as ``usable`` gives them).
 
-    Every block of queries meets every shard of rows: the queries are a stated set, and both are of bounded size.
+    The rows are shuffled once; the queries are a stated set, and each goes once to every shard.
     """
     shards = max(1, -(-vectors.count() // SHARD))
     queries = queries.select(F.xxhash64("vec_id", "v").alias("query_key"), "vec_id", "v").dropDuplicates(["query_key"])
-    blocks = max(1, -(-queries.count() // BLOCK))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    rows = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")).withColumn("block", each(blocks))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("query_key"), F.lit(blocks)).cast("int")).withColumn("shard", each(shards))
-    met = rows.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
-    found = met.applyInArrow(lambda r, q: _search(r, q, k), FOUND)
+    rows = vectors.select(F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).alias("shard"), F.lit(None).cast("long").alias("query_key"), "vec_id", "v")
+    asked = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), "query_key", "vec_id", "v")
+    met = rows.unionByName(asked).repartition("shard").sortWithinPartitions("shard", F.col("query_key").asc_nulls_first())
+    found = met.mapInArrow(lambda it: _search(it, k), FOUND)
     best = Window.partitionBy("query_key").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -202,22 +202,28 @@ def test_topk_lists():
         assert [(-int(s), int(i)) for i, s in zip(ids, scores, strict=True)] == every
 
 
-def test_topk_reads_lists():
-    """Bounds come from the lists: at most 2 k rows are looked up."""
-
-    class Rows(np.ndarray):
-        def __getitem__(self, at):
-            looked.append(np.size(at))
-            return np.asarray(self)[at]
-
-    rng, looked = np.random.default_rng(4), []
-    x = np.floor(rng.standard_normal((900, 3)) * 50).astype(np.int64)
-    lists = topk.Lists(x, np.arange(900))
-    lists.x = x.view(Rows)
-    for q in x[::90]:
-        _, scores = lists.best(q, 10, -1)
-        assert scores.tolist() == sorted((x @ q).tolist(), reverse=True)[:10]
-    assert max(looked, default=0) <= 20
+def test_topk_stops_reading():
+    """Where the best rows stand out, a part of the lists settles the search; rows are never looked up, as only lists are kept."""
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.standard_normal((4000, 4)) * 50).astype(np.int64)
+    x[::100] += 2000  # forty rows lead every list
+    lists = topk.Lists(x, np.arange(4000))
+    assert not hasattr(lists, "x")
+    for q in np.abs(x[::400]) + 1:
+        before = lists.read
+        ids, scores = lists.best(q, 10, -1)
+        assert list(zip((-scores).tolist(), ids.tolist(), strict=True)) == sorted(zip((-(x @ q)).tolist(), range(4000), strict=True))[:10]
+        assert lists.read - before < x.size / 10
+    # On lists that tell nothing all is read.
+    flat = topk.Lists(np.tile(np.arange(2000)[:, None], (1, 2)) * [1, -1], np.arange(2000))
+    assert flat.best(np.array([1, 1]), 3, -1)[0].tolist() == [0, 1, 2] and flat.read == 4000
+
+
+def test_topk_beyond_64_bits(spark):
+    rows = [(0, [1e300, 1.0]), (1, [1e300, 1.0]), (2, [-1e300, 0.0]), (3, [2.0, 1.0])]
+    vectors = topk.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = [tuple(r) for r in topk.search(vectors, vectors.where("vec_id = 0")).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 2**63 - 1), (0, 2, 3, 2**63 - 1), (0, 3, 2, -(2**63))]
 
 
 def test_png_filters():
