@@ -15,23 +15,26 @@ from meridian.llm.common import materialise
 SALTS = 16
 
 
-def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
-    """``links`` (n, x) with the minimum m of the node n, from ``least`` (n, m)."""
+def with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """``links`` (n, x) with the minimum m of the node n, from ``least`` (n, m), which has each n once.
+
+    The salted minima are SALTS times what Spark takes them for, so they are not to be broadcast on its estimate.
+    """
     salted = links.withColumn("__salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int"))
     spread = least.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(spread, ["n", "__salt"]).drop("__salt")
+    return salted.join(spread.hint("merge"), ["n", "__salt"]).drop("__salt")
 
 
 def _large(links: DataFrame) -> DataFrame:
     both = links.select(F.col("u").alias("n"), F.col("v").alias("x")).unionAll(links.select(F.col("v").alias("n"), F.col("u").alias("x")))
     least = both.groupBy("n").agg(F.min("x").alias("m")).select("n", F.least("n", "m").alias("m"))
-    return _with_least(both.where("x > n"), least).select(F.col("x").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return with_least(both.where("x > n"), least).select(F.col("x").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small(links: DataFrame) -> DataFrame:
     down = links.select(F.col("u").alias("n"), F.col("v").alias("x"))
     least = down.groupBy("n").agg(F.min("x").alias("m"))
-    moved = _with_least(down, least).where("x <> m").select(F.col("x").alias("u"), F.col("m").alias("v"))
+    moved = with_least(down, least).where("x <> m").select(F.col("x").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select(F.col("n").alias("u"), F.col("m").alias("v"))).distinct()
 
 

@@ -2,8 +2,8 @@
 
 Fingerprints are compared only at anchors, the words of the binary Golay code of 23 bits, which covers every word within 3 bits. Two
 fingerprints that differ in up to 4 bits have a word midway, within 2 bits of both, and that word has an anchor within 3: so each
-fingerprint goes to every anchor within 3 + 2 bits of it (some 22), and each linked pair meets at one of them at least. With more
-fingerprints than one block of 23 bits can spread, pairs of anchors of two blocks take the place of one, with the bits over 3 shared.
+fingerprint goes to every anchor within 3 + 2 bits of it (some 22), and each linked pair meets at one of them at least. Over ``blocks`` = 2
+blocks of 23 bits, pairs of anchors take the place of one, with the bits over 3 shared: for many millions of fingerprints.
 
 Equal fingerprints are one point. At an anchor the points are compared in square blocks of bounded size, split over tasks where an anchor
 has many; what goes on is a spanning forest of the links, not all pairs.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from meridian.llm.batches import mixed, word_spans
 from meridian.llm.common import documents, materialise, slices, text_bytes
-from meridian.llm.components import components
+from meridian.llm.components import components, with_least
 
 SEED = 42
 SLICE = 1 << 20
@@ -227,24 +227,30 @@ def _links(table: pa.Table, most: int) -> pa.Table:
     return pa.table([pa.array(points[a].view(np.int64)), pa.array(points[b].view(np.int64))], ["a", "b"])
 
 
-def fingerprint_links(points: DataFrame, most: int = 4, blocks: int | None = None) -> DataFrame:
-    """Links (a, b) that join all fingerprints (distinct, column fp) within ``most`` (at most 4) bits of each other: a forest for each anchor."""
+def fingerprint_links(points: DataFrame, most: int = 4, blocks: int = 1) -> DataFrame:
+    """Links (a, b) that join all fingerprints (distinct, column fp) within ``most`` (at most 4) bits of each other: a forest for each anchor.
+
+    ``blocks``: one block has 4,096 anchors, pairs of anchors of two blocks are 16.8 million; links are the same.
+    """
     if most > 4:
         raise ValueError("anchors are laid out for up to 4 bits")
-    if blocks is None:
-        blocks = 1 if points.count() < 4_000_000 else 2
     met = meetings(points.select("fp"), blocks)
     return met.groupBy("anchor", "one", "two").applyInArrow(lambda t: _links(t, most), "a long, b long").distinct()
 
 
-def near_duplicate_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks: int | None = None) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks: int = 1) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable over links of fingerprints) of each row of ``docs``."""
     prints = materialise(fingerprints(docs, words), "fingerprints")
-    points = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    points = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
     roots = components(fingerprint_links(points, most, blocks))
-    points = points.join(roots, points["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = points.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(points.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    # Only linked points need a minimum over others. A component of any size is one root, so the minimum comes back by a salted join.
+    nodes = roots.unionAll(roots.select("root", "root").distinct())
+    linked = nodes.join(points, nodes["node"] == points["fp"]).select(F.col("root").alias("n"), F.col("fp").alias("x"), "least")
+    of_root = linked.groupBy("n").agg(F.min("least").alias("m"))
+    named = with_least(linked.select("n", "x"), of_root).select(F.col("x").alias("fp"), "m")
+    # Written, so that Spark can split the documents of one fingerprint over tasks of the join.
+    named = materialise(points.join(named, "fp", "left").select("fp", F.coalesce("m", "least").alias("component_id")), "components")
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 # --- near duplicates by similarity: wide fingerprints find, shingle sets decide ---
@@ -378,7 +384,7 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     root = nodes.join(roots, nodes["doc_id"] == roots["node"], "left").select("doc_id", F.coalesce("root", "doc_id").alias("root"))
     root = materialise(root, "roots")
     ends = links.join(root.select(F.col("doc_id").alias("a"), F.col("root").alias("x")), "a").join(root.select(F.col("doc_id").alias("b"), F.col("root").alias("y")), "b").where("x <> y")
-    open_roots = ends.select(F.col("x").alias("root")).unionAll(ends.select("y")).distinct()
+    open_roots = materialise(ends.select(F.col("x").alias("root")).unionAll(ends.select("y")).distinct(), "open-roots")
     again = meetings(points.join(root.join(open_roots, "root", "left_semi"), "doc_id"), 1, BLOCK_STARTS)
 
     def rest(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
