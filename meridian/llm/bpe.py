@@ -43,6 +43,12 @@ NEWER = (
     (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
 )
 
+#: Capitals that the format's Unicode version has beyond those of Python's tables, and their small letters.
+NEWER_LOWER = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B,
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
+
 
 def default_vocabulary() -> str:
     import public_tokenizers
@@ -100,6 +106,7 @@ class Vocabulary:
         new = _unassigned()
         self.odd = regex.compile(f"[{new}]" if new else r"(?!)")
         self.careful = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|(?:(?![{new}])\p{{L}})+|(?![{new}])\p{{N}}|(?:[^\p{{White_Space}}\p{{L}}\p{{N}}]|[{new}])+") if new else self.pieces
+        self.capitals = regex.compile("[" + "".join(map(chr, NEWER_LOWER)) + "]")
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known: dict[str, int] = {}
         self.ids, self.at = np.zeros(0, np.int64), np.zeros(1, np.int64)
@@ -225,12 +232,16 @@ class Vocabulary:
             out[_steps(n) + np.repeat(start[of], n)] = found
         return out, made
 
-    def _is_odd(self, text: str) -> bool:
+    def _lowered(self, text: str) -> tuple[str, regex.Pattern]:
+        """``text`` with each character lower-cased by itself (a final sigma is not special), and the pattern for its pieces."""
+        text = text.replace("Σ", "σ").lower()
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return bool(self.odd.search(text))
-        return False
+            if self.capitals.search(text):
+                text = text.translate(NEWER_LOWER)
+            return text, self.careful if self.odd.search(text) else self.pieces
+        return text, self.pieces
 
     def cut(self, text: str) -> list[str]:
         """Pieces of a text; special tokens stand as they are (no piece looks like one, as a piece has letters, a digit or neither)."""
@@ -239,9 +250,8 @@ class Vocabulary:
             if k % 2:
                 out.append(part)
             elif part:
-                # Each character is lower-cased by itself: a final sigma is not special.
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                out += (self.careful if not part.isascii() and self._is_odd(part) else self.pieces).findall(part)
+                part, pieces = self._lowered(unicodedata.normalize("NFC", part))
+                out += pieces.findall(part)
         return out
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -301,24 +311,30 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
             yield pa.record_batch([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"]).select([*rest, "ids", "decoded"])
 
 
+#: New columns; one of these names that is to be kept is left out.
+NEW = ("n_tokens", "ids", "decoded")
+
+
 def _schema(df: DataFrame, names: list[str]) -> str:
     return ", ".join(f"`{c}` {kind}" for c, kind in df.dtypes if c in names)
 
 
 def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with n_tokens and ids: token ids as little-endian unsigned 32-bit integers."""
+    """The columns ``keep`` of ``docs`` (but those named as new ones) with n_tokens and ids: token ids as little-endian unsigned 32-bit integers."""
+    keep = tuple(c for c in keep if c not in NEW)
     rows = docs.select(*keep, "text")
     return rows.mapInArrow(lambda it: _encode(it, path), f"{_schema(rows, list(keep))}, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with ``decoded``, the text of its ids."""
-    rest = [c for c in encoded.columns if c != "ids"]
+    rest = [c for c in encoded.columns if c not in ("ids", "decoded")]
     return encoded.select(*rest, "ids").mapInArrow(lambda it: _decode(it, path), f"{_schema(encoded, rest)}, ids binary, decoded string")
 
 
 def round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """What ``decode(encode(docs))`` gives, in one pass: a slice of texts is decoded by the worker that encoded it, so no batch of ids waits."""
+    keep = tuple(c for c in keep if c not in NEW)
     rows = docs.select(*keep, "text")
     return rows.mapInArrow(lambda it: _decode(_encode(it, path), path), f"{_schema(rows, list(keep))}, n_tokens long, ids binary, decoded string")
 
