@@ -5,7 +5,7 @@ the five row filters; it takes any non-interlaced PNG with 8-bit grey samples, w
 
 Defined results: a null text counts as the empty one; an empty text is one row of zeros; texts of any length are stored whole; rows with one
 doc_id are separate rows; an empty table gives an empty result. A media value that is null gives null features; one that is damaged raises
-``ValueError`` under ``decode_png`` and gives ``error`` (and nulls) in the column operator.
+``ValueError`` under ``decode_png`` and gives ``error`` (and nulls) in the column operator. New columns replace those of their name.
 """
 
 from __future__ import annotations
@@ -17,16 +17,18 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import documents
+from meridian.llm.common import documents, slices
 
 WIDTH = 64
 #: Fixed values of the PNG format: signature, and grey colour type with 8-bit samples.
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 GREY, DEPTH = 0, 8
+#: Bytes of texts or media that are worked on at a time.
+SLICE = 1 << 20
 #: IDAT data are cut into chunks of this size.
 IDAT_BYTES = 1 << 20
 #: Side of the reduced image, and of the block of low frequencies that makes the hash.
@@ -148,11 +150,6 @@ def padded(text: str | None, unit: int = WIDTH) -> bytes:
     return raw + b"\0" * (-len(raw) % unit if raw else unit)
 
 
-def _media(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for part in texts:
-        yield pd.Series([encode_png(padded(t)) for t in part], dtype=object)
-
-
 FEATURES = "payload_bytes long, payload_sha256 string, tail_crc32 long, cosine_hash binary, error string"
 
 
@@ -160,34 +157,56 @@ def _read(media: bytes | None) -> tuple:
     if media is None:
         return None, None, None, None, None
     try:
-        image = decode_png(bytes(media))
+        image = decode_png(media)
     except ValueError as e:
         return None, None, None, None, str(e)
     raw = image.tobytes()
     return len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-WIDTH:]), cosine_hash(image), None
 
 
-def _features(media: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    names = [x.split()[0] for x in FEATURES.split(", ")]
-    for part in media:
-        yield pd.DataFrame([_read(m) for m in part], columns=names).astype({"payload_bytes": "Int64", "tail_crc32": "Int64"})
+def _store(batches: Iterator[pa.RecordBatch], text: str, into: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, text, SLICE):
+            media = [encode_png(padded(t.as_py())) for t in part.column(text)]
+            yield pa.record_batch([*part.columns, pa.array(media, pa.binary())], [*part.schema.names, into])
+
+
+def _features(batches: Iterator[pa.RecordBatch], media: str, into: str) -> Iterator[pa.RecordBatch]:
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    fields = [pa.field(name, kinds[kind]) for name, kind in (x.split() for x in FEATURES.split(", "))]
+    for batch in batches:
+        for part in slices(batch, media, SLICE):
+            found = zip(*[_read(m.as_py()) for m in part.column(media)], strict=True)
+            read = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(found, fields, strict=True)], fields=fields)
+            yield pa.record_batch([*part.columns, read], [*part.schema.names, into])
+
+
+def _schema(df: DataFrame, more: str) -> str:
+    return "".join(f"`{c}` {kind}, " for c, kind in df.dtypes) + more
 
 
 def with_media(df: DataFrame, text: str = "text", into: str = "media") -> DataFrame:
     """``df`` with the text stored as a PNG in the binary column ``into``."""
-    return df.withColumn(into, F.pandas_udf(_media, "binary")(F.col(text)))
+    rows = df.select(F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in df.columns if c != into])
+    return rows.mapInArrow(lambda it: _store(it, "__text", into), _schema(rows, f"`{into}` binary")).drop("__text")
+
+
+def with_features(df: DataFrame, media: str = "media", into: str = "read") -> DataFrame:
+    """``df`` with a struct of what is read back from a PNG column: payload_bytes, payload_sha256, tail_crc32, cosine_hash (binary), error."""
+    rows = df.select(F.col(f"`{media}`").alias("__media"), *[F.col(f"`{c}`") for c in df.columns if c != into])
+    return rows.mapInArrow(lambda it: _features(it, "__media", into), _schema(rows, f"`{into}` struct<{FEATURES}>")).drop("__media")
 
 
-def media_features(media: Column) -> Column:
-    """A struct of what is read back from a PNG column: payload_bytes, payload_sha256, tail_crc32, cosine_hash (binary), error."""
-    return F.pandas_udf(_features, FEATURES)(media)
+def stored_and_read(df: DataFrame, text: str = "text", media: str = "media", into: str = "read") -> DataFrame:
+    """What ``with_features(with_media(df))`` gives, in one pass: the worker that stored a slice reads it back, so no media wait."""
+    rows = df.select(F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in df.columns if c not in (media, into)])
+    schema = _schema(rows, f"`{media}` binary, `{into}` struct<{FEATURES}>")
+    return rows.mapInArrow(lambda it: _features(_store(it, "__text", media), media, into), schema).drop("__text")
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    stored = with_media(docs).select("doc_id", F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("n_bytes"), "media")
-    read = stored.withColumn("read", media_features(F.col("media")))
-    return read.select(
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("n_bytes"))
+    return stored_and_read(docs).select(
         "doc_id", "n_bytes", "read.payload_bytes", "read.payload_sha256", "read.tail_crc32", F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"), F.lower(F.hex("read.cosine_hash")).alias("feature"),
     )
