@@ -11,7 +11,7 @@ then, in rounds, the highest windows of each text by the network itself.
 
 Defined results: a null text counts as the empty one; texts without words get the score of a window without words, at most that of a text
 that says nothing; without labelled rows of both classes every score is 0; a null doc_id is held out; labels other than 0 and 1 are left
-out; equal rows are separate rows; an empty table gives an empty result.
+out; of several texts with one doc_id the smallest is learned from; equal rows are separate rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -307,7 +307,8 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST, seed: int = 11)
     for y in (0, 1):
         part = known.where(F.col("toxic") == y).orderBy(order, "doc_id").limit(most * (2 - y))
         sample = part if sample is None else sample.unionAll(part)
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).collect()
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     y = np.array([r["toxic"] for r in rows], np.int64)
     if len(set(y.tolist())) < 2:
