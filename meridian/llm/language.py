@@ -4,7 +4,8 @@ Each letter has a random vector of +1 and -1, drawn from a seed and its code poi
 rotated by place; a text is the sum of its trigrams, a language the sum of its training texts, and a text gets the language whose prototype
 has the largest cosine with it. Letters are lower-cased; all else is one boundary sign between words.
 
-Training takes every row with a language that is not held out, whole texts: each task sums up trigram counts, which are then bundled.
+Training takes every row with a language that is not held out, whole texts: each task sums up trigram counts, which are then bundled. The
+driver holds one prototype of DIM floats (8 kB) a language and broadcasts their table: languages number some thousands, whatever the texts.
 
 Defined results: a null text, or one without a letter, gets ``und`` and score 0; without a training row all get that; of equal cosines the
 language that sorts first wins; a null doc_id is held out; equal rows are separate rows; an empty table gives an empty result.
@@ -13,7 +14,7 @@ language that sorts first wins; a null doc_id is held out; equal rows are separa
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache, partial
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,6 @@ from pyspark.sql import functions as F
 from meridian.llm.common import documents, held_out, slices
 
 DIM, SEED = 1024, 7
-#: Prototypes are sent to every task: one of DIM floats a language. There are some 8,000 languages.
-MAX_LANGUAGES = 10_000
 #: Bytes of text worked on at a time.
 SLICE = 1 << 18
 
@@ -129,10 +128,10 @@ def prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
     counts = counts.groupBy("lang", "trigram").agg(F.sum("n").alias("n"))
     parts = counts.mapInArrow(_bundle, "lang string, vector array<double>")
     sums = parts.select("lang", F.posexplode("vector").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
-    rows = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    return {r["lang"]: np.array([x["x"] for x in r["v"]]) for r in sorted(rows, key=lambda r: r["lang"])}
+    # As Arrow columns: DIM floats a language, without a Python object for each.
+    rows = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).select("lang", "v.x").orderBy("lang").toArrow()
+    table = rows.column("x").combine_chunks().flatten().to_numpy().reshape(-1, DIM)
+    return dict(zip(rows.column("lang").to_pylist(), table, strict=True))
 
 
 def cosines(texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,12 +164,14 @@ def _score(batches: Iterator[pa.RecordBatch], names: list[str], table: np.ndarra
 
 
 def identify(docs: DataFrame, learned: dict[str, np.ndarray], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``docs``, with lang_pred and score."""
+    """The columns ``keep`` of ``docs`` (but those named as new ones), with lang_pred and score."""
     spark, names = docs.sparkSession, sorted(learned)
+    keep = tuple(c for c in keep if c not in ("lang_pred", "score"))
     table = np.stack([learned[x] / max(np.linalg.norm(learned[x]), 1e-12) for x in names]) if names else np.zeros((0, DIM))
     rows = docs.select(*keep, F.col(text).alias("text"))
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes if c in keep)
-    return rows.mapInArrow(partial(_score, names=names, table=table), f"{schema}, lang_pred string, score double")
+    schema = "".join(f"`{c}` {kind}, " for c, kind in rows.dtypes if c in keep)
+    shared = spark.sparkContext.broadcast(table)
+    return rows.mapInArrow(lambda it: _score(it, names, shared.value), f"{schema}lang_pred string, score double")
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
