@@ -16,9 +16,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset (tests)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset and Spark is one local process (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="meridian-")
         spark.sparkContext.setCheckpointDir(where)
     return where
