@@ -1,6 +1,8 @@
 """Queries that SQL can't state, or only slowly, against brute force over the small tables."""
 
+import hashlib
 import itertools
+import math
 import os
 import re
 import struct
@@ -251,6 +253,28 @@ def test_png_filters():
         assert media.decode_png(media.encode_png(raw)).tobytes() == raw
 
 
+@needs_tables
+def test_media_query(spark, docs):
+    """The query against another reader of the format's chunks, sums worked out cell by cell, and cosines by their definition."""
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    stored = {r["doc_id"]: bytes(r["media"]) for r in media.with_media(docs).select("doc_id", "media").collect()}
+    found = {r["doc_id"]: r for r in media.op5_media(spark, SF).collect()}
+    assert found.keys() == texts.keys()
+    for i, raw in texts.items():
+        payload, r = raw + b"\0" * (-len(raw) % 64 if raw else 64), found[i]
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest())
+        assert (r["tail_crc32"], r["media_bytes"], r["media_sha256"]) == (zlib.crc32(payload[-64:]), len(stored[i]), hashlib.sha256(stored[i]).hexdigest())
+    for i in sorted(texts)[:20]:
+        raw = texts[i]
+        image = np.frombuffer(raw + b"\0" * (-len(raw) % 64 if raw else 64), np.uint8).reshape(-1, 64).astype(float)
+        n = len(image)
+        edges = [k * n // 32 for k in range(33)]
+        small = np.array([[image[a : max(b, a + 1), 2 * j : 2 * j + 2].mean() for j in range(32)] for a, b in itertools.pairwise(edges)])
+        low = np.array([[sum(small[y, x] * math.cos(math.pi * (2 * y + 1) * u / 64) * math.cos(math.pi * (2 * x + 1) * v / 64) for y in range(32) for x in range(32)) for v in range(8)] for u in range(8)])
+        low = np.round(low.ravel(), 6)
+        assert found[i]["feature"] == np.packbits(low > np.median(low[1:])).tobytes().hex()
+
+
 @needs_tables
 def test_bpe_against_the_library(docs):
     from tokenizers import Tokenizer
@@ -269,6 +293,22 @@ def test_bpe_against_the_library(docs):
         assert words.decode(ids[at[k] : at[k + 1]]) == library.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_code_points():
+    """Every code point, in a word, as a word and beside a digit, as the library encodes it."""
+    from tokenizers import Tokenizer
+
+    path = bpe.default_vocabulary()
+    library, words = Tokenizer.from_file(path), bpe.vocabulary(path)
+    library.no_truncation()
+    library.no_padding()
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(codes), 20_000):
+        texts = [f"a{chr(c)}b {chr(c)} 1{chr(c)}" for c in codes[k : k + 20_000]]
+        ids, at = words.encode(texts)
+        for i, one in enumerate(library.encode_batch(texts, add_special_tokens=False)):
+            assert ids[at[i] : at[i + 1]].tolist() == one.ids, hex(codes[k + i])
+
+
 def test_network_gradients():
     net = toxicity.Network(3)
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}

@@ -108,13 +108,16 @@ def test_topk(spark):
 
 
 def test_media(docs, empty):
-    got = by_id(media.with_media(docs, into="kept").withColumn("read", media.media_features(F.col("kept"))))
+    stored = media.with_media(docs, into="kept")
+    assert sorted(stored.columns) == sorted(docs.columns)
+    got = by_id(media.with_features(stored, "kept"))
+    assert by_id(media.stored_and_read(docs, media="kept"))[2] == got[2]
     assert all(r["read"]["error"] is None for rows in got.values() for r in rows)
     assert got[3][0]["read"]["payload_sha256"] == hashlib.sha256(bytes(64)).hexdigest() == got[4][0]["read"]["payload_sha256"]
     assert got[6][0]["kept"] == got[7][0]["kept"]
     assert media.decode_png(got[8][0]["kept"]).tobytes().rstrip(b"\0") == LONG.encode()
     bad = docs.limit(1).select(F.lit(None).cast("binary").alias("m")).unionAll(docs.limit(1).select(F.lit(b"nothing").alias("m")))
-    assert {r["e"] for r in bad.select(media.media_features(F.col("m"))["error"].alias("e")).collect()} == {None, "not a PNG"}
+    assert {r["read"]["error"] for r in media.with_features(bad, "m").collect()} == {None, "not a PNG"}
     assert media.with_media(empty).count() == 0
 
 
