@@ -20,6 +20,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -213,12 +214,18 @@ def meetings(points: DataFrame, blocks: int, starts: tuple[int, ...] = (0,)) ->
     spread = points.mapInArrow(lambda it: _replicate(it, blocks, starts), "anchor long, " + ", ".join(f"{c} {kind}" for c, kind in points.dtypes))
     # An anchor with more points than one task compares is cut into stripes, and each point goes to every pair with its own stripe.
     crowded = spread.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MEET).select("anchor", F.ceil(F.col("n") / (MEET / 2)).alias("__stripes"))
-    spread = spread.join(crowded, "anchor", "left")
     # Documents with one fingerprint are dealt to different stripes, too.
-    mine = F.pmod(F.xxhash64(*[c for c in points.columns if c in ("fp", "doc_id")], F.lit(3)), F.col("__stripes"))
+    return _striped(spread, "anchor", crowded, [c for c in points.columns if c in ("fp", "doc_id")])
+
+
+def _striped(rows: DataFrame, key: str, crowded: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` in the square blocks (one, two) of their key; ``crowded``: keys that are cut, and in how many ``__stripes``, by a hash of ``by``."""
+    names = [c for c in rows.columns if c != key]
+    spread = rows.join(crowded, key, "left")
+    mine = F.pmod(F.xxhash64(*by, F.lit(3)), F.col("__stripes"))
     pairs = F.when(F.col("__stripes").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("__stripes") - 1))
     spread = spread.withColumn("__mine", F.coalesce(mine, F.lit(0))).withColumn("__other", F.explode(pairs))
-    return spread.select("anchor", F.least("__mine", "__other").alias("one"), F.greatest("__mine", "__other").alias("two"), *points.columns)
+    return spread.select(key, F.least("__mine", "__other").alias("one"), F.greatest("__mine", "__other").alias("two"), *names)
 
 
 def _links(table: pa.Table, most: int) -> pa.Table:
@@ -261,6 +268,12 @@ CANDIDATE_BITS = 32
 BLOCK_STARTS = (0, 23, 64)
 
 
+#: Failed candidates of at least this similarity still tie their documents to one family, within which all pairs are tested.
+FAMILY = 0.5
+#: Bytes of shingles of a family that one task compares with each other, about.
+SET_BYTES = 16 << 20
+
+
 def _forest(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
     """Places of the edges of a minimum spanning forest: each tree takes its lightest edge, until none is left."""
     label, key = np.arange(n), np.empty(len(w), np.int64)
@@ -289,19 +302,16 @@ def _forest(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
 
 
 def _close(table: pa.Table, most: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Links of documents that meet at an anchor, in blocks of 256 rows: places a < b, and the bits in which they differ, at most ``most``.
+    """Pairs of documents whose fingerprints differ in at most ``most`` bits, in blocks of 256 rows: places a < b, and the bits.
 
-    A pair of sets whose sizes rule out a similarity of ``least``, or whose documents have one ``root`` already, is no link.
+    A pair of sets whose sizes rule out a similarity of ``least`` is left out.
     """
     lanes = [table.column(c).to_numpy().view(np.uint64) for c in ("fp", "fp2")]
     size = table.column("size").to_numpy()
-    root = table.column("root").to_numpy() if "root" in table.column_names else None
     for lo in range(0, table.num_rows, 256):
         near = sum(np.bitwise_count(x[lo : lo + 256, None] ^ x[None, lo:]) for x in lanes)
         i, j = np.nonzero(near <= most)
         some = (i < j) & (np.minimum(size[i + lo], size[j + lo]) >= least * np.maximum(size[i + lo], size[j + lo]))
-        if root is not None:
-            some &= root[i + lo] != root[j + lo]
         i, j = i[some], j[some]
         yield i + lo, j + lo, near[i, j]
 
@@ -320,13 +330,30 @@ def _candidates(table: pa.Table, most: int, least: float) -> pa.Table:
     return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _unsettled(batches: Iterator[pa.RecordBatch], most: int, least: float) -> Iterator[pa.RecordBatch]:
-    """All links of the documents that meet at an anchor and have different roots."""
-    table = pa.Table.from_batches(list(batches))
-    ids = table.column("doc_id").to_numpy()
-    for i, j, _ in _close(table, most, least):
-        a, b = ids[i], ids[j]
-        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+def _settle(table: pa.Table, most: int, least: float) -> pa.Table:
+    """Links of a family's documents that join different roots. Each pair of different roots is tested, and a link that joins them is enough."""
+    ids, size = table.column("doc_id").to_numpy(), table.column("size").to_numpy()
+    _, label = np.unique(table.column("root").to_numpy(), return_inverse=True)
+    hashes = np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint64)
+    distinct, sign = np.unique(hashes, return_inverse=True)
+    first, seen, found = np.cumsum(size) - size, np.zeros(len(distinct), bool), []
+    for left, right, _ in _close(table, most, least):
+        edge = np.append(0, np.flatnonzero(np.diff(left)) + 1) if len(left) else []
+        for i, others in zip(left[edge], np.split(right, edge[1:]), strict=True) if len(left) else ():
+            others = others[label[others] != label[i]]
+            if not len(others):
+                continue
+            mine, n = sign[first[i] : first[i] + size[i]], size[others]
+            begin = np.cumsum(n) - n
+            seen[mine] = True
+            both = np.add.reduceat(seen[sign[np.arange(int(n.sum())) + np.repeat(first[others] - begin, n)]], begin, dtype=np.int64)
+            seen[mine] = False
+            others = others[both >= least * (size[i] + n - both)]
+            _, one = np.unique(label[others], return_index=True)
+            found += [(ids[i], ids[j]) for j in others[one]]
+            label[np.isin(label, label[others])] = label[i]
+    a, b = (np.array(x, np.int64) for x in (zip(*found, strict=True) if found else ((), ())))
+    return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -339,20 +366,23 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
 
 def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = []
+        share = []
         for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
             x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(both >= least * (len(x) + len(y) - both) and both > 0)
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            whole = len(x) + len(y) - both
+            # As whole numbers decide: 2 where the pair is similar, 1 where it is of one family.
+            share.append(2 if both and both >= least * whole else 1 if both >= FAMILY * whole else 0)
+        found = pa.record_batch([batch.column("a"), batch.column("b"), pa.array(share, pa.int32())], ["a", "b", "state"])
+        yield found.filter(pc.greater(found.column("state"), 0))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document, that of the smallest doc_id, of each group of near duplicates.
 
     Groups are joined by equal texts, equal sets of shingles and links of Jaccard similarity of ``similarity`` or more between sets of word
-    shingles. Candidates are all links at the anchors of wide fingerprints, and the sets of shingles decide: first on the closest links of
-    each anchor, then on those between documents that are not joined yet. Rows with one doc_id are one
+    shingles. Candidates come from the anchors of wide fingerprints, and the sets of shingles decide: first on the closest links of each
+    anchor; where one of these fails, all pairs of its family that are not joined yet are tested in tasks. Rows with one doc_id are one
     document, with the smallest of its texts for comparison; rows with a null doc_id stay; a null text is an empty one.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -372,28 +402,21 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     sets = rows.join(nodes, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: _sets(it, words), "doc_id long, shingles binary")
     sets = materialise(sets, "shingles")
 
-    def tested(links: DataFrame) -> DataFrame:
-        paired = links.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-        paired = paired.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-        return paired.select("a", "b", "x", "y").mapInArrow(lambda it: _similar(it, similarity), "a long, b long")
-
-    similar = materialise(tested(links), "similar")
-    # A forest tells only what it joins. Where a link of it fails, other links may still hold: all links that meet between documents of
-    # different roots are tested, too. Their ends have roots that a failed link touches, as the forest's path between them has one.
-    roots = components(similar)
-    root = nodes.join(roots, nodes["doc_id"] == roots["node"], "left").select("doc_id", F.coalesce("root", "doc_id").alias("root"))
-    root = materialise(root, "roots")
-    ends = links.join(root.select(F.col("doc_id").alias("a"), F.col("root").alias("x")), "a").join(root.select(F.col("doc_id").alias("b"), F.col("root").alias("y")), "b").where("x <> y")
-    open_roots = materialise(ends.select(F.col("x").alias("root")).unionAll(ends.select("y")).distinct(), "open-roots")
-    again = meetings(points.join(root.join(open_roots, "root", "left_semi"), "doc_id"), 1, BLOCK_STARTS)
-
-    def rest(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _unsettled(it, CANDIDATE_BITS, similarity)
-
-    rest.__annotations__ = {"it": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}  # as types, which tell Spark that batches come one by one
-    others = again.groupBy("anchor", "one", "two").applyInArrow(rest, "a long, b long").distinct().join(links, ["a", "b"], "left_anti")
-    similar = similar.unionAll(tested(materialise(others, "other-candidates")))
-    lost = components(similar).select(F.col("node").alias("doc_id")).unionAll(prints.select("doc_id").join(points.select("doc_id"), "doc_id", "left_anti"))
+    paired = links.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+    paired = paired.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    tested = materialise(paired.mapInArrow(lambda it: _similar(it, similarity), "a long, b long, state int"), "tested")
+    similar = tested.where("state = 2").select("a", "b")
+    # A forest tells only what it joins. Where a link of it fails, other pairs may still hold: in a family, the documents tied by links that
+    # hold or all but hold, every pair of different roots is tested, in blocks. What goes on is again a forest.
+    whole = lambda links: materialise(nodes.join(c := components(links), nodes["doc_id"] == c["node"], "left").select("doc_id", F.coalesce("root", "doc_id").alias("root")), "roots")
+    members = whole(tested.select("a", "b")).withColumnRenamed("root", "family").join(whole(similar), "doc_id").join(points, "doc_id")
+    families = members.groupBy("family").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("s")).where("x <> y")
+    stripes = F.ceil(F.greatest(F.col("n") / MEET, F.col("s") * 8 / SET_BYTES) * 2)
+    families = materialise(families.select("family", F.when(F.greatest(F.col("n") / MEET, F.col("s") * 8 / SET_BYTES) > 1, stripes).alias("__stripes")), "families")
+    unsettled = members.join(families.select("family"), "family", "left_semi").join(sets, "doc_id").select("family", "doc_id", "root", "fp", "fp2", "size", "shingles")
+    blocks = _striped(unsettled, "family", families.where("__stripes is not null"), ["doc_id"])
+    others = blocks.groupBy("family", "one", "two").applyInArrow(lambda t: _settle(t, CANDIDATE_BITS, similarity), "a long, b long")
+    lost = components(similar.unionAll(others)).select(F.col("node").alias("doc_id")).unionAll(prints.select("doc_id").join(points.select("doc_id"), "doc_id", "left_anti"))
     kept = heads.select("doc_id").join(lost, "doc_id", "left_anti")
     return docs.where(F.col("doc_id").isNull()).unionByName(docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi"))
 
