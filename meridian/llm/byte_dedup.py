@@ -11,7 +11,7 @@ one machine's size are made for shards, so equal strings have to meet in one sha
    of equal windows and the smallest doc_id of each;
 3. removal: the shard answers each batch which windows go.
 
-Equal pieces of a batch are sent once. An anchor with more than ``hot_bytes`` of pieces (a common line between texts that differ) would
+Equal pieces of a batch are sent once, with the places of all that the smallest of its documents has. An anchor with more than ``hot_bytes`` of pieces (a common line between texts that differ) would
 overload its shard; each of its windows goes as a piece of its own, to the shard of its own hash. Hashes only bring pieces together: pieces
 count as equal when their bytes do.
 
@@ -37,7 +37,7 @@ ANCHOR = 20
 BETWEEN = 0xFF
 ANCHORS = "__bucket long, __batch long, n int, hashes binary, shared binary, pieces binary"
 LIVE = "__batch long, __bucket long, n int, live binary"
-PIECES = "__bucket long, __batch long, n int, parts binary, widths binary, bytes binary, ids binary, places binary"
+PIECES = "__bucket long, __batch long, n int, parts binary, widths binary, bytes binary, ids binary, counts binary, places binary"
 GONE = "__batch long, places binary, windows binary"
 #: New columns; one of these names that is to be kept is left out.
 COUNTS = ("n_bytes", "n_removed", "n_spans", "kept")
@@ -75,7 +75,8 @@ class _Anchored:
             keep = good[start]
             self.first, self.last = start[keep], stop[keep] - 1
             self.anchor = anchor[self.first]
-        self.hash = hashes[self.anchor] if len(self.anchor) else np.zeros(0, np.uint64)
+        # Mixed again: anchors have the least hashes of their windows, and buckets by these would be uneven.
+        self.hash = mixed(hashes[self.anchor] + np.uint64(1)) if len(self.anchor) else np.zeros(0, np.uint64)
         self.row = np.searchsorted(at, self.first, "right") - 1
         self.order = np.argsort(self.hash, kind="stable")
         self.start, self.stop = cuts(self.hash[self.order])
@@ -93,14 +94,16 @@ class _Anchored:
         ]
 
     def _pieces(self, raw: np.ndarray, shared: np.ndarray) -> np.ndarray:
-        """How many different pieces the anchors in two documents have here (255 at most), by the first and last eight bytes of the pieces."""
+        """How many different pieces the anchors in two documents have here (255 at most), by the first and last 32 bytes of the pieces."""
         size = (self.stop - self.start)[shared]
         if not len(size):
             return np.zeros(0, np.uint8)
         run = self.order[np.repeat(shared, self.stop - self.start)]
         eight = np.lib.stride_tricks.sliding_window_view(raw, 8)
-        ends = [eight[at].view(np.uint64).ravel() for at in (self.first[run], self.last[run] + self.length - 8)]
-        sign = mixed(ends[0] ^ mixed(ends[1] + np.uint64(1)))
+        left, right = self.first[run], self.last[run] + self.length - 8
+        sign = (right - left).astype(np.uint64)
+        for at in (*(left + k for k in range(0, 32, 8)), *(right - k for k in range(0, 32, 8))):
+            sign = mixed((sign + np.uint64(1)) ^ eight[at].view(np.uint64).ravel())
         of = np.repeat(np.arange(len(size)), size)
         order = np.lexsort((sign, of))
         new = np.append(True, (np.diff(of[order]) > 0) | (sign[order][1:] != sign[order][:-1]))
@@ -174,16 +177,18 @@ def _pieces(key: tuple, table: pa.Table, hits: pa.Table, length: int, n_buckets:
     rows = []
     if here.any():
         number, bits = key[0].as_py(), (np.uint64(2) << (last - first)[here].astype(np.uint64)) - np.uint64(1)
-        rows = [(-1 - number % n_buckets, number, int(here.sum()), b"", b"", bits.astype(np.uint32).tobytes(), b"", first[here].astype(np.uint32).tobytes())]
-    first, last, stop, to, ids = (x[~here] for x in (first, last, stop, to, ids))
-    size = stop - first
+        rows = [(-1 - number % n_buckets, number, int(here.sum()), b"", b"", bits.astype(np.uint32).tobytes(), b"", b"", first[here].astype(np.uint32).tobytes())]
+    # What is left of equal pieces is of one document: one goes for all.
+    place, head = first[~here].astype(np.uint32), np.flatnonzero(new[~here])
+    first, last, stop, to, ids = (x[~here][head] for x in (first, last, stop, to, ids))
+    size, head = stop - first, np.append(head, len(place))
     at = np.concatenate([[0], np.cumsum(size)])
     data = batch.raw[np.arange(at[-1]) - np.repeat(at[:-1] - first, size)]
     buckets, part = buckets_of(to, n_buckets), to.astype(np.uint32)
     for a, b in zip(*cuts(buckets), strict=True):
         rows.append((
             int(buckets[a]), key[0].as_py(), int(b - a), part[a:b].tobytes(), (last - first)[a:b].astype(np.uint8).tobytes(), data[at[a] : at[b]].tobytes(),
-            narrow(ids[a:b]), first[a:b].astype(np.uint32).tobytes(),
+            narrow(ids[a:b]), np.diff(head[a : b + 1]).astype(np.uint32).tobytes() if head[b] - head[a] > b - a else b"", place[head[a] : head[b]].tobytes(),
         ))
     return packed_table(rows, PIECES)
 
@@ -215,11 +220,12 @@ def _shard(key: tuple, table: pa.Table, length: int, shard_bytes: int) -> pa.Tab
     column = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
     part, width, data, place = column("parts", np.uint32), column("widths", np.uint8).astype(np.int64) + 1, column("bytes", np.uint8), column("places", np.uint32)
     ids = np.concatenate([widen(x, k) for x, k in zip(table.column("ids").to_pylist(), n, strict=True)])
-    source = np.repeat(np.arange(len(n)), n)
+    counts = np.concatenate([np.frombuffer(x, np.uint32) if x else np.ones(k, np.uint32) for x, k in zip(table.column("counts").to_pylist(), n, strict=True)])
+    source = np.repeat(np.repeat(np.arange(len(n)), n), counts)
     size = width + length - 1
     at = np.cumsum(size) - size
     h = span_hashes(data, at, at + size, MULTIPLIERS[1])
-    gone = np.zeros(len(place), np.uint32)
+    gone = np.zeros(len(size), np.uint32)
     # Parts with about shard_bytes each; all windows of an anchor are in one part.
     parts = max(1, len(data) // shard_bytes)
     share = part % parts
@@ -243,6 +249,7 @@ def _shard(key: tuple, table: pa.Table, length: int, shard_bytes: int) -> pa.Tab
         lower = least[step + np.repeat(first[which], width[mine])] < np.repeat(ids[mine], width[mine])
         bits = np.where(lower, np.uint32(1) << step.astype(np.uint32), np.uint32(0))
         gone[mine] = np.bitwise_or.reduceat(bits, np.cumsum(width[mine]) - width[mine])
+    gone = np.repeat(gone, counts)
     hit = np.flatnonzero(gone)
     batches = table.column("__batch").to_pylist()
     rows = [(batches[source[hit[a]]], place[hit[a:b]].tobytes(), gone[hit[a:b]].tobytes()) for a, b in zip(*cuts(source[hit]), strict=True)]
@@ -251,13 +258,12 @@ def _shard(key: tuple, table: pa.Table, length: int, shard_bytes: int) -> pa.Tab
 
 def _kept(table: pa.Table, removed: pa.Table, length: int, keep: tuple[str, ...], as_text: bool) -> pa.Table:
     batch = Batch(table)
-    steps = np.zeros(len(batch.raw) + 1, np.int32)
+    steps = np.zeros(len(batch.raw) + 1, np.int64)
     for places, windows in zip(removed.column("places").to_pylist(), removed.column("windows").to_pylist(), strict=True):
         place, bits = np.frombuffer(places, np.uint32).astype(np.int64), np.frombuffer(windows, np.uint32)
-        for k in range(length - ANCHOR + 1):
-            start = place[(bits >> np.uint32(k)) & np.uint32(1) > 0] + k
-            np.add.at(steps, start, 1)
-            np.add.at(steps, start + length, -1)
+        at, step = np.nonzero(np.unpackbits(bits.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little"))
+        start = place[at] + step
+        steps += np.bincount(start, minlength=len(steps)) - np.bincount(start + length, minlength=len(steps))
     gone = np.cumsum(steps[:-1]) > 0
     head = gone.copy()
     head[1:] &= ~gone[:-1]
