@@ -258,12 +258,10 @@ def _shard(key: tuple, table: pa.Table, length: int, shard_bytes: int) -> pa.Tab
 
 def _kept(table: pa.Table, removed: pa.Table, length: int, keep: tuple[str, ...], as_text: bool) -> pa.Table:
     batch = Batch(table)
-    steps = np.zeros(len(batch.raw) + 1, np.int64)
-    for places, windows in zip(removed.column("places").to_pylist(), removed.column("windows").to_pylist(), strict=True):
-        place, bits = np.frombuffer(places, np.uint32).astype(np.int64), np.frombuffer(windows, np.uint32)
-        at, step = np.nonzero(np.unpackbits(bits.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little"))
-        start = place[at] + step
-        steps += np.bincount(start, minlength=len(steps)) - np.bincount(start + length, minlength=len(steps))
+    place, bits = (np.frombuffer(b"".join(removed.column(c).to_pylist()), np.uint32) for c in ("places", "windows"))
+    at, step = np.nonzero(np.unpackbits(bits.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little"))
+    start = place[at].astype(np.int64) + step
+    steps = np.bincount(start, minlength=len(batch.raw) + 1) - np.bincount(start + length, minlength=len(batch.raw) + 1)
     gone = np.cumsum(steps[:-1]) > 0
     head = gone.copy()
     head[1:] &= ~gone[:-1]
