@@ -60,6 +60,19 @@ def extend_last_year(df: DataFrame, last: int, keys: Sequence[str]) -> DataFrame
     return df.unionByName(added)
 
 
+def member_scan(member: DataFrame, keys: Sequence[str], years: tuple[int, int] | None = None, reference: tuple[int, int] = (2019, 2023), last: int = 2099) -> DataFrame:
+    """Days of a model member (year, dayofyear, days_in_year of its own calendar).
+
+    Without ``years`` the reference window, as the model has it: its day of the year counted from the first of January. With ``years``, first
+    and last, days of the real calendar; the year after ``last`` is filled from it where the member lacks it.
+    """
+    if years is None:
+        rows = member.where(F.col("year").between(*reference))
+        return rows.select(*keys, F.date_add(F.make_date("year", F.lit(1), F.lit(1)), F.col("dayofyear") - 1).alias("date"), "value")
+    real = align_calendar(member, keys)
+    return window(extend_last_year(real, last, keys) if years[0] <= last + 1 <= years[1] else real, *years)
+
+
 def align_calendar(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Values of a model's calendar (year, dayofyear, days_in_year) on the days of the real one, linear in the decimal year.
 

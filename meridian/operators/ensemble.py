@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from meridian.operators.spatial import latest
+
 MEMBER = ("variable", "scenario", "source", "variant")
 
 
@@ -34,6 +36,19 @@ def inclusion_table(kept: DataFrame, variables: Sequence[str]) -> DataFrame:
     return wide.na.fill(False, subset=list(variables))
 
 
+def catalogue(entries: DataFrame, source: str | None = None, experiment: str | None = None, variable: str | None = None, table: str | None = None, order: str = "position") -> DataFrame:
+    """Entries of the model catalogue for a source, experiment, variable and table (None: any); of a member listed twice the last by ``order``."""
+    for name, value in (("source_id", source), ("experiment_id", experiment), ("variable_id", variable), ("table_id", table)):
+        if value is not None:
+            entries = entries.where(F.col(name) == value)
+    return latest(entries, ["source_id", "experiment_id", "variable_id", "member_id"], order)
+
+
+def yes_or_no(column: str):
+    """Yes and No as booleans, anything else as null."""
+    return F.when(F.col(column) == "Yes", True).when(F.col(column) == "No", False)
+
+
 def eligible(table: DataFrame, required: Sequence[str]) -> DataFrame:
     """Keys of the members that have all required variables."""
     condition = F.lit(True)

@@ -34,9 +34,10 @@ def brackets(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def _ends(bracket: DataFrame, name: str) -> DataFrame:
-    """Weighted source coordinates of each target coordinate, those without weight left out."""
+    """Weighted source coordinates of each target coordinate and their number, those without weight left out."""
     ends = F.array(F.struct(F.col("lo").alias("s"), (1 - F.col("weight")).alias("w")), F.struct(F.col("hi").alias("s"), F.col("weight").alias("w")))
-    return bracket.where("lo is not null").select(F.col("coord").alias(name), F.explode(ends).alias("e")).where("e.w > 0").select(name, F.col("e.s").alias(f"__{name}"), F.col("e.w").alias(f"__w_{name}"))
+    ends = bracket.where("lo is not null").select(F.col("coord").alias(name), F.filter(ends, lambda e: e["w"] > 0).alias("e"))
+    return ends.select(name, F.size("e").alias(f"__n_{name}"), F.explode("e").alias("e")).select(name, f"__n_{name}", F.col("e.s").alias(f"__{name}"), F.col("e.w").alias(f"__w_{name}"))
 
 
 def _axes(df: DataFrame, lat: DataFrame, lon: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -46,18 +47,18 @@ def _axes(df: DataFrame, lat: DataFrame, lon: DataFrame) -> tuple[DataFrame, Dat
 def _on_grid(values: DataFrame, df: DataFrame, lat: DataFrame, lon: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All target cells for each step, null where there is no value."""
     cells = lat.select(F.col("coord").alias("latitude")).crossJoin(lon.select(F.col("coord").alias("longitude")))
-    steps = df.select(*keys).distinct()
-    return steps.crossJoin(F.broadcast(cells)).join(values, [*keys, "latitude", "longitude"], "left")
+    return df.select(*keys).distinct().crossJoin(cells).join(values, [*keys, "latitude", "longitude"], "left")
 
 
 def bilinear(df: DataFrame, lat: DataFrame, lon: DataFrame, keys: Sequence[str] = ("date",)) -> DataFrame:
     """Values on a target grid by separable linear interpolation: null outside the source axes or where a corner with weight is missing."""
-    at_lat, at_lon = _axes(df, lat, lon)
-    weights = _ends(at_lat, "lat").crossJoin(_ends(at_lon, "lon"))
-    need = weights.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("__need"))
-    weights = weights.join(need, ["lat", "lon"]).withColumn("__w", F.col("__w_lat") * F.col("__w_lon"))
+    at_lat, at_lon = (_ends(b, name) for b, name in zip(_axes(df, lat, lon), ("lat", "lon"), strict=True))
     source = df.where(F.col("value").isNotNull()).select(*keys, F.col("latitude").alias("__lat"), F.col("longitude").alias("__lon"), "value")
-    summed = source.join(weights, ["__lat", "__lon"]).groupBy(*keys, "lat", "lon", "__need").agg(F.sum(F.col("__w") * F.col("value")).alias("value"), F.count(F.lit(1)).alias("__have"))
+    # The ends of an axis are a small table; a corner's weight is the product of two, and so is the number of corners.
+    spread = source.join(at_lat, "__lat").join(at_lon, "__lon")
+    summed = spread.groupBy(*keys, "lat", "lon").agg(
+        F.sum(F.col("__w_lat") * F.col("__w_lon") * F.col("value")).alias("value"), F.count(F.lit(1)).alias("__have"), F.first(F.col("__n_lat") * F.col("__n_lon")).alias("__need")
+    )
     whole = summed.where("__have = __need").select(*keys, F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), "value")
     return _on_grid(whole, df, lat, lon, keys)
 

@@ -7,24 +7,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meridian.sources import scratch
 
-def _too_deep(step: DataFrame, depth: int) -> DataFrame:
-    """``step``, whose rows raise an error. It names columns of both sides of the last join, so that it isn't evaluated below that join."""
-    message = F.concat(F.lit(f"more than {depth} steps from the root: "), *[F.col(c).cast("string") for c in step.columns])
-    return step.where(F.raise_error(message).cast("boolean"))
 
+def _ancestors(hierarchy: DataFrame) -> DataFrame:
+    """(ancestor, descendant, distance) for each location and all above it, itself included, for trees of any depth.
 
-def closure(hierarchy: DataFrame, depth: int = 6) -> DataFrame:
-    """(ancestor, descendant) for each location and all above it, itself included; a root is its own parent. ``depth``: steps upwards; a deeper tree is an error."""
-    up = hierarchy.where("parent_id <> location_id").select(F.col("location_id").alias("__child"), F.col("parent_id").alias("__parent"))
-    step = hierarchy.select(F.col("location_id").alias("ancestor"), F.col("location_id").alias("descendant"))
-    out = step
-    for k in range(depth + 1):
-        step = step.join(up, step["ancestor"] == up["__child"]).select(F.col("__parent").alias("ancestor"), "descendant")
-        out = out.unionByName(step if k < depth else _too_deep(step, depth))
+    Steps upwards are doubled: those of 1, 2, 4, .. levels, until no location is that deep. A cycle raises ``ValueError``.
+    """
+    jump = hierarchy.where("parent_id <> location_id").select(F.col("location_id").alias("__from"), F.col("parent_id").alias("__to"))
+    out = hierarchy.select(F.col("location_id").alias("ancestor"), F.col("location_id").alias("descendant"), F.lit(0).alias("distance"))
+    length, most = 1, None
+    while not jump.isEmpty():
+        if length >= 8:  # deeper than trees of locations are
+            most = hierarchy.count() if most is None else most
+            if length > most:
+                raise ValueError("the tree has a cycle")
+            jump = scratch.written(jump, "jumps")
+        further = out.join(jump, out["ancestor"] == jump["__from"]).select(F.col("__to").alias("ancestor"), "descendant", (F.col("distance") + length).alias("distance"))
+        out = out.unionByName(further)
+        again = jump.select(F.col("__from").alias("__middle"), F.col("__to").alias("__top"))
+        jump = jump.join(again, jump["__to"] == again["__middle"]).select("__from", F.col("__top").alias("__to"))
+        length *= 2
     return out
 
 
+def closure(hierarchy: DataFrame) -> DataFrame:
+    """(ancestor, descendant) for each location and all above it, itself included; a root is its own parent."""
+    return _ancestors(hierarchy).select("ancestor", "descendant")
+
+
 def roll_up(facts: DataFrame, hierarchy: DataFrame, sums: Sequence[str], keys: Sequence[str] = ("year_id",)) -> DataFrame:
     """Sums of each location and all above it; leaves may sit at any level, and locations outside the tree are left out.
 
@@ -58,17 +70,13 @@ def missing_locations(hierarchy: DataFrame, facts: DataFrame) -> DataFrame:
     return hierarchy.where("most_detailed = 1").join(facts.select("location_id").distinct(), "location_id", "left_anti").select("location_id", "level")
 
 
-def depth_first(hierarchy: DataFrame, depth: int = 6, name: str = "location_name") -> DataFrame:
-    """location_id with its ``position`` in depth-first order, siblings by name; a tree of more than ``depth`` steps is an error.
+def depth_first(hierarchy: DataFrame, name: str = "location_name") -> DataFrame:
+    """location_id with its ``position`` in depth-first order, siblings by name; locations without a root above them are left out.
 
     The path of names from the root is the order; it is numbered in one window, over the locations alone.
     """
-    node = lambda h: F.struct(F.col(f"{h}.{name}").alias("n"), F.col(f"{h}.location_id").alias("i"))
-    frontier = hierarchy.alias("h").where("parent_id = location_id").select("location_id", F.array(node("h")).alias("path"))
-    out = frontier
-    for k in range(depth + 1):
-        below = hierarchy.alias("h").where("parent_id <> location_id")
-        f = frontier.alias("f")
-        frontier = below.join(f, F.col("h.parent_id") == F.col("f.location_id")).select(F.col("h.location_id"), F.concat("f.path", F.array(node("h"))).alias("path"))
-        out = out.unionByName(frontier if k < depth else _too_deep(frontier, depth))
-    return out.select("location_id", F.row_number().over(Window.orderBy("path")).alias("position"))
+    nodes = hierarchy.select(F.col("location_id").alias("ancestor"), F.struct(F.col(name).alias("n"), F.col("location_id").alias("i")).alias("node"), (F.col("parent_id") == F.col("location_id")).alias("root"))
+    steps = _ancestors(hierarchy).join(nodes, "ancestor")
+    line = F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("at"), "root", "node")))
+    paths = steps.groupBy(F.col("descendant").alias("location_id")).agg(line.alias("line")).where(F.col("line")[0]["root"])
+    return paths.select("location_id", F.row_number().over(Window.orderBy(F.col("line")["node"])).alias("position"))

@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def pixels_in_polygons(pixels: DataFrame, edges: DataFrame, band: float = 8.0) -> DataFrame:
-    """``pixels`` (row, col, x, y, ...) with the ``location_id`` of the polygon that holds their centre; of several the last in shape_order.
+def pixels_in_polygons(pixels: DataFrame, edges: DataFrame, band: float = 8.0, tile: float = 64.0, keys: Sequence[str] = ("row", "col")) -> DataFrame:
+    """The ``keys`` of ``pixels`` (with x, y) and the ``location_id`` of the polygon that holds their centre; of several the last in shape_order.
 
-    An edge is listed in each horizontal band that it touches, and a pixel meets the edges of its band alone; a centre is inside where an
-    odd number of edges lie to its right. ``edges``: location_id, shape_order, x1, y1, x2, y2.
+    ``keys`` tell pixels apart, such as block_key, row and col where there are several blocks. Polygons are listed in the square tiles that
+    their bounds touch, their edges in horizontal bands: a pixel meets the polygons of its tile, and of these the edges of its band. A
+    centre is inside where an odd number of edges lie to its right. ``edges``: location_id, shape_order, x1, y1, x2, y2.
     """
-    at = lambda y: F.floor(y / F.lit(band))
+    at = lambda c, size: F.floor(c / F.lit(size))
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    listed = edges.where("y1 <> y2").withColumn("__band", F.explode(F.sequence(at(low), at(high))))
+    shape = ["location_id", "shape_order"]
+    listed = edges.where("y1 <> y2").withColumn("__band", F.explode(F.sequence(at(low, band), at(high, band))))
+    bounds = edges.groupBy(*shape).agg(F.min(F.least("x1", "x2")).alias("__x0"), F.max(F.greatest("x1", "x2")).alias("__x1"), F.min(low).alias("__y0"), F.max(high).alias("__y1"))
+    tiles = bounds.withColumn("__tx", F.explode(F.sequence(at(F.col("__x0"), tile), at(F.col("__x1"), tile)))).withColumn("__ty", F.explode(F.sequence(at(F.col("__y0"), tile), at(F.col("__y1"), tile))))
+    placed = pixels.select(*keys, "x", "y", at(F.col("x"), tile).alias("__tx"), at(F.col("y"), tile).alias("__ty"), at(F.col("y"), band).alias("__band"))
+    near = placed.join(tiles, ["__tx", "__ty"]).where(F.col("x").between(F.col("__x0"), F.col("__x1")) & F.col("y").between(F.col("__y0"), F.col("__y1")))
     crossing = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
     right = F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
-    met = pixels.withColumn("__band", at(F.col("y"))).join(listed, "__band").where(crossing & right)
-    inside = met.groupBy("row", "col", "location_id", "shape_order").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
-    return inside.groupBy("row", "col").agg(F.max_by("location_id", "shape_order").alias("location_id"))
+    met = near.join(listed, [*shape, "__band"]).where(crossing & right)
+    inside = met.groupBy(*keys, *shape).agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+    return inside.groupBy(*keys).agg(F.max_by("location_id", "shape_order").alias("location_id"))
 
 
 def shapes_of_blocks(bounds: DataFrame, blocks: DataFrame, buffer: int = 10, tile: float = 64.0) -> DataFrame:
@@ -45,15 +53,34 @@ def shapes_of_blocks(bounds: DataFrame, blocks: DataFrame, buffer: int = 10, til
     )
 
 
+def block_slice(df: DataFrame, blocks: DataFrame, buffer: float = 0.1) -> DataFrame:
+    """Cells of a grid (latitude, longitude) for each block (block_key, lat_min, lat_max, lon_min, lon_max), with a buffer around, cut at the world's bounds.
+
+    Cells and blocks meet on whole degrees, so that it is no join of all cells and blocks.
+    """
+    low = lambda c, end: F.greatest(F.lit(end), F.col(c) - buffer)
+    high = lambda c, end: F.least(F.lit(end), F.col(c) + buffer)
+    wide = blocks.select("block_key", low("lat_min", -90.0).alias("__s"), high("lat_max", 90.0).alias("__n"), low("lon_min", -180.0).alias("__w"), high("lon_max", 180.0).alias("__e"))
+    listed = wide.withColumn("__y", F.explode(F.sequence(F.floor("__s"), F.floor("__n")))).withColumn("__x", F.explode(F.sequence(F.floor("__w"), F.floor("__e"))))
+    met = df.withColumns({"__y": F.floor("latitude"), "__x": F.floor("longitude")}).join(listed, ["__y", "__x"])
+    inside = F.col("latitude").between(F.col("__s"), F.col("__n")) & F.col("longitude").between(F.col("__w"), F.col("__e"))
+    return met.where(inside).select("block_key", *df.columns)
+
+
 def nearest_coordinate(df: DataFrame, axis: DataFrame, column: str, into: str) -> DataFrame:
-    """``df`` with the nearest of the axis' coordinates (column ``coord``); halfway the larger one. The axis is one array."""
+    """``df`` with the nearest of the axis' coordinates (column ``coord``); halfway the larger one, null where ``column`` or the axis is.
+
+    Each different coordinate of ``df`` is looked up once, in the axis as one array; stations have few, however many rows they have.
+    """
     listed = axis.agg(F.array_sort(F.collect_set("coord")).alias("__axis"))
-    c = F.col(column)
+    asked = df.select(F.col(column).alias("__c")).where(F.col("__c").isNotNull()).distinct()
+    c = F.col("__c")
     best = F.aggregate(
         "__axis", F.lit(None).cast("double"),
         lambda acc, s: F.when(acc.isNull() | (F.abs(s - c) <= F.abs(acc - c)), s).otherwise(acc),
     )
-    return df.crossJoin(F.broadcast(listed)).withColumn(into, F.when(c.isNotNull(), best)).drop("__axis")
+    found = asked.crossJoin(F.broadcast(listed)).select("__c", best.alias(into))
+    return df.join(found, df[column] == found["__c"], "left").drop("__c")
 
 
 def location_sums(pixels: DataFrame, keys: list[str]) -> DataFrame:
@@ -81,6 +108,12 @@ def zero_filled(df: DataFrame, dims: list[DataFrame], value: str) -> DataFrame:
     return grid.join(df, grid.columns, "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
 
 
+def wide_bins(df: DataFrame, keys: Sequence[str], bins: str, numbers: Sequence[int], value: str, prefix: str = "t") -> DataFrame:
+    """A column for each bin, 0 where there is none."""
+    named = df.withColumn("__name", F.concat(F.lit(prefix), F.col(bins).cast("string")))
+    return named.groupBy(*keys).pivot("__name", [f"{prefix}{n}" for n in numbers]).agg(F.sum(value)).na.fill(0.0)
+
+
 def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The last row of each key; ties are settled by all other columns."""
     last = Window.partitionBy(*keys).orderBy(F.desc(order), *[F.desc(c) for c in df.columns if c not in (*keys, order)])

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from meridian.functions import coordinates, units
 
-from meridian.operators import climate, grid, quality, temporal
-from meridian.plans.fixtures import query
+from meridian.operators import climate, grid, quality, spatial, temporal
+from meridian.plans.fixtures import ORACLE, query
+from meridian.plans import products
 from meridian.plans.recipes import DAILY, suitability
 from meridian.sources import scratch, tables
 
@@ -55,6 +56,28 @@ query("wind_speed_daily", "date lat_i:i lon_i:i value:d", "hourly",
 query("relative_humidity_daily", "date lat_i:i lon_i:i value:d", "hourly",
       _PAIR.format("100 * " + _VP.format("b.v - 273.15") + " / " + _VP.format("a.v - 273.15"), "view", "click"), lambda x: _pair(x, "view", "click", "relative_humidity"))
 
+# The same in the order of the products: hours are combined first, then averaged. Events are brought to hours.
+_HOURS = "SELECT date_trunc('hour', ts) AS ts, variable, lat_i, lon_i, AVG(value) AS value FROM hourly GROUP BY 1, 2, 3, 4"
+_BY_HOUR = """SELECT CAST(a.ts AS DATE) AS date, a.lat_i, a.lon_i, AVG({0}) AS value FROM (SELECT ts, lat_i, lon_i, value AS v FROM ({1}) h WHERE variable = 'view') a
+  JOIN (SELECT ts, lat_i, lon_i, value AS v FROM ({1}) h WHERE variable = 'click') b ON a.ts = b.ts AND a.lat_i = b.lat_i AND a.lon_i = b.lon_i GROUP BY 1, 2, 3"""
+
+
+def _hours(x, *variables: str):
+    hours = x.hourly.groupBy(F.date_trunc("hour", "ts").alias("ts"), "variable", *CELL).agg(F.avg("value").alias("value"))
+    return [hours.where(F.col("variable") == v).drop("variable") for v in variables]
+
+
+query("historical_wind_speed", "date lat_i:i lon_i:i value:d", "hourly", _BY_HOUR.format("log10(200) / log10(1000) * sqrt(a.v * a.v + b.v * b.v)", _HOURS), lambda x: DAILY["wind_speed"](*_hours(x, "view", "click")))
+query("historical_relative_humidity", "date lat_i:i lon_i:i value:d", "hourly", _BY_HOUR.format("100 * " + _VP.format("b.v - 273.15") + " / " + _VP.format("a.v - 273.15"), _HOURS),
+      lambda x: DAILY["relative_humidity"](*_hours(x, "view", "click")))
+for _name, _sql, _dataset in (
+    ("mean_temperature", "AVG(value) - 273.15", None), ("max_temperature", "MAX(value) - 273.15", None), ("min_temperature", "MIN(value) - 273.15", None),
+    ("sea_surface_temperature", "AVG(value) - 273.15", None), ("total_precipitation", "MAX(value) * 1000", "land"), ("total_precipitation", "SUM(value) * 1000", "single"),
+):
+    query(f"historical_{_name}" + (f"_{_dataset}" if _dataset else ""), "date lat_i:i lon_i:i value:d", "hourly",
+          f"SELECT CAST(ts AS DATE) AS date, lat_i, lon_i, {_sql} AS value FROM hourly WHERE variable = 'view' GROUP BY 1, 2, 3",
+          lambda x, name=_name, dataset=_dataset: DAILY[name](x.hourly.where("variable = 'view'").select("ts", *CELL, "value"), dataset=dataset))
+
 # --- daily to annual ---
 for how, fn in (("mean", "AVG"), ("max", "MAX"), ("min", "MIN"), ("sum", "SUM")):
     query(f"annual_{how}", "year:i lat_i:i lon_i:i value:d", "daily_grid",
@@ -120,6 +143,31 @@ for kind, (form, sign) in _FORMS.items():
           f"SELECT a.date, a.lat_i, a.lon_i, h.value {sign} a.value AS value FROM ({_ANOMALY.format(form)}) a JOIN ({_CLIMATOLOGY.format('grid_region')}) h ON month(a.date) = h.month AND a.lat_i = h.lat_i AND a.lon_i = h.lon_i",
           lambda x, kind=kind: climate.bias_correct(_anomaly(x, kind), temporal.climatology(climate.window(x.grid_region, 1995, 1999)), kind))
 
+#: A second component, and values before their units are changed, for the products of model members.
+_MEMBER = "SELECT date, lat_i, lon_i, value AS v, precip AS u FROM daily_grid"
+_SCENARIO = {
+    "mean_temperature": ("v - 273.15", "r.value", "h.value + (t.value - r.value)"), "max_temperature": ("v - 273.15", "r.value", "h.value + (t.value - r.value)"),
+    "min_temperature": ("v - 273.15", "r.value", "h.value + (t.value - r.value)"),
+    "wind_speed": ("log10(200) / log10(1000) * sqrt(v * v + u * u)", "r.value", "h.value * ((t.value + 1) / (r.value + 1))"),
+    "relative_humidity": ("v", "r.value", "h.value * ((t.value + 1) / (r.value + 1))"), "total_precipitation": ("v * 86400", "r.value", "h.value * ((t.value + 1) / (r.value + 1))"),
+}
+
+
+def _scenario(x, name: str):
+    value, other = x.daily_grid.select("date", *CELL, "value"), x.daily_grid.select("date", *CELL, F.col("precip").alias("value"))
+    sources = [value, other] if name == "wind_speed" else [value]
+    members = [s.where(F.col("date") >= F.lit("2000-01-01").cast("date")) for s in sources]
+    history = temporal.climatology(climate.window(x.grid_region, 1995, 1999))
+    return products.scenario_variable(name, members, [climate.window(s, 1995, 1999) for s in sources], history)
+
+
+for _name, (_value, _, _form) in _SCENARIO.items():
+    query(f"scenario_{_name}", "date lat_i:i lon_i:i value:d", "daily_grid grid_region",
+          f"""SELECT t.date, t.lat_i, t.lon_i, {_form} AS value FROM (SELECT date, lat_i, lon_i, {_value} AS value FROM ({_MEMBER}) m WHERE year(date) >= 2000) t
+              JOIN (SELECT month(date) AS month, lat_i, lon_i, AVG({_value}) AS value FROM ({_MEMBER}) m WHERE year(date) BETWEEN 1995 AND 1999 GROUP BY 1, 2, 3) r ON r.month = month(t.date) AND r.lat_i = t.lat_i AND r.lon_i = t.lon_i
+              JOIN ({_CLIMATOLOGY.format('grid_region')}) h ON h.month = month(t.date) AND h.lat_i = t.lat_i AND h.lon_i = t.lon_i""",
+          lambda x, name=_name: _scenario(x, name))
+
 # --- series ---
 query("spliced_daily_series", "date lat_i:i lon_i:i value:d", "daily_grid grid_region",
       "SELECT date, lat_i, lon_i, value FROM daily_grid WHERE year(date) < 2000 UNION ALL SELECT date, lat_i, lon_i, value FROM grid_region WHERE year(date) >= 2000",
@@ -147,6 +195,14 @@ query("calendar_align", "cell:i date value:d", "model_calendar",
          WHERE date IS NOT NULL""",
       lambda x: climate.align_calendar(x.model_calendar, ["cell"]))
 
+query("member_scan", "cell:i date value:d", "model_calendar",
+      f"""WITH a AS ({ORACLE['calendar_align']}) SELECT cell, date, value FROM a WHERE year(date) BETWEEN 1999 AND 2001 UNION ALL
+          SELECT cell, CAST(date + INTERVAL 365 DAY AS DATE), value FROM a WHERE year(date) = 2001 AND NOT EXISTS (SELECT 1 FROM a b WHERE b.cell = a.cell AND year(b.date) = 2002)""",
+      lambda x: climate.member_scan(x.model_calendar, ["cell"], (1999, 2002), last=2001))
+query("member_reference_scan", "cell:i date value:d", "model_calendar",
+      "SELECT cell, CAST(make_date(year, 1, 1) + CAST(dayofyear - 1 AS INT) AS DATE) AS date, value FROM model_calendar WHERE year BETWEEN 1995 AND 1999",
+      lambda x: climate.member_scan(x.model_calendar, ["cell"], reference=(1995, 1999)))
+
 # --- grids ---
 query("grid_template", "row:i col:i x:d y:d nation:i", "daily_grid",
       """SELECT r AS row, c AS col, -22.5 + (c + 0.5) * 5 AS x, 22.5 - (r + 0.5) * 5 AS y, n_nationkey AS nation FROM range(9) t(r), range(9) u(c)
@@ -178,6 +234,28 @@ _FILL = """SELECT date, latitude, longitude, CASE WHEN lo IS NULL THEN hv WHEN h
 query("nearest_fill_axis", "date latitude:d longitude:d value:d", "dense_grid", _FILL.format("(" + _FILL.format("dense_grid", "longitude", "latitude") + ") z", "latitude", "longitude"),
       lambda x: grid.fill_gaps(x.dense_grid))
 
+_BLOCKS = "(VALUES ('A', -10.0, 0.0, -20.0, -10.0), ('B', -20.0, 20.0, 0.0, 20.0), ('C', 85.0, 90.0, 170.0, 180.0)) AS b(block_key, lat_min, lat_max, lon_min, lon_max)"
+query("block_bbox_slice", "block_key date latitude:d longitude:d value:d", "daily_grid",
+      f"""SELECT b.block_key, g.date, g.latitude, g.longitude, g.value FROM daily_grid g JOIN {_BLOCKS}
+          ON g.latitude BETWEEN GREATEST(-90, lat_min - 0.1) AND LEAST(90, lat_max + 0.1) AND g.longitude BETWEEN GREATEST(-180, lon_min - 0.1) AND LEAST(180, lon_max + 0.1)""",
+      lambda x: spatial.block_slice(x.daily_grid.select("date", "latitude", "longitude", "value"), x.spark.sql(f"SELECT block_key, CAST(lat_min AS DOUBLE) lat_min, CAST(lat_max AS DOUBLE) lat_max, CAST(lon_min AS DOUBLE) lon_min, CAST(lon_max AS DOUBLE) lon_max FROM {_BLOCKS}")))
+
+
+def _historical(x):
+    """Land data with gaps on the grid, region means as the coarser source, both brought to a finer grid."""
+    single = x.grid_region.select("date", (20.0 - 10 * F.col("lat_i")).alias("latitude"), (-20.0 + 10 * F.col("lon_i")).alias("longitude"), "value")
+    land = x.daily_grid.select("date", "latitude", "longitude", "value")
+    return products.historical_daily(*[climate.window(df, 2000, 2000) for df in (land, single)], x.target_lat.where("coord >= -20"), x.target_lon.where("coord <= 20"))
+
+
+_BOTH = "SELECT COALESCE(a.date, b.date) AS date, COALESCE(a.latitude, b.latitude) AS latitude, COALESCE(a.longitude, b.longitude) AS longitude, COALESCE(a.value, b.value) AS value FROM (SELECT date, latitude, longitude, value FROM daily_grid WHERE year(date) = 2000) a FULL JOIN (SELECT date, CAST(20 - 10 * lat_i AS DOUBLE) AS latitude, CAST(-20 + 10 * lon_i AS DOUBLE) AS longitude, value FROM grid_region WHERE year(date) = 2000) b ON a.date = b.date AND a.latitude = b.latitude AND a.longitude = b.longitude"
+_STEPS = "(SELECT CAST(20 - 5 * i AS DOUBLE) AS c, CAST(20 - 10 * FLOOR(i / 2) AS DOUBLE) AS hi, CAST(20 - 10 * CEIL(i / 2.0) AS DOUBLE) AS lo FROM range(9) t(i))"
+_EAST = "(SELECT CAST(-20 + 5 * i AS DOUBLE) AS c, CAST(-20 + 10 * FLOOR(i / 2) AS DOUBLE) AS lo, CAST(-20 + 10 * CEIL(i / 2.0) AS DOUBLE) AS hi FROM range(9) t(i))"
+_GRID = f"""SELECT d.date, y.c AS latitude, x.c AS longitude, (a.value + b.value + c.value + e.value) / 4 AS value FROM (SELECT DISTINCT date FROM ({_BOTH}) q) d CROSS JOIN {_STEPS} y CROSS JOIN {_EAST} x
+  LEFT JOIN ({_BOTH}) a ON a.date = d.date AND a.latitude = y.lo AND a.longitude = x.lo LEFT JOIN ({_BOTH}) b ON b.date = d.date AND b.latitude = y.lo AND b.longitude = x.hi
+  LEFT JOIN ({_BOTH}) c ON c.date = d.date AND c.latitude = y.hi AND c.longitude = x.lo LEFT JOIN ({_BOTH}) e ON e.date = d.date AND e.latitude = y.hi AND e.longitude = x.hi"""
+query("historical_daily_grid", "date latitude:d longitude:d value:d", "daily_grid grid_region target_lat target_lon", _FILL.format("(" + _FILL.format(f"({_GRID}) g", "longitude", "latitude") + ") z", "latitude", "longitude"), _historical)
+
 # --- sinks ---
 def _roundtrip(x):
     path = scratch.path(x.spark, "packed")
@@ -193,3 +271,42 @@ query("incremental_worklist", "variable year:i", "daily_grid", f"SELECT * FROM (
       lambda x: quality.remaining(
           t := x.daily_grid.select(F.year("date").alias("year")).distinct().crossJoin(F.broadcast(x.events.select(F.col("event_type").alias("variable")).distinct())),
           t.where("year % 2 = 0"), ["variable", "year"]))
+
+_DUE = "SELECT DISTINCT v.variable, year(date) AS year FROM daily_grid CROSS JOIN (SELECT DISTINCT event_type AS variable FROM events) v"
+query("worklist_counts", "variable to_run:i complete:i", "daily_grid",
+      f"SELECT variable, COUNT(*) FILTER (year % 2 = 1) AS to_run, COUNT(*) FILTER (year % 2 = 0) AS complete FROM ({_DUE}) t GROUP BY 1",
+      lambda x: quality.work_counts(
+          t := x.daily_grid.select(F.year("date").alias("year")).distinct().crossJoin(F.broadcast(x.events.select(F.col("event_type").alias("variable")).distinct())),
+          t.where("year % 2 = 0"), ["variable", "year"], ["variable"]))
+query("packing_overflow", "date lat_i:i lon_i:i value:d", "daily_grid", "SELECT date, lat_i, lon_i, value FROM daily_grid WHERE abs(round_even(value / 0.001, 0)) > 32767 OR round_even(value / 0.001, 0) = -32767",
+      lambda x: quality.beyond_packing(x.daily_grid, 0.001))
+_HOLES = "CASE WHEN (lat_i + lon_i + dayofyear(date)) % 7 = 0 THEN {0} ELSE value END"
+
+
+def _with_nan(x):
+    """A table as a sensor's file may hold it, NaN where it has no value, read back through the library's scan."""
+    path = scratch.path(x.spark, "with-nan")
+    x.daily_grid.select("date", *CELL, "latitude", "longitude", F.expr(_HOLES.format("double('NaN')")).alias("value")).write.parquet(path)
+    return tables.read(x.spark, path)
+
+
+query("scan_without_nan", "year:i lat_i:i lon_i:i mean:d total:d days:i", "daily_grid",
+      f"SELECT year(date) AS year, lat_i, lon_i, AVG(v) AS mean, COALESCE(SUM(v), 0) AS total, COUNT(*) FILTER (v > 30) AS days FROM (SELECT *, {_HOLES.format('NULL')} AS v FROM daily_grid) t GROUP BY 1, 2, 3",
+      lambda x: _with_nan(x).groupBy(F.year("date").alias("year"), *CELL).agg(F.avg("value").alias("mean"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("total"), F.count_if(temporal.over(F.col("value"), 30.0)).alias("days")))
+
+
+def _problems(x):
+    """The grid against axes shifted by one step in longitude, with gaps, a column too many and values of a wrong type beside."""
+    cube = _with_nan(x).select("date", "latitude", "longitude", "value", "lat_i")
+    lat, lon = (x.daily_grid.select(c.alias("coord")).distinct() for c in (F.col("latitude"), F.col("longitude") + 10))
+    return quality.cube_problems(cube, lat, lon)
+
+
+query("cube_problems", "year:i problem", "daily_grid",
+      f"""WITH c AS (SELECT year(date) AS year, date, longitude, {_HOLES.format('NULL')} AS v FROM daily_grid), y AS (SELECT DISTINCT year FROM c), a AS (SELECT DISTINCT longitude + 10 AS lon FROM daily_grid)
+          SELECT NULL AS year, 'extra column lat_i' AS problem UNION ALL SELECT year, 'first day' FROM c GROUP BY 1 HAVING MIN(date) <> make_date(year, 1, 1) UNION ALL
+          SELECT year, 'last day' FROM c GROUP BY 1 HAVING MAX(date) <> make_date(year, 12, 31) UNION ALL SELECT year, 'number of days' FROM c GROUP BY 1 HAVING COUNT(DISTINCT date) <> dayofyear(make_date(year, 12, 31)) UNION ALL
+          SELECT year, 'missing values' FROM c GROUP BY 1 HAVING COUNT(*) FILTER (v IS NULL) > 0 UNION ALL
+          SELECT DISTINCT year, 'longitude off the axis' FROM c WHERE longitude NOT IN (SELECT lon FROM a) UNION ALL
+          SELECT DISTINCT y.year, 'longitude lacking' FROM y CROSS JOIN a WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.year = y.year AND c.longitude = a.lon) UNION ALL
+          SELECT DISTINCT y.year, 'latitude lacking' FROM y CROSS JOIN (SELECT DISTINCT latitude FROM daily_grid) l WHERE NOT EXISTS (SELECT 1 FROM daily_grid g WHERE year(g.date) = y.year AND g.latitude = l.latitude)""", _problems)

@@ -83,7 +83,7 @@ VIEWS = {
         FROM daily_region WHERE NOT (month(date) = 2 AND day(date) = 29)""",
     "catalogue": """
         SELECT source AS source_id, lang AS experiment_id, 'v' || CAST(n_chars % 3 AS STRING) AS variable_id, 'm' || CAST(doc_id % 5 AS STRING) AS member_id,
-               'gs://' || CAST(doc_id AS STRING) AS zstore, doc_id AS position
+               'store:' || CAST(doc_id AS STRING) AS zstore, doc_id AS position
         FROM documents""",
     "target_lat": "SELECT CAST(20 - 5 * i AS DOUBLE) AS coord FROM (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) AS t(i)",
     "target_lon": "SELECT CAST(-20 + 5 * i AS DOUBLE) AS coord FROM (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) AS t(i)",

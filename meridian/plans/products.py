@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from meridian.functions import coordinates, units
 from meridian.operators import climate, ensemble, grid, hierarchy, spatial, temporal
+from meridian.operators.temporal import CELL
+from meridian.plans.recipes import SCENARIO
 
 PLACE = ("latitude", "longitude")
 
@@ -55,6 +57,16 @@ def scenario_daily(member: DataFrame, member_window: DataFrame, historical: Data
     return climate.bias_correct(fine, historical, kind, PLACE)
 
 
+def scenario_variable(name: str, members: Sequence[DataFrame], windows: Sequence[DataFrame], historical: DataFrame, keys: Sequence[str] = CELL) -> DataFrame:
+    """Days of a named variable of a model, bias-corrected on its own grid: units, anomalies and correction as ``recipes.SCENARIO`` has them.
+
+    ``members`` and ``windows``: the source variables of the days wanted and of the reference window.
+    """
+    recipe, kind = SCENARIO[name]
+    reference = temporal.pooled_monthly_mean(recipe(*windows), keys)
+    return climate.bias_correct(climate.anomaly(recipe(*members), reference, kind, keys), historical, kind, keys)
+
+
 def temperature_zone(compiled: DataFrame, keys: Sequence[str], first_year: int = 1990, last_year: int = 2100, years: int = 10) -> DataFrame:
     """Trailing mean of the annual temperature. Years are cut after the window, which looks back beyond the first."""
     zones = temporal.rolling_mean(compiled, keys, years)
@@ -103,7 +115,7 @@ def predictors(dem: DataFrame, classes: DataFrame, target: int, coarse: int) ->
 
 
 def training_table(stations: DataFrame, daily: DataFrame, pixels: DataFrame, origin: tuple[float, float], step: float) -> DataFrame:
-    """A row for each station and day: what it measured, the grid's value nearest to it, and the predictors of its pixel.
+    """A row for each station and day: what it measured, the grid's value nearest to it in place and time, and the predictors of its pixel.
 
     ``stations``: station, date, lat, lon, temp_f, elevation; ``pixels``: row, col, elevation_target and others. ``origin``: latitude and
     longitude of the raster's upper left corner. A station without elevation has that of its pixel.
@@ -113,7 +125,9 @@ def training_table(stations: DataFrame, daily: DataFrame, pixels: DataFrame, ori
     wrapped = daily.withColumn("longitude", coordinates.wrap_longitude(F.col("longitude")))
     for axis, column in zip(PLACE, ("lat", "lon"), strict=True):
         rows = spatial.nearest_coordinate(rows, wrapped.select(F.col(axis).alias("coord")).distinct(), column, axis)
-    rows = rows.join(wrapped.select("date", *PLACE, F.col("value").alias("grid_temperature")), ["date", *PLACE], "left")
+    rows = spatial.nearest_coordinate(rows.withColumn("__day", F.unix_date("date").cast("double")), wrapped.select(F.unix_date("date").cast("double").alias("coord")).distinct(), "__day", "__near")
+    wrapped = wrapped.select(F.unix_date("date").cast("double").alias("__near"), *PLACE, F.col("value").alias("grid_temperature"))
+    rows = rows.join(wrapped, ["__near", *PLACE], "left").drop("__day", "__near")
     rows = rows.withColumns({"row": coordinates.pixel(F.col("lat"), origin[0], -step), "col": coordinates.pixel(F.col("lon"), origin[1], step)})
     rows = rows.join(pixels, ["row", "col"], "left")
     return rows.withColumn("elevation", F.when(F.col("elevation") < -999, F.col("elevation_target")).otherwise(F.col("elevation")))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions import coordinates, units
 from meridian.operators import grid, spatial
+from meridian.plans import products
 from meridian.plans.fixtures import query
 from meridian.sources import scratch, tables
 
@@ -102,6 +103,14 @@ def _inside(x):
 
 
 query("pixel_in_polygon", "row:i col:i location_id:i", "fine_raster edges", _INSIDE, _inside)
+def _inside_blocks(x):
+    """Every block numbers its rows from 0, so that only block, row and column together tell a pixel."""
+    pixels = x.population.select("block_key", (F.col("row") % 10).alias("row"), "col", (F.col("col") + 0.5).cast("double").alias("x"), (F.col("row") + 0.5).cast("double").alias("y"))
+    return spatial.pixels_in_polygons(pixels, x.edges, tile=16.0, keys=("block_key", "row", "col"))
+
+
+query("block_pixel_in_polygon", "block_key row:i col:i location_id:i", "population edges",
+      f"SELECT p.block_key, p.row % 10 AS row, p.col, i.location_id FROM population p JOIN ({_INSIDE}) i ON i.row = p.row AND i.col = p.col", _inside_blocks)
 query("shape_block_overlap", "block_key location_id:i col_start:i col_stop:i row_start:i row_stop:i", "bounds blocks",
       """SELECT block_key, location_id, GREATEST(0, LEAST(bxmax - bxmin, FLOOR(xmin - bxmin) - 10)) AS col_start, GREATEST(0, LEAST(bxmax - bxmin, CEIL(xmax - bxmin) + 10)) AS col_stop,
                 GREATEST(0, LEAST(bymax - bymin, FLOOR(ymin - bymin) - 10)) AS row_start, GREATEST(0, LEAST(bymax - bymin, CEIL(ymax - bymin) + 10)) AS row_stop
@@ -121,13 +130,18 @@ def _cells(df):
     return df.withColumns({"lat_i": coordinates.clipped_cell(F.col("row") + 0.5, 0.0, 10.0, 5), "lon_i": coordinates.clipped_cell(F.col("col") + 0.5, 0.0, 8.0, 5)})
 
 
+def _people(x):
+    """Population by location and climate cell: pixels are summed before they meet the years."""
+    return _cells(x.population).join(_inside(x), ["row", "col"]).groupBy("location_id", "lat_i", "lon_i").agg(F.sum("pop").alias("population"))
+
+
 query("pixel_to_cell", "row:i col:i lat_i:i lon_i:i", "population", f"SELECT row, col, {_CELL} FROM population", lambda x: _cells(x.population))
 query("pixel_weighted_climate", "location_id:i year:i weighted_climate:d population:d", "population edges daily_grid",
       f"""SELECT s.location_id, c.year, SUM(p.pop * c.value) AS weighted_climate, SUM(p.pop) AS population FROM (SELECT row, col, pop, {_CELL} FROM population) p
           JOIN ({_INSIDE}) s ON s.row = p.row AND s.col = p.col
           JOIN (SELECT year(date) AS year, lat_i, lon_i, AVG(value) AS value FROM daily_grid GROUP BY 1, 2, 3) c ON c.lat_i = p.lat_i AND c.lon_i = p.lon_i GROUP BY 1, 2""",
       lambda x: spatial.location_sums(
-          _cells(x.population).withColumnRenamed("pop", "population").join(_inside(x), ["row", "col"]).join(
+          _people(x).join(
               x.daily_grid.groupBy(F.year("date").alias("year"), "lat_i", "lon_i").agg(F.avg("value").alias("value")), ["lat_i", "lon_i"]), ["location_id", "year"]))
 _A, _F = coordinates.AXIS, coordinates.FLATTENING
 _E2 = _F * (2 - _F)
@@ -190,7 +204,7 @@ def _by_zone(x):
 
 
 query("dense_zero_fill", "location_id:i year:i zone:i person_days:d", "population edges daily_grid",
-      f"""SELECT l.location_id, y.year, z.zone, COALESCE(p.person_days, 0) AS person_days FROM (SELECT DISTINCT location_id FROM ({_PERSON}) a) l CROSS JOIN (SELECT DISTINCT year(date) AS year FROM daily_grid) y
+      f"""SELECT l.location_id, y.year, z.zone, COALESCE(p.person_days, 0) AS person_days FROM (SELECT DISTINCT location_id FROM ({_INSIDE}) a) l CROSS JOIN (SELECT DISTINCT year(date) AS year FROM daily_grid) y
           CROSS JOIN (SELECT CAST(range AS INT) AS zone FROM range(60)) z LEFT JOIN ({_BY_ZONE}) p ON p.location_id = l.location_id AND p.year = y.year AND p.zone = z.zone""",
       lambda x: spatial.zero_filled(_by_zone(x), [_inside(x).join(_cells(x.population), ["row", "col"]).select("location_id").distinct(), x.daily_grid.select(F.year("date").alias("year")).distinct(),
                                                   x.spark.range(60).select(F.col("id").cast("int").alias("zone"))], "person_days"))
@@ -198,3 +212,38 @@ _ZONES = range(20, 60)
 query("pivot_bins", "location_id:i year:i " + " ".join(f"z{z}:d" for z in _ZONES), "population edges daily_grid",
       "SELECT location_id, year, " + ", ".join(f"COALESCE(SUM(person_days) FILTER (zone = {z}), 0) AS z{z}" for z in _ZONES) + f" FROM ({_BY_ZONE}) p GROUP BY 1, 2",
       lambda x: _by_zone(x).withColumn("z", F.concat(F.lit("z"), F.col("zone").cast("string"))).groupBy("location_id", "year").pivot("z", [f"z{z}" for z in _ZONES]).agg(F.sum("person_days")).na.fill(0.0))
+
+_TENTHS = range(800)
+query("pivot_temperature_bins", "location_id:i year:i zone:i " + " ".join(f"t{t}:d" for t in _TENTHS), "population edges daily_grid",
+      "SELECT location_id, year, zone, " + ", ".join(f"COALESCE(SUM(person_days) FILTER (temperature = {t}), 0) AS t{t}" for t in _TENTHS) + f" FROM ({_PERSON}) p GROUP BY 1, 2, 3",
+      lambda x: spatial.wide_bins(_person(x), ["location_id", "year", "zone"], "temperature", _TENTHS, "person_days"))
+
+# --- products of rasters and stations ---
+_WIDE = "SELECT CAST(FLOOR(row / 20) AS INT) AS r, CAST(FLOOR(col / 20) AS INT) AS c, AVG(elevation) AS wide FROM fine_raster GROUP BY 1, 2"
+_FINE = "SELECT CAST(FLOOR(row / 5) AS INT) AS row, CAST(FLOOR(col / 5) AS INT) AS col, AVG(elevation) AS fine FROM fine_raster GROUP BY 1, 2"
+_KIND = "SELECT row, col, class FROM (SELECT CAST(FLOOR(row / 5) AS INT) AS row, CAST(FLOOR(col / 5) AS INT) AS col, class, COUNT(*) AS n FROM fine_raster WHERE class IS NOT NULL GROUP BY 1, 2, 3) t QUALIFY ROW_NUMBER() OVER (PARTITION BY row, col ORDER BY n DESC, class) = 1"
+_PREDICTORS = f"""SELECT f.row, f.col, f.fine AS elevation_target, w.wide AS elevation_coarse, w.wide - f.fine AS elevation_anomaly, k.class AS class_target FROM ({_FINE}) f
+  LEFT JOIN ({_WIDE}) w ON w.r = CAST(FLOOR(f.row / 4) AS INT) AND w.c = CAST(FLOOR(f.col / 4) AS INT) LEFT JOIN ({_KIND}) k ON k.row = f.row AND k.col = f.col"""
+
+
+def _predictors(x):
+    return products.predictors(x.fine_raster.select("row", "col", "elevation"), x.fine_raster.select("row", "col", "class"), 5, 4)
+
+
+query("downscale_predictors", "row:i col:i elevation_target:d elevation_coarse:d elevation_anomaly:d class_target:i", "fine_raster", _PREDICTORS, _predictors)
+
+
+def _training(x):
+    stations = x.stations.withColumn("date", F.date_add(F.lit("2024-01-01").cast("date"), F.col("day_no")))
+    days = x.hourly.groupBy(F.to_date("ts").alias("date"), "latitude", "longitude").agg(F.avg("value").alias("value")).withColumn("value", units.kelvin_to_celsius(F.col("value")))
+    return products.training_table(stations, days, _predictors(x), (50.0, -180.0), 9.0)
+
+
+query("training_table", "station date latitude:d longitude:d temperature:d grid_temperature:d elevation:d class_target:i", "stations hourly fine_raster",
+      f"""SELECT s.station, s.date, a.c AS latitude, o.c AS longitude, s.temperature, g.value AS grid_temperature, CASE WHEN s.elevation < -999 THEN p.elevation_target ELSE s.elevation END AS elevation, p.class_target FROM ({_CLEAN}) s
+          JOIN (SELECT lat, arg_min(c, (abs(c - lat), -c)) AS c FROM (SELECT DISTINCT lat FROM stations) t CROSS JOIN (SELECT DISTINCT latitude AS c FROM ({_DAYS}) d) u GROUP BY lat) a ON a.lat = s.lat
+          JOIN (SELECT lon, arg_min(c, (abs(c - lon), -c)) AS c FROM (SELECT DISTINCT lon FROM stations) t CROSS JOIN (SELECT DISTINCT longitude AS c FROM ({_DAYS}) d) u GROUP BY lon) o ON o.lon = s.lon
+          JOIN (SELECT day, arg_min(c, (abs(c - day), -c)) AS c FROM (SELECT DISTINCT CAST(DATE '2024-01-01' + CAST(day_no AS INT) AS DATE) - DATE '1970-01-01' AS day FROM stations) t
+                CROSS JOIN (SELECT DISTINCT CAST(date AS DATE) - DATE '1970-01-01' AS c FROM ({_DAYS}) d) u GROUP BY day) n ON n.day = CAST(s.date AS DATE) - DATE '1970-01-01'
+          LEFT JOIN ({_DAYS}) g ON CAST(g.date AS DATE) - DATE '1970-01-01' = n.c AND g.latitude = a.c AND g.longitude = o.c
+          LEFT JOIN ({_PREDICTORS}) p ON p.row = CAST(FLOOR((s.lat - 50) / -9.0) AS INT) AND p.col = CAST(FLOOR((s.lon + 180) / 9.0) AS INT)""", _training)

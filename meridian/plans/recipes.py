@@ -78,6 +78,17 @@ DAILY = {
     "relative_humidity": Recipe(("temperature", "dewpoint"), [_humidity, _daily("mean")], 0.01),
     "total_precipitation": Recipe(("precipitation",), {"land": [scalar(units.metre_to_millimetre), _daily("max")], "single": [scalar(units.metre_to_millimetre), _daily("sum")]}, 0.1),
 }
+DAYS = ("date", "lat_i", "lon_i")
+_days_wind = pairwise(lambda u, v: units.magnitude(units.wind_at_two_metres(u), units.wind_at_two_metres(v)), DAYS)
+#: A model's days in the units of the history, and how its anomalies are taken. Wind is that of the daily means of its components.
+SCENARIO = {
+    "mean_temperature": (Recipe(("tas",), [scalar(units.kelvin_to_celsius)], 0.01), "additive"),
+    "max_temperature": (Recipe(("tasmax",), [scalar(units.kelvin_to_celsius)], 0.01), "additive"),
+    "min_temperature": (Recipe(("tasmin",), [scalar(units.kelvin_to_celsius)], 0.01), "additive"),
+    "wind_speed": (Recipe(("uas", "vas"), [_days_wind], 0.01), "multiplicative"),
+    "relative_humidity": (Recipe(("hurs",), [lambda df: df], 0.01), "multiplicative"),
+    "total_precipitation": (Recipe(("pr",), [scalar(units.flux_to_rainfall)], 0.1), "multiplicative"),
+}
 #: Days to years.
 ANNUAL = {
     "mean_temperature": Recipe(("mean_temperature",), [_annual("mean")], 0.01),

@@ -1,17 +1,27 @@
-"""Paths for tables that a job writes on the way."""
+"""Tables that a job writes on the way."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def path(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that all executors share, ``spark.checkpoint.dir``; a temporary one of this machine only where that is unset."""
+    """A new path in the folder that all executors share, ``spark.checkpoint.dir``; a temporary one where that is unset and Spark is one local process."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="meridian-")
         spark.sparkContext.setCheckpointDir(where)
     return f"{where}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df``, written once and read back: its lineage ends there."""
+    at = path(df.sparkSession, label)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)

@@ -174,10 +174,55 @@ def test_the_library_stands_without_training_operators(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
 
 
-def test_hierarchy_too_deep(spark):
-    """Seven levels are summed and ordered; an eighth raises instead of losing rows."""
+def test_hierarchy_of_any_depth(spark):
+    """Trees of one to forty levels are summed and ordered; a cycle raises."""
     tree = lambda n: spark.createDataFrame([(i, max(1, i - 1), f"n{i}") for i in range(1, n + 1)], "location_id int, parent_id int, location_name string")
-    assert len(hierarchy.closure(tree(7)).collect()) == 28 and len(hierarchy.depth_first(tree(7)).collect()) == 7
-    for found in (hierarchy.closure(tree(8)), hierarchy.depth_first(tree(8))):
-        with pytest.raises(Exception, match="more than 6 steps"):
-            found.collect()
+    for n in (1, 7, 10, 40):
+        assert hierarchy.closure(tree(n)).count() == n * (n + 1) // 2
+        assert [r["location_id"] for r in hierarchy.depth_first(tree(n)).orderBy("position").collect()] == list(range(1, n + 1))
+    facts = spark.createDataFrame([(10, 2000, 3.0)], "location_id int, year_id int, population double")
+    assert rows(hierarchy.roll_up(facts, tree(10), ["population"]), "location_id", "population") == [(i, 3.0) for i in range(1, 11)]
+    ring = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "location_id int, parent_id int")
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.closure(ring)
+
+
+def test_polygons_of_several_blocks(spark):
+    """Pixels of two blocks with one row and column are two pixels."""
+    square = [(1, 1, 0, 0, 4, 0), (1, 1, 4, 0, 4, 4), (1, 1, 4, 4, 0, 4), (1, 1, 0, 4, 0, 0)]
+    edges = spark.createDataFrame([tuple(map(float, e)) for e in square], "location_id double, shape_order double, x1 double, y1 double, x2 double, y2 double")
+    pixels = spark.createDataFrame([("A", 0, 0, 0.5, 0.5), ("B", 0, 0, 2.5, 2.5), ("C", 0, 0, 9.5, 2.5)], "block_key string, row int, col int, x double, y double")
+    for tile in (1.0, 64.0):
+        assert rows(spatial.pixels_in_polygons(pixels, edges, tile=tile, keys=("block_key", "row", "col")), "block_key", "location_id") == [("A", 1.0), ("B", 1.0)]
+
+
+def test_large_keys_are_split_on_writing(spark):
+    """A key is no task of its own: its rows go to files by size, and each file has its rows in order."""
+    path = scratch.path(spark, "large")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        tables.write(spark.range(200_000).selectExpr("1 as year", "id", "rand(3) as v"), path, ["year"], ["id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    found = tables.read(spark, path)
+    assert found.select(F.input_file_name()).distinct().count() > 1 and found.count() == 200_000
+
+
+def test_catalogue_and_flags(spark):
+    entries = spark.createDataFrame([("s", "e", "v", "day", "m", "one", 1), ("s", "e", "v", "day", "m", "two", 2), ("s", "e", "v", "month", "m", "three", 3)],
+                                    "source_id string, experiment_id string, variable_id string, table_id string, member_id string, zstore string, position int")
+    assert rows(ensemble.catalogue(entries, "s", table="day"), "zstore") == [("two",)] and ensemble.catalogue(entries, "other").count() == 0
+    flags = spark.createDataFrame([("Yes",), ("No",), ("?",), (None,)], "f string").select("f", ensemble.yes_or_no("f").alias("b"))
+    assert {r["f"]: r["b"] for r in flags.collect()} == {"Yes": True, "No": False, "?": None, None: None}
+
+
+def test_cube_without_a_column(spark):
+    df = spark.createDataFrame([(DAY(2000, 1, 1), 1.0, "x")], "date date, latitude double, value string")
+    lat = spark.createDataFrame([(1.0,)], "coord double")
+    assert rows(quality.cube_problems(df, lat, lat), "problem") == [("missing column longitude",), ("type of value string",)]
+
+
+def test_nearest_coordinate(spark):
+    df = spark.createDataFrame([(0.5,), (0.49,), (-9.0,), (9.0,), (None,)], "c double")
+    axis = spark.createDataFrame([(0.0,), (1.0,), (3.0,)], "coord double")
+    assert {r["c"]: r["n"] for r in spatial.nearest_coordinate(df, axis, "c", "n").collect()} == {0.5: 1.0, 0.49: 0.0, -9.0: 0.0, 9.0: 3.0, None: None}
