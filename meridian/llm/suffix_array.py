@@ -88,10 +88,12 @@ class _Scan:
         there = np.arange(lo, hi) < self.head[bucket]
         came, fixed = self.out[lo:hi][there], self.fixed[self.fixed_start[first] : self.fixed_start[stop]]
         # Within a bucket: what came before, what is induced here, what is fixed.
-        came_key, fixed_key = 3 * bucket[there], 3 * self.key[fixed] + 2
+        kind = np.uint16 if 3 * (stop - first) < 1 << 16 else np.int64
+        place = lambda key, part: (3 * (key.astype(np.int64) - first) + part).astype(kind)
+        came_key, fixed_key = place(bucket[there], 0), place(self.key[fixed], 2)
         inner = came[:0]
         for _ in range(STEPS):
-            key = np.concatenate([came_key, 3 * self.key[inner] + 1, fixed_key])
+            key = np.concatenate([came_key, place(self.key[inner], 1), fixed_key])
             order = np.argsort(key, kind="stable")
             line = np.concatenate([came, inner, fixed])[order]
             before = self._before(line)
@@ -145,8 +147,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     n = len(s)
     if n < 2:
         return np.arange(n, dtype=np.int32)
-    s = s.astype(np.int32)
     chars = int(s.max()) + 1
+    s = s.astype(np.uint8 if chars <= 1 << 8 else np.uint16 if chars <= 1 << 16 else np.int32)  # narrow signs are sorted by counting
     small = _types(s)
     is_lms = np.zeros(n, bool)
     is_lms[1:] = small[1:] & ~small[:-1]
