@@ -42,7 +42,7 @@ class _Scan:
         size = np.bincount(key[wanted], minlength=chars)
         self.start = np.concatenate([[0], np.cumsum(size)])
         self.head, self.out = self.start[:-1].copy(), np.empty(self.start[-1], np.int32)
-        self.fixed_start = np.searchsorted(key[fixed], np.arange(chars + 1))
+        self.fixed_start = np.concatenate([[0], np.cumsum(np.bincount(key[fixed], minlength=chars))])
         self.ends = self.start[1:] + self.fixed_start[1:]
 
     def run(self) -> np.ndarray:
@@ -69,10 +69,13 @@ class _Scan:
         key = self.key[at]
         order = np.argsort(key, kind="stable")
         key = key[order]
-        edge = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1)
-        size = np.diff(np.append(edge, len(key)))
-        self.out[np.arange(len(key)) + np.repeat(self.head[key[edge]] - edge, size)] = at[order]
-        self.head[key[edge]] += size
+        last = np.append(np.flatnonzero(key[1:] != key[:-1]), len(key) - 1)
+        size, of = last.copy(), key[last]
+        size[1:] -= last[:-1]
+        size[0] += 1
+        head = self.head[of]
+        self.out[np.arange(len(key)) + np.repeat(head - last + size - 1, size)] = at[order]
+        self.head[of] = head + size
 
     def _alone(self, bucket: int) -> None:
         done = self.start[bucket]
