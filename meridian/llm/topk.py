@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a shard, about, and entries that the first slice of each list has; later slices are half of what was read before.
-SHARD, SLICE = 16_384, 64
+SHARD, SLICE = 8192, 64
 FOUND = "query_key long, query_id long, vec_id long, score long"
 LONG = np.iinfo(np.int64)
 
@@ -124,7 +124,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     queries = queries.select(F.xxhash64("vec_id", "v").alias("query_key"), "vec_id", "v").dropDuplicates(["query_key"])
     rows = vectors.select(F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).alias("shard"), F.lit(None).cast("long").alias("query_key"), "vec_id", "v")
     asked = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), "query_key", "vec_id", "v")
-    met = rows.unionByName(asked).repartition("shard").sortWithinPartitions("shard", F.col("query_key").asc_nulls_first())
+    met = rows.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", F.col("query_key").asc_nulls_first())
     found = met.mapInArrow(lambda it: _search(it, k), FOUND)
     best = Window.partitionBy("query_key").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
