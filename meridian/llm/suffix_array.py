@@ -16,16 +16,17 @@ from itertools import chain
 import numpy as np
 
 #: Members of neighbouring buckets that are scanned together, about, and steps that this may take.
-TOGETHER, STEPS = 1 << 10, 10
+TOGETHER, STEPS = 1 << 12, 12
 
 
 def _types(s: np.ndarray) -> np.ndarray:
     """True where a suffix is S. A suffix at the end of the string is larger than the empty one, hence L."""
     n = len(s)
-    differs = np.flatnonzero(s[1:] != s[:-1])
+    change = s[1:] != s[:-1]
+    differs = np.flatnonzero(change)
     if not len(differs):
         return np.zeros(n, bool)
-    after = np.searchsorted(differs, np.arange(n))
+    after = np.concatenate([[0], np.cumsum(change)])
     inside = after < len(differs)
     at = differs[np.minimum(after, len(differs) - 1)]
     return inside & (s[at] < s[np.minimum(at + 1, n - 1)])
@@ -38,8 +39,12 @@ class _Scan:
     """
 
     def __init__(self, key: np.ndarray, wanted: np.ndarray, fixed: np.ndarray, chars: int):
-        self.key, self.wanted, self.fixed = key, wanted, fixed
-        size = np.bincount(key[wanted], minlength=chars)
+        self.key, self.fixed, self.chars = key, fixed, chars
+        # Bucket of the suffix before each, where it is wanted, else ``chars``: one look-up tells both.
+        self.to = np.full(len(key), chars, np.uint16 if chars < 1 << 16 else np.int32)
+        self.to[1:] = np.where(wanted[:-1], key[:-1], self.to.dtype.type(chars))
+        size = np.bincount(self.to, minlength=chars + 1)[:chars]
+        size[key[-1]] += wanted[-1]
         self.start = np.concatenate([[0], np.cumsum(size)])
         self.head, self.out = self.start[:-1].copy(), np.empty(self.start[-1], np.int32)
         self.fixed_start = np.concatenate([[0], np.cumsum(np.bincount(key[fixed], minlength=chars))])
@@ -58,15 +63,10 @@ class _Scan:
             first = stop
         return self.out
 
-    def _before(self, at: np.ndarray) -> np.ndarray:
-        before = at[at > 0] - 1
-        return before[self.wanted[before]]
-
-    def put(self, at: np.ndarray) -> None:
-        """Add suffixes to the ends of their buckets."""
+    def put(self, at: np.ndarray, key: np.ndarray) -> None:
+        """Add suffixes to the ends of their buckets ``key``."""
         if not len(at):
             return
-        key = self.key[at]
         order = np.argsort(key, kind="stable")
         key = key[order]
         last = np.append(np.flatnonzero(key[1:] != key[:-1]), len(key) - 1)
@@ -77,56 +77,62 @@ class _Scan:
         self.out[np.arange(len(key)) + np.repeat(head - last + size - 1, size)] = at[order]
         self.head[of] = head + size
 
+    def _put_before(self, at: np.ndarray) -> None:
+        to = self.to[at]
+        wanted = np.flatnonzero(to < self.chars)
+        self.put(at[wanted] - 1, to[wanted])
+
     def _alone(self, bucket: int) -> None:
         done = self.start[bucket]
         while done < self.head[bucket]:
             wave, done = self.out[done : self.head[bucket]], self.head[bucket]
-            self.put(self._before(wave))
-        self.put(self._before(self.fixed[self.fixed_start[bucket] : self.fixed_start[bucket + 1]]))
+            self._put_before(wave)
+        self._put_before(self.fixed[self.fixed_start[bucket] : self.fixed_start[bucket + 1]])
 
     def _together(self, first: int, stop: int) -> bool:
         """Scan several buckets at once: what they induce among themselves is put in and ordered anew, until that changes nothing."""
         lo, hi = self.start[first], self.start[stop]
-        bucket = np.repeat(np.arange(first, stop), np.diff(self.start[first : stop + 1]))
-        there = np.arange(lo, hi) < self.head[bucket]
-        came, fixed = self.out[lo:hi][there], self.fixed[self.fixed_start[first] : self.fixed_start[stop]]
         # Within a bucket: what came before, what is induced here, what is fixed.
-        kind = np.uint16 if 3 * (stop - first) < 1 << 16 else np.int64
-        place = lambda key, part: (3 * (key.astype(np.int64) - first) + part).astype(kind)
-        came_key, fixed_key = place(bucket[there], 0), place(self.key[fixed], 2)
-        inner = came[:0]
+        kind = np.uint16 if 3 * (stop - first) < 1 << 16 else np.int32
+        bucket = np.arange(0, 3 * (stop - first), 3, dtype=kind)
+        there = np.arange(lo, hi) < np.repeat(self.head[first:stop], np.diff(self.start[first : stop + 1]))
+        came, fixed = self.out[lo:hi][there], self.fixed[self.fixed_start[first] : self.fixed_start[stop]]
+        came_key = np.repeat(bucket, self.head[first:stop] - self.start[first:stop])
+        fixed_key = np.repeat(bucket + kind(2), np.diff(self.fixed_start[first : stop + 1]))
+        inner, inner_key = came[:0], came_key[:0]
         for _ in range(STEPS):
-            key = np.concatenate([came_key, place(self.key[inner], 1), fixed_key])
+            key = np.concatenate([came_key, inner_key, fixed_key])
             order = np.argsort(key, kind="stable")
             line = np.concatenate([came, inner, fixed])[order]
-            before = self._before(line)
-            inside = self.key[before] < stop
-            again = before[inside]
+            to = self.to[line]
+            inside = np.flatnonzero(to < stop)
+            again = line[inside] - 1
             if np.array_equal(again, inner):
-                self.out[lo:hi] = line[key[order] % 3 < 2]
-                self.put(before[~inside])
+                self.out[lo:hi] = line[order < len(came) + len(inner)]
+                later = np.flatnonzero((to >= stop) & (to < self.chars))
+                self.put(line[later] - 1, to[later])
                 return True
-            inner = again
+            inner, inner_key = again, bucket[to[inside] - first] + kind(1)
         return False
 
     def _one_by_one(self, first: int, stop: int) -> None:
-        key, wanted, later = memoryview(self.key), memoryview(self.wanted), []
+        to, later, chars = memoryview(self.to), [], self.chars
         lines = [self.out[self.start[b] : self.head[b]].tolist() for b in range(first, stop)]
         for b, line in enumerate(lines, first):
             fixed = self.fixed[self.fixed_start[b] : self.fixed_start[b + 1]].tolist()
             for at in chain(line, fixed):  # the line may grow meanwhile
-                at -= 1
-                if at >= 0 and wanted[at]:
-                    to = key[at]
-                    (lines[to - first] if to < stop else later).append(at)
+                bucket = to[at]
+                if bucket < chars:
+                    (lines[bucket - first] if bucket < stop else later).append(at - 1)
         self.out[self.start[first] : self.start[stop]] = [at for line in lines for at in line]
-        self.put(np.array(later, np.int32))
+        later = np.array(later, np.int32)
+        self.put(later, self.key[later])
 
 
 def _induce(s: np.ndarray, small: np.ndarray, chars: int, lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All L and all S suffixes in the order induced by ``lms``, the LMS suffixes by first character and, among those, as given."""
     ascending = _Scan(s, ~small, lms, chars)
-    ascending.put(np.array([len(s) - 1], np.int32))  # the end of the string induces the last suffix
+    ascending.put(np.array([len(s) - 1], np.int32), s[-1:])  # the end of the string induces the last suffix
     large = ascending.run()
     return large, _Scan(chars - 1 - s, small, large[::-1], chars).run()[::-1]
 
