@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from meridian.llm import bpe, byte_dedup, language, media, mixing, sharding, simhash, substring_dedup, topk, toxicity
+from meridian.llm import bpe, byte_bpe, byte_dedup, language, media, merkle, mixing, periodic, sharding, simhash, substring_dedup, topk, toxicity
 
-_MODULES = (substring_dedup, mixing, language, topk, media, simhash, bpe, toxicity, byte_dedup, sharding)
+_MODULES = (substring_dedup, mixing, language, topk, media, simhash, bpe, toxicity, byte_dedup, sharding, merkle, periodic, byte_bpe)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, byte_dedup, language, media, queries, sharding, simhash, substring_dedup, suffix_array, topk, toxicity
+from meridian.llm import bpe, byte_bpe, byte_dedup, language, media, merkle, periodic, queries, sharding, simhash, substring_dedup, suffix_array, topk, toxicity
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -47,8 +47,8 @@ def shingles(text, n):
 
 @needs_tables
 def test_registered():
-    assert [re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES] and len(queries.QUERIES) == 10
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert [re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES] and len(queries.QUERIES) == 13
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 @needs_tables
@@ -380,3 +380,138 @@ def test_pipeline(spark):
     assert found.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256"]
     rows = found.collect()
     assert len(rows) > 100 and all(len(r["ids"]) == 4 * r["n_tokens"] for r in rows)
+
+
+def tree(leaves):
+    """Root of some digests by the definition, and the siblings (left, right) of each leaf, level by level."""
+    path, at, level = [[] for _ in leaves], list(range(len(leaves))), list(leaves)
+    while len(level) > 1:
+        for p, k in zip(path, at, strict=True):
+            run = k - k % 3
+            p.append(("".join(level[run:k]), "".join(level[k + 1 : run + 3])))
+        at = [k // 3 for k in at]
+        level = [hashlib.sha256("".join(level[k : k + 3]).encode()).hexdigest() for k in range(0, len(level), 3)]
+    return level[0], path
+
+
+@pytest.mark.parametrize("span", [1, 2, 6])
+def test_manifest(spark, span):
+    """Trees of 1 to 100 leaves, whole in one bucket of levels or cut into many."""
+    sizes = {None: 5, "": 1, "b": 100, "a": 27, "é": 28, "z": 3}
+    rows = [(k * 11 % n, name, f"{name}-{k * 11 % n}") for name, n in sizes.items() for k in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    found = merkle.manifest(df, merkle.digest(F.col("text")), keep=("doc_id", "source"), span=span)
+    found = found.withColumns({"folded": merkle.folded(F.col("leaf")), "proof": merkle.proof_digest(), "wrong": merkle.folded(F.sha2("root", 256))}).collect()
+    h = lambda t: hashlib.sha256(f"{len(t.encode())}:{t}".encode()).hexdigest()
+    names = sorted(sizes, key=lambda n: (n is not None, (n or "").encode()))
+    inner = {n: tree([h(f"{n}-{k}") for k in range(sizes[n])]) for n in names}
+    root, above = tree([inner[n][0] for n in names])
+    assert len(found) == len(rows)
+    for r in found:
+        path = inner[r["source"]][1][r["doc_id"]] + above[names.index(r["source"])]
+        assert r["leaf"] == h(f"{r['source']}-{r['doc_id']}") and r["subroot"] == inner[r["source"]][0] and r["root"] == r["folded"] == root != r["wrong"]
+        assert list(zip(r["left"], r["right"], strict=True)) == path
+        assert r["proof"] == hashlib.sha256("".join(a + b for a, b in path).encode()).hexdigest()
+
+
+def all_runs(words):
+    """Runs by the definition."""
+    n, out = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            size = j - i + q
+            if j > i and size >= max(6, 4 * q) and not any(words[i : i + size - p] == words[i + p : i + size] for p in range(1, q)):
+                out.append((i, size, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def test_runs():
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        texts = []
+        for kind in rng.integers(0, 4, rng.integers(0, 5)):
+            part = np.tile(rng.integers(0, 2, rng.integers(1, 5)), rng.integers(1, 6))
+            texts.append([rng.integers(0, 2, 50), np.tile(rng.integers(0, 3, rng.integers(1, 9)), 6), np.tile(part, 5), np.tile(np.append(part, 2), 4)][kind].tolist())
+        words = np.array([w for t in texts for w in t], np.int64)
+        found = periodic.find_runs(words, np.repeat(np.arange(len(texts)), [len(t) for t in texts]))
+        at = np.cumsum([0, *map(len, texts)])
+        assert list(zip(*(x.tolist() for x in found), strict=True)) == [(a + s, n, q) for a, t in zip(at, texts, strict=False) for s, n, q in all_runs(t)]
+
+
+@needs_tables
+def test_periodic_query(spark, docs):
+    want = {}
+    for r in docs.collect():
+        words, h = WORDS.findall((r["text"] or "").encode()), zlib.crc32(str(r["doc_id"]).encode())
+        g, n = h // 10, len(words)
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+        runs = all_runs(words)
+        gone = {i for s, size, q in runs for i in range(s + q, s + size)}
+        best = min(((-size, s, q) for s, size, q in runs), default=None)
+        top = (best[1], -best[0], best[2], -1000 * best[0] // best[2]) if best else (None,) * 4
+        lines = "".join(f"{s},{size},{q}\n" for s, size, q in runs).encode()
+        want[r["doc_id"]] = (len(runs), *top, hashlib.sha256(lines).hexdigest(), hashlib.sha256(b" ".join(w for i, w in enumerate(words) if i not in gone)).hexdigest())
+    found = periodic.op12_periodic(spark, SF).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in found} == want and any(w[0] for w in want.values())
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    import tiktoken
+
+    path, pattern = byte_bpe.default_vocabulary(), byte_bpe.default_pattern()
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={}), byte_bpe.vocabulary(path, pattern)
+
+
+@needs_tables
+def test_byte_bpe_query(spark, docs, ranks):
+    library, _ = ranks
+    want = {}
+    for r in docs.collect():
+        ids = library.encode_ordinary(r["text"] or "")
+        want[r["doc_id"]] = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest())
+    assert {r["doc_id"]: tuple(r)[1:] for r in byte_bpe.op13_byte_bpe(spark, SF).collect()} == want
+
+
+def test_byte_bpe_like_the_library(ranks):
+    """Every code point, alone and beside others, and pieces that make the encoder go back."""
+    library, words = ranks
+    codes = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"a{c}b {c} 1{c}  {c}{c}" for c in codes[k : k + 50]) for k in range(0, len(codes), 50)]
+    texts += ["".join(rng.choice(list("abetaoin"), rng.integers(0, 300))) for _ in range(500)] + ["a" * n for n in range(200)] + ["ab" * 20_000]
+    for k in range(0, len(texts), 2000):
+        ids, at = words.encode(texts[k : k + 2000])
+        for i, want in enumerate(library.encode_ordinary_batch(texts[k : k + 2000])):
+            assert ids[at[i] : at[i + 1]].tolist() == want
+            assert words.decode(want) == texts[k + i].encode()
+
+
+def test_byte_bpe_by_merges():
+    """A small vocabulary in which merges overlap, against merging by rank."""
+    ranks = {bytes([b]): b for b in range(256)}
+    for k, t in enumerate((b"ab", b"ba", b"aa", b"aba", b"bab", b"abab", b"aaaa", b"baa")):
+        ranks[t] = 256 + k
+    words = byte_bpe.Ranks(ranks, r"[^|]+")
+    rng = np.random.default_rng(2)
+    for _ in range(500):
+        text = bytes(rng.choice([97, 98], rng.integers(1, 40)).tolist())
+        parts = [text[i : i + 1] for i in range(len(text))]
+        while text not in ranks:
+            best = min(((ranks[a + b], i) for i, (a, b) in enumerate(itertools.pairwise(parts)) if a + b in ranks), default=None)
+            if best is None:
+                break
+            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        assert words.encode_pieces([text]) == [[ranks[text]] if text in ranks else [ranks[p] for p in parts]]
+    with pytest.raises(ValueError):
+        byte_bpe.Ranks({bytes([b]): b for b in range(255)}, r".")
+    with pytest.raises(KeyError):
+        words.decode([999])

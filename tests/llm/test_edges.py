@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, byte_dedup, language, media, mixing, sharding, simhash, substring_dedup, topk, toxicity
+from meridian.llm import bpe, byte_bpe, byte_dedup, language, media, merkle, mixing, periodic, sharding, simhash, substring_dedup, topk, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, score string, kept long, repeats string"
 LONG = " ".join(f"word{i % 97} übung{i}" for i in range(20_000))
@@ -185,3 +185,42 @@ def test_sharding(docs, empty):
     assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1 and set(slots) == set(range(5))
     assert sorted(map(str, got.drop("shard", "slot").collect())) == sorted(map(str, docs.select(*[c for c in got.columns if c not in ("shard", "slot")]).collect()))
     assert sharding.shard_rows(empty, 5).count() == 0
+
+
+def test_manifest(docs, empty):
+    """Nulls, equal rows, a null order and a null group; clashing names are replaced."""
+    df = docs.withColumns({"root": F.lit(1), "left": F.lit(2)})
+    digest = merkle.digest(*[F.col(c) for c in merkle.FIELDS])
+    got = merkle.manifest(df, digest, keep=("doc_id", "source", "root", "shard"), span=1).withColumn("folded", merkle.folded(F.col("leaf"))).collect()
+    assert len(got) == len(ROWS) and len({r["root"] for r in got}) == 1 and all(r["folded"] == r["root"] for r in got)
+    assert {r["source"] for r in got} == {"a", "b", "c", None} and len({(r["source"], r["subroot"]) for r in got}) == 4
+    twice = [r for r in got if r["doc_id"] == 6]
+    assert len(twice) == 2 and twice[0]["leaf"] == twice[1]["leaf"]
+    assert [r["leaf"] for r in got if r["doc_id"] == 3] == [hashlib.sha256(b"1:3----").hexdigest()]
+    assert merkle.manifest(empty, digest).count() == 0
+
+
+def test_periodic(docs, empty, spark):
+    got = by_id(periodic.collapse_runs(docs.withColumn("runs", F.lit(1))))
+    assert sum(map(len, got.values())) == len(ROWS)
+    assert [(got[k][0]["n_words"], got[k][0]["runs"], got[k][0]["collapsed"]) for k in (3, 4, 5)] == [(0, [], "")] * 3
+    assert got[8][0]["n_words"] == 40_000 and got[8][0]["runs"] == [] and got[8][0]["collapsed"] == LONG and got[8][0]["shard"] == 1
+    texts = [(1, "x " * 50_000), (2, "a b " * 4 + "a c"), (3, "a b a b a b a"), (4, "é\tя\n" * 6), (None, "q q q q q q")]
+    got = by_id(periodic.collapse_runs(spark.createDataFrame(texts, "doc_id long, text string")))
+    runs = {k: ([tuple(x) for x in r[0]["runs"]], r[0]["collapsed"]) for k, r in got.items()}
+    assert runs == {1: ([(0, 50_000, 1)], "x"), 2: ([(0, 9, 2)], "a b c"), 3: ([], "a b a b a b a"), 4: ([(0, 12, 2)], "é я"), None: ([(0, 6, 1)], "q")}
+    assert periodic.collapse_runs(empty).count() == 0
+    assert periodic.planted(docs).count() == len(ROWS)
+
+
+def test_byte_bpe(docs, empty):
+    path, pattern = byte_bpe.default_vocabulary(), byte_bpe.default_pattern()
+    df = docs.withColumn("ids", F.lit("mine"))
+    got = by_id(byte_bpe.round_trip(df, path, pattern, keep=("doc_id", "ids", "shard")))
+    assert sum(map(len, got.values())) == len(ROWS)
+    assert [(got[k][0]["n_tokens"], got[k][0]["ids"], got[k][0]["decoded"]) for k in (3, 4)] == [(0, [], b"")] * 2
+    for i, text, *_ in ROWS:
+        assert all(bytes(r["decoded"]) == (text or "").encode() and len(r["ids"]) == r["n_tokens"] for r in got[i])
+    two = byte_bpe.decode(byte_bpe.encode(df, path, pattern), path, pattern)
+    assert {bytes(r["decoded"]) for r in two.collect()} == {(text or "").encode() for _, text, *_ in ROWS}
+    assert byte_bpe.round_trip(empty, path, pattern).count() == 0
