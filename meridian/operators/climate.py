@@ -77,19 +77,27 @@ def align_calendar(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Values of a model's calendar (year, dayofyear, days_in_year) on the days of the real one, linear in the decimal year.
 
     Before the first and after the last value of a cell the nearest one holds; equal calendars are left as they are.
+    Each year of a cell is a merge of its own: its known values, its days, and one value of the years before and after. Those two come from a
+    running look at the first and last known value of each year, so that no frame is longer than a year.
     """
-    source = df.select(*keys, "year", (F.col("year") + (F.col("dayofyear") - 1) / F.col("days_in_year").cast("double")).alias("at"), "value", F.lit(None).cast("date").alias("date"))
-    years = df.select(*keys, "year").distinct()
+    at = F.col("year") + (F.col("dayofyear") - 1) / F.col("days_in_year").cast("double")
+    known = F.when(F.col("value").isNotNull(), F.struct(at.alias("at"), F.col("value").cast("double").alias("value")))
+    source = df.select(*keys, "year", known.alias("known"))
+    ends = source.groupBy(*keys, "year").agg(F.min("known").alias("first"), F.max("known").alias("last"))
+    cell = Window.partitionBy(*keys)
+    near = lambda column, order: F.last(column, ignorenulls=True).over(cell.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    around = ends.select(*keys, "year", near("last", F.col("year").asc()).alias("__before"), near("first", F.col("year").desc()).alias("__after"))
+    around = around.select(*keys, "year", F.explode(F.array("__before", "__after")).alias("known")).where("known is not null")
     first, last = F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31))
-    days = years.select(*keys, "year", F.explode(F.sequence(first, last)).alias("date"))
-    at = F.col("year") + (F.dayofyear("date") - 1) / F.dayofyear(last).cast("double")
-    target = days.select(*keys, "year", at.alias("at"), F.lit(None).cast("double").alias("value"), "date")
-    order = Window.partitionBy(*keys).orderBy("at")
-    before, after = order.rangeBetween(Window.unboundedPreceding, Window.currentRow), order.rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    known = F.when(F.col("value").isNotNull(), F.struct("at", "value"))
-    both = source.unionByName(target)
-    both = both.withColumn("__lo", F.last(known, ignorenulls=True).over(before)).withColumn("__hi", F.first(known, ignorenulls=True).over(after))
+    days = ends.select(*keys, "year", F.explode(F.sequence(first, last)).alias("date"), F.dayofyear(last).alias("n"))
+    target = days.select(*keys, "year", (F.col("year") + (F.dayofyear("date") - 1) / F.col("n").cast("double")).alias("at"), "date")
+    points = source.where("known is not null").unionByName(around).select(*keys, "year", F.col("known.at").alias("at"), "known")
+    both = points.unionByName(target, allowMissingColumns=True)
+    # Of a value and a day at the same time the value comes first, in both directions.
+    one, is_day = Window.partitionBy(*keys, "year"), F.col("date").isNotNull()
+    running = lambda order: F.last("known", ignorenulls=True).over(one.orderBy(order, is_day).rowsBetween(Window.unboundedPreceding, 0))
+    both = both.withColumn("__lo", running(F.col("at").asc())).withColumn("__hi", running(F.col("at").desc()))
     lo, hi = F.col("__lo"), F.col("__hi")
     inside = lo["value"] + (hi["value"] - lo["value"]) * (F.col("at") - lo["at"]) / (hi["at"] - lo["at"])
     value = F.when(lo.isNull(), hi["value"]).when(hi.isNull() | (lo["at"] == hi["at"]), lo["value"]).otherwise(inside)
-    return both.where(F.col("date").isNotNull()).select(*keys, "date", value.alias("value"))
+    return both.where(is_day).select(*keys, "date", value.alias("value"))

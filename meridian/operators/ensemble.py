@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -76,32 +75,33 @@ def compile_series(history: DataFrame, scenario: DataFrame, keys: Sequence[str])
     return both.withColumn("__once", checked).where("__once").drop("__once")
 
 
-#: Members of an ensemble that are listed to draw from, at most; an ensemble has some hundred.
-MOST_MEMBERS = 100_000
-
-
-def pick(variants: dict[str, list[str]], draws: int = 100, seed: int = 42) -> list[tuple[int, str, str]]:
+def draw_map(spark: SparkSession, members: DataFrame, draws: int = 100, seed: int = 42) -> DataFrame:
     """(draw, source, variant): the source uniform among sources, the variant uniform among those of the source.
 
+    Sources and the variants of each are ranked by name, so a draw doesn't depend on how they are found, and all scenarios share it. A task
+    draws places from the number of variants of each source, which is all that it sees of the ensemble; the drawn places are then joined.
     numpy's legacy generator gives the same stream in every version; each draw takes one number for the source and one for the variant.
     """
-    state, sources = np.random.RandomState(seed), list(variants)
-    out = []
-    for d in range(draws):
-        source = sources[state.randint(0, len(sources))]
-        out.append((d, source, variants[source][state.randint(0, len(variants[source]))]))
-    return out
-
-
-def draw_map(spark: SparkSession, members: DataFrame, draws: int = 100, seed: int = 42) -> DataFrame:
-    """Source and variant of each draw. Members are sorted, so a draw doesn't depend on how they are found, and all scenarios share it."""
-    distinct = members.select("source", "variant").distinct().orderBy("source", "variant").limit(MOST_MEMBERS + 1).collect()
-    if len(distinct) > MOST_MEMBERS:
-        raise ValueError(f"more than {MOST_MEMBERS} members")
-    variants: dict[str, list[str]] = {}
-    for r in distinct:
-        variants.setdefault(r["source"], []).append(r["variant"])
-    return spark.createDataFrame(pick(variants, draws, seed) if variants else [], "draw int, source string, variant string")
+    distinct = members.select("source", "variant").distinct()
+    counts = distinct.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    listed = counts.agg(F.array_sort(F.collect_list(F.struct("source", "n"))).alias("sources"))
+
+    def drawn(batches):
+        import numpy as np
+        import pandas as pd
+
+        for batch in batches:
+            for sources in batch["sources"]:
+                state = np.random.RandomState(seed)
+                names, rows = [r["source"] for r in sources], []
+                for d in range(draws if names else 0):
+                    k = state.randint(0, len(names))
+                    rows.append((d, names[k], int(state.randint(0, sources[k]["n"]))))
+                yield pd.DataFrame(rows, columns=["draw", "source", "place"])
+
+    places = listed.mapInPandas(drawn, "draw int, source string, place int")
+    ranked = distinct.withColumn("place", F.row_number().over(Window.partitionBy("source").orderBy("variant")) - 1)
+    return places.join(ranked, ["source", "place"]).select("draw", "source", "variant")
 
 
 def draw_view(draws: DataFrame, compiled: DataFrame) -> DataFrame:

@@ -67,17 +67,25 @@ def intervals(knots: DataFrame, x: str, y: str) -> DataFrame:
     return first.unionByName(rest)
 
 
+def curve(knots: DataFrame, x: str = "temperature", y: str = "suitability") -> DataFrame:
+    """The intervals of a curve as one array row, ``__curve``."""
+    return intervals(knots, x, y).agg(F.array_sort(F.collect_list(F.struct("x0", "x1", "y0", "y1"))).alias("__curve"))
+
+
+def on_curve(curve: Column, v: Column) -> Column:
+    """A curve at a value; constant beyond its ends, null where the value is."""
+    step = F.get(F.filter(curve, lambda s: (s["x0"] <= v) & (v < s["x1"])), F.lit(0))
+    flat = (step["y1"] == step["y0"]) | (step["x0"] == float("-inf")) | (step["x1"] == float("inf"))
+    mapped = F.when(flat, step["y0"]).otherwise(step["y0"] + (step["y1"] - step["y0"]) * (v - step["x0"]) / (step["x1"] - step["x0"]))
+    return F.when(v.isNotNull(), mapped)
+
+
 def interpolate(df: DataFrame, knots: DataFrame, value: str = "value", x: str = "temperature", y: str = "suitability") -> DataFrame:
     """``df`` with ``mapped``, the curve through the knots at ``value``; constant beyond its ends, null where the value is.
 
     The knots become one array a row long: a lookup in it stays inside the projection, where a range join would need all pairs.
     """
-    curve = intervals(knots, x, y).agg(F.array_sort(F.collect_list(F.struct("x0", "x1", "y0", "y1"))).alias("__curve"))
-    v = F.col(value)
-    step = F.filter("__curve", lambda s: (s["x0"] <= v) & (v < s["x1"]))[0]
-    flat = (step["y1"] == step["y0"]) | (step["x0"] == float("-inf")) | (step["x1"] == float("inf"))
-    mapped = F.when(flat, step["y0"]).otherwise(step["y0"] + (step["y1"] - step["y0"]) * (v - step["x0"]) / (step["x1"] - step["x0"]))
-    return df.crossJoin(F.broadcast(curve)).withColumn("mapped", F.when(v.isNotNull(), mapped)).drop("__curve")
+    return df.crossJoin(F.broadcast(curve(knots, x, y))).withColumn("mapped", on_curve(F.col("__curve"), F.col(value))).drop("__curve")
 
 
 def rolling_mean(df: DataFrame, keys: Sequence[str], years: int = 10, value: str = "value") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from meridian.operators import ensemble, hierarchy, quality, spatial
@@ -120,7 +121,8 @@ query("history_flag_violations", "scenario gcm_member year:i flags:i", "member_a
 # --- the ensemble ---
 _SPLIT = "SELECT DISTINCT split_part(gcm_member, '_', 1) AS source, split_part(gcm_member, '_', 2) AS variant FROM member_annual"
 #: All members of the view have five sources with five variants each, so the drawn places don't depend on the data.
-_PICKS = ensemble.pick({str(i): [str(j) for j in range(5)] for i in range(5)})
+_RANDOM = np.random.RandomState(42)
+_PICKS = [(d, _RANDOM.randint(0, 5), _RANDOM.randint(0, 5)) for d in range(100)]
 _DRAWN = f"""SELECT d.draw, s.source, v.variant FROM (VALUES {', '.join(f'({d}, {i}, {j})' for d, i, j in _PICKS)}) AS d(draw, i, j)
   JOIN (SELECT source, ROW_NUMBER() OVER (ORDER BY source) - 1 AS i FROM (SELECT DISTINCT source FROM ({_SPLIT}) a) b) s ON s.i = d.i
   JOIN (SELECT source, variant, ROW_NUMBER() OVER (PARTITION BY source ORDER BY variant) - 1 AS j FROM ({_SPLIT}) c) v ON v.source = s.source AND v.j = d.j"""

@@ -25,7 +25,7 @@ def aligned(tables: Sequence[DataFrame], combine: Callable[..., Column], step: s
     first, *others = tables
     if not same_grid:
         lat, lon = _axes(first)
-        others = [grid.fill_gaps(grid.bilinear(t, lat, lon, (step,)), (step,)) for t in others]
+        others = [grid.filled(t, lat, lon, (step,)) for t in others]
     named = [t.select(step, *PLACE, F.col("value").alias(f"__v{i}")) for i, t in enumerate([first, *others])]
     joined = reduce(lambda a, b: a.join(b, [step, *PLACE]), named)
     return joined.select(step, *PLACE, combine(*[F.col(f"__v{i}") for i in range(len(named))]).alias("value"))
@@ -35,12 +35,12 @@ def historical_daily(land: DataFrame, single: DataFrame, lat: DataFrame, lon: Da
     """Daily values on the target grid: the land data where there are any, the coarser ones elsewhere, then regridded and filled."""
     on_land = grid.bilinear(single, *_axes(land))
     both = climate.coalesce_sources(land, on_land, ["date", *PLACE])
-    return grid.fill_gaps(grid.bilinear(both, lat, lon))
+    return grid.filled(both, lat, lon)
 
 
 def sea_surface_daily(single: DataFrame, lat: DataFrame, lon: DataFrame) -> DataFrame:
     """Sea surface temperature comes from one source and by the nearest node."""
-    return grid.fill_gaps(grid.nearest(single, lat, lon))
+    return grid.filled(single, lat, lon, how="nearest")
 
 
 def reference(daily: DataFrame, first_year: int = 2019, last_year: int = 2023) -> DataFrame:
@@ -53,7 +53,7 @@ def scenario_daily(member: DataFrame, member_window: DataFrame, historical: Data
     Anomalies are taken on the member's own grid against its own monthly means, regridded, and put on the observed climatology.
     """
     anomalies = climate.anomaly(member, temporal.pooled_monthly_mean(member_window, PLACE), kind, PLACE)
-    fine = grid.fill_gaps(grid.bilinear(anomalies, lat, lon))
+    fine = grid.filled(anomalies, lat, lon)
     return climate.bias_correct(fine, historical, kind, PLACE)
 
 
