@@ -78,3 +78,32 @@ def from_equal_area(x: Column, y: Column) -> tuple[Column, Column]:
         + F.lit(761 * e6 / 45360) * F.sin(6 * beta)
     )
     return F.degrees(lat), F.degrees(x / F.lit(AXIS))
+
+
+#: Supported systems: the degrees that they hold (longitude and latitude, least and greatest), from degrees (latitude, longitude) to x and y, and back.
+SYSTEMS = {
+    "EPSG:4326": ((-180.0, 180.0, -90.0, 90.0), lambda lat, lon: (lon, lat), lambda x, y: (y, x)),
+    "ESRI:54034": ((-180.0, 180.0, -90.0, 90.0), equal_area, from_equal_area),
+}
+
+
+def _system(crs: str):
+    if crs not in SYSTEMS:
+        raise ValueError(f"unsupported system {crs}")
+    return SYSTEMS[crs]
+
+
+def cut(crs: str, lat: Column, lon: Column) -> tuple[Column, Column]:
+    """Latitude and longitude cut at the bounds of a system."""
+    west, east, south, north = _system(crs)[0]
+    return F.greatest(F.lit(south), F.least(F.lit(north), lat)), F.greatest(F.lit(west), F.least(F.lit(east), lon))
+
+
+def project(crs: str, lat: Column, lon: Column) -> tuple[Column, Column]:
+    """x and y in a system."""
+    return _system(crs)[1](lat, lon)
+
+
+def unproject(crs: str, x: Column, y: Column) -> tuple[Column, Column]:
+    """Latitude and longitude of x and y in a system."""
+    return _system(crs)[2](x, y)

@@ -4,30 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.operators.order import numbered
 from meridian.sources import scratch
 
 
 def _ancestors(hierarchy: DataFrame) -> DataFrame:
     """(ancestor, descendant, distance) for each location and all above it, itself included, for trees of any depth.
 
-    Steps upwards are doubled: those of 1, 2, 4, .. levels, until no location is that deep. A cycle raises ``ValueError``.
+    The distance is doubled: from all pairs up to 1, 2, 4, .. levels apart, those of twice as many are made with the ones that are just as far.
+    Each round is written, so that the plan of the result is one scan whatever the depth. A cycle raises ``ValueError``.
     """
-    jump = hierarchy.where("parent_id <> location_id").select(F.col("location_id").alias("__from"), F.col("parent_id").alias("__to"))
-    out = hierarchy.select(F.col("location_id").alias("ancestor"), F.col("location_id").alias("descendant"), F.lit(0).alias("distance"))
+    step = hierarchy.select(F.col("location_id").alias("descendant"), F.array(F.struct(F.col("location_id").alias("a"), F.lit(0).alias("d")), F.struct(F.col("parent_id").alias("a"), F.lit(1).alias("d"))).alias("up"))
+    out = step.select(F.inline("up").alias("ancestor", "distance"), "descendant").where("distance = 0 or ancestor <> descendant").select("ancestor", "descendant", "distance")
     length, most = 1, None
-    while not jump.isEmpty():
+    while not (far := out.where(F.col("distance") == length)).isEmpty():
         if length >= 8:  # deeper than trees of locations are
             most = hierarchy.count() if most is None else most
             if length > most:
                 raise ValueError("the tree has a cycle")
-            jump = scratch.written(jump, "jumps")
-        further = out.join(jump, out["ancestor"] == jump["__from"]).select(F.col("__to").alias("ancestor"), "descendant", (F.col("distance") + length).alias("distance"))
-        out = out.unionByName(further)
-        again = jump.select(F.col("__from").alias("__middle"), F.col("__to").alias("__top"))
-        jump = jump.join(again, jump["__to"] == again["__middle"]).select("__from", F.col("__top").alias("__to"))
+        far = far.select(F.col("descendant").alias("__from"), F.col("ancestor").alias("__to"))
+        near = out.where("distance > 0")
+        further = near.join(far, near["ancestor"] == far["__from"]).select(F.col("__to").alias("ancestor"), "descendant", (F.col("distance") + length).alias("distance"))
+        out = scratch.written(out.unionByName(further), "ancestors")
         length *= 2
     return out
 
@@ -73,10 +74,11 @@ def missing_locations(hierarchy: DataFrame, facts: DataFrame) -> DataFrame:
 def depth_first(hierarchy: DataFrame, name: str = "location_name") -> DataFrame:
     """location_id with its ``position`` in depth-first order, siblings by name; locations without a root above them are left out.
 
-    The path of names from the root is the order; it is numbered in one window, over the locations alone.
+    The path of names from the root is the order; it is numbered by ranges, so that no task sees all locations.
     """
     nodes = hierarchy.select(F.col("location_id").alias("ancestor"), F.struct(F.col(name).alias("n"), F.col("location_id").alias("i")).alias("node"), (F.col("parent_id") == F.col("location_id")).alias("root"))
     steps = _ancestors(hierarchy).join(nodes, "ancestor")
     line = F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("at"), "root", "node")))
     paths = steps.groupBy(F.col("descendant").alias("location_id")).agg(line.alias("line")).where(F.col("line")[0]["root"])
-    return paths.select("location_id", F.row_number().over(Window.orderBy(F.col("line")["node"])).alias("position"))
+    paths = paths.select("location_id", F.col("line")["node"].alias("path"))
+    return numbered(paths, [F.col("path")], "position", "depth-first").select("location_id", "position")

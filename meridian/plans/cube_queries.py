@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meridian.functions import coordinates, units
-from meridian.operators import climate, grid, packed, temporal
+from meridian.operators import climate, grid, packed, spatial, temporal, tiles
 from meridian.plans import products
 from meridian.plans.fixtures import query
 from meridian.plans.recipes import SCENARIO
@@ -199,3 +199,38 @@ query("restarted_partitions", "measure year:i cells:i rows:i total:d run", "dail
       f"""SELECT measure, year, COUNT(*) AS cells, COUNT(*) AS rows, SUM(value) AS total, CASE WHEN {_FIRST} THEN 'first' ELSE 'second' END AS run FROM (
             SELECT 'mean' AS measure, year(date) AS year, lat_i, lon_i, AVG(value) AS value FROM daily_grid GROUP BY 1, 2, 3, 4 UNION ALL
             SELECT 'max', year(date), lat_i, lon_i, MAX(value) FROM daily_grid GROUP BY 1, 2, 3, 4) a GROUP BY 1, 2""", _restarted)
+
+
+# --- rasters of tiles, and systems of coordinates ---
+#: Tiles of 12 by 17 pixels every 10 rows and 15 columns, so that neighbours overlap; one in three is not there. Each has values of its own.
+_TILES = """(SELECT t * 100 + u AS tile, t, u, -(t * 100 + u) AS rank FROM (SELECT DISTINCT CAST(FLOOR(row / 10) AS INT) AS t FROM fine_raster) a CROSS JOIN (SELECT DISTINCT CAST(FLOOR(col / 15) AS INT) AS u FROM fine_raster) b WHERE (t + u) % 3 <> 2)"""
+_PIXELS = f"SELECT i.tile, i.rank, f.row, f.col, f.row - 10 * i.t AS r, f.col - 15 * i.u AS c, f.elevation + i.tile AS value FROM {_TILES} i JOIN fine_raster f ON f.row BETWEEN 10 * i.t AND 10 * i.t + 11 AND f.col BETWEEN 15 * i.u AND 15 * i.u + 16"
+
+
+def _mosaic(x):
+    x.fine_raster.createOrReplaceTempView("fine_raster")
+    index = x.spark.sql(f"SELECT tile, CAST(-180 + 15 * u * 0.5 AS DOUBLE) AS x0, CAST(90 - 10 * t * 0.5 AS DOUBLE) AS y0, CAST(0.5 AS DOUBLE) AS step, 12 AS rows, 17 AS cols, rank FROM {_TILES}")
+    pixels = x.spark.sql(f"SELECT tile, r AS row, c AS col, CAST(value AS DOUBLE) AS value FROM ({_PIXELS}) p")
+    low = x.fine_raster.agg(F.max("row")).first()[0]
+    return tiles.mosaic(pixels, index, (-178.0, 90 - (low + 3) * 0.5, -160.0, 88.0), 0.5, -32768.0)
+
+
+query("tile_mosaic", "row:i col:i value:d", "fine_raster",
+      f"""SELECT g.row, g.col, COALESCE(m.value, -32768) AS value FROM (SELECT r AS row, c AS col FROM (SELECT UNNEST(range((SELECT MAX(row) + 3 - 4 FROM fine_raster))) AS r) a CROSS JOIN (SELECT UNNEST(range(36)) AS c) b) g
+          LEFT JOIN (SELECT row - 4 AS row, col - 4 AS col, arg_min(value, rank) AS value FROM ({_PIXELS}) p WHERE value IS NOT NULL GROUP BY 1, 2) m ON m.row = g.row AND m.col = g.col""", _mosaic)
+
+
+def _boxes(x):
+    """A box around each station, without width where the station has no elevation."""
+    wide = F.when(F.col("elevation") < -999, 0.0).otherwise(1.0)
+    corners = F.array(*[F.struct((F.col("lon") + a * wide).alias("x"), (F.col("lat") + b).alias("y")) for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))])
+    sides = x.stations.withColumn("p", corners).select("station", "p", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k"))
+    edges = sides.select(F.col("station").alias("location_id"), *[F.get("p", F.col("k") + i)[c].alias(f"{c}{i + 1}") for i in (0, 1) for c in "xy"])
+    return spatial.round_trip_change(edges, "ESRI:54034").select(F.col("location_id").alias("station"), "area", (F.col("projected") / 1e6).alias("projected"), "change", "wrong")
+
+
+_E2 = coordinates.FLATTENING * (2 - coordinates.FLATTENING)
+_Y = f"({coordinates.AXIS / 2!r}::DOUBLE * {1 - _E2!r}::DOUBLE * (sin(radians({{0}})) / (1 - {_E2!r}::DOUBLE * sin(radians({{0}})) * sin(radians({{0}}))) - {1 / (2 * _E2**0.5)!r}::DOUBLE * ln((1 - {_E2**0.5!r}::DOUBLE * sin(radians({{0}}))) / (1 + {_E2**0.5!r}::DOUBLE * sin(radians({{0}}))))))"
+query("projection_areas", "station area:d projected:d change:d wrong", "stations",
+      f"""SELECT station, w * 2 AS area, radians(w) * {coordinates.AXIS!r}::DOUBLE * ({_Y.format('lat + 1')} - {_Y.format('lat - 1')}) / 1e6 AS projected, CASE WHEN w > 0 THEN 0.0 END AS change, w = 0 AS wrong
+          FROM (SELECT station, lat, CASE WHEN elevation < -999 THEN 0 ELSE LEAST(180, lon + 1) - GREATEST(-180, lon - 1) END AS w FROM stations) s""", _boxes)
