@@ -20,7 +20,7 @@ def flux_to_rainfall(x: Column) -> Column:
 
 
 def wind_at_two_metres(x: Column) -> Column:
-    """Wind speed at 10 m brought to 2 m by the logarithmic profile over a roughness of 0.01 m."""
+    """Wind speed at 10 m brought to 2 m by the logarithmic profile over a roughness of 0.01 m (fixed values)."""
     return x * F.log10(F.lit(2 / 0.01)) / F.log10(F.lit(10 / 0.01))
 
 
@@ -34,6 +34,7 @@ def magnitude(x: Column, y: Column) -> Column:
 
 def vapour_pressure(celsius: Column) -> Column:
     """Saturation vapour pressure in hPa by Buck's equations, over water above 0 degrees and over ice below."""
+    # The constants of the equations.
     water = F.lit(6.1121) * F.exp((F.lit(18.678) - celsius / F.lit(234.5)) * celsius / (F.lit(257.14) + celsius))
     ice = F.lit(6.1115) * F.exp((F.lit(23.036) - celsius / F.lit(333.7)) * celsius / (F.lit(279.82) + celsius))
     return F.when(celsius > 0, water).otherwise(ice)

@@ -158,8 +158,8 @@ query("temperature_zone", "scenario gcm_member year:i zone:d", "member_annual",
 # --- catalogue ---
 query("catalogue_lookup", "source_id experiment_id variable_id member_id zstore", "catalogue",
       "SELECT * FROM catalogue QUALIFY ROW_NUMBER() OVER (PARTITION BY source_id, experiment_id, variable_id, member_id ORDER BY position DESC) = 1",
-      lambda x: spatial.latest(x.catalogue, ["source_id", "experiment_id", "variable_id", "member_id"], "position"))
+      lambda x: ensemble.catalogue(x.catalogue))
 query("model_inclusion_flag", "source_id position:i included", "catalogue",
       "SELECT source_id, position, CASE WHEN experiment_id = 'en' THEN TRUE WHEN experiment_id = 'de' THEN FALSE END AS included FROM catalogue",
       lambda x: x.catalogue.withColumn("raw", F.when(F.col("experiment_id") == "en", "Yes").when(F.col("experiment_id") == "de", "No").otherwise("n/a"))
-                 .select("source_id", "position", F.when(F.col("raw") == "Yes", True).when(F.col("raw") == "No", False).alias("included")))
+                 .select("source_id", "position", ensemble.yes_or_no("raw").alias("included")))

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from meridian.plans import climate_queries, cube_queries, location_queries, raster_queries  # noqa: F401
+from meridian.plans import climate_queries, cube_queries, location_queries, product_queries, raster_queries  # noqa: F401
 from meridian.plans.fixtures import ORACLE, QUERIES, TABLES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
