@@ -234,3 +234,14 @@ _Y = f"({coordinates.AXIS / 2!r}::DOUBLE * {1 - _E2!r}::DOUBLE * (sin(radians({{
 query("projection_areas", "station area:d projected:d change:d wrong", "stations",
       f"""SELECT station, w * 2 AS area, radians(w) * {coordinates.AXIS!r}::DOUBLE * ({_Y.format('lat + 1')} - {_Y.format('lat - 1')}) / 1e6 AS projected, CASE WHEN w > 0 THEN 0.0 END AS change, w = 0 AS wrong
           FROM (SELECT station, lat, CASE WHEN elevation < -999 THEN 0 ELSE LEAST(180, lon + 1) - GREATEST(-180, lon - 1) END AS w FROM stations) s""", _boxes)
+
+
+def _templated(x):
+    """Cells of an empty grid with what the daily grid has in each."""
+    cells = x.daily_grid.groupBy(F.col("latitude").alias("y"), F.col("longitude").alias("x")).agg(F.count(F.lit(1)).alias("days"), F.avg("value").alias("mean"))
+    return grid.template(x.spark, -25.0, -25.0, 50.0, 10.0).join(cells, ["x", "y"], "left")
+
+
+query("grid_template_values", "row:i col:i x:d y:d days:i mean:d", "daily_grid",
+      """SELECT r AS row, c AS col, -20.0 + 10 * c AS x, 20.0 - 10 * r AS y, days, mean FROM range(5) t(r) CROSS JOIN range(5) u(c)
+         LEFT JOIN (SELECT latitude, longitude, COUNT(*) AS days, AVG(value) AS mean FROM daily_grid GROUP BY 1, 2) d ON d.latitude = 20 - 10 * r AND d.longitude = -20 + 10 * c""", _templated)

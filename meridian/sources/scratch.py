@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths that were given out, by application.
+_given: dict[str, list[str]] = {}
+
 
 def path(spark: SparkSession, label: str) -> str:
     """A new path in the folder that all executors share, ``spark.checkpoint.dir``; a temporary one where that is unset and Spark is one local process."""
@@ -17,7 +20,9 @@ def path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="meridian-")
         spark.sparkContext.setCheckpointDir(where)
-    return f"{where}/{label}-{uuid.uuid4().hex}"
+    at = f"{where}/{label}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(at)
+    return at
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -25,3 +30,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     at = path(df.sparkSession, label)
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete what was written under the paths of this application, and return how many there were; results that are read from them must be written by then."""
+    context = spark.sparkContext
+    paths = _given.pop(context.applicationId, [])
+    for at in paths:
+        where = context._jvm.org.apache.hadoop.fs.Path(at)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meridian.operators import hierarchy, order, spatial, tiles
+from meridian.sources import scratch
 
 
 def polygon(i, corners):
@@ -107,3 +108,11 @@ def test_numbers_in_order(spark):
     assert [(r["k"], r["id"]) for r in sorted(got, key=lambda r: r["n"])] == sorted((r["k"], r["id"]) for r in got)
     assert sorted(r["n"] for r in got) == list(range(1, 20_001))
     assert order.numbered(rows.limit(0), [F.col("id")], "n").count() == 0
+
+
+def test_scratch_is_cleaned(spark):
+    df = scratch.written(spark.range(3).toDF("id"), "mine")
+    files = df.inputFiles()
+    assert files and df.count() == 3 and scratch.clean(spark) >= 1 and scratch.clean(spark) == 0
+    with pytest.raises(Exception, match="(?i)exist"):
+        spark.read.parquet(files[0].rpartition("/")[0])
