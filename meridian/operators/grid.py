@@ -95,7 +95,12 @@ def _along(df: DataFrame, axis: str, source: DataFrame, target: DataFrame, keys:
     lines = lines.select(*keys, "__targets", F.coalesce("__line", dense(F.col("__placed"), F.col("__size"))).alias("__line"))
     found = F.transform("__targets", lambda t: F.struct(t["coord"].alias("coord"), value(F.col("__line"), t).alias("value")))
     lines = lines.select(*keys, found.alias("__line"))
-    return (_filled(lines, keys) if fill else lines).select(*keys, F.inline("__line")).withColumnRenamed("coord", axis)
+    return _cells(_filled(lines, keys) if fill else lines, axis, keys)
+
+
+def _cells(lines: DataFrame, axis: str, keys: Sequence[str]) -> DataFrame:
+    """A row for each place of the lines. The outer form, as for the other one Spark would add a filter on the array, and work the line out for it again."""
+    return lines.select(*keys, F.inline_outer("__line")).where("coord is not null").withColumnRenamed("coord", axis)
 
 
 def _regridded(df: DataFrame, lat: DataFrame, lon: DataFrame, keys: Sequence[str], source: tuple[DataFrame, DataFrame] | None, value: Callable[[Column, Column], Column], fill: bool = False) -> DataFrame:
@@ -105,7 +110,8 @@ def _regridded(df: DataFrame, lat: DataFrame, lon: DataFrame, keys: Sequence[str
     out = _along(columns, "longitude", at_lon, lon, [*keys, "latitude"], value, fill)
     if fill:
         line = F.array_sort(F.collect_list(F.struct(F.col("latitude").alias("coord"), "value")))
-        out = _filled(out.groupBy(*keys, "longitude").agg(line.alias("__line")), [*keys, "longitude"]).select(*keys, "longitude", F.inline("__line")).withColumnRenamed("coord", "latitude")
+        columns = [*keys, "longitude"]
+        out = _cells(_filled(out.groupBy(*columns).agg(line.alias("__line")), columns), "latitude", columns)
     return out.select(*keys, "latitude", "longitude", "value")
 
 
