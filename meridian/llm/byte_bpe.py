@@ -31,7 +31,7 @@ from meridian.llm.common import documents, slices
 
 SLICE = 1 << 20
 #: Pieces kept with their ids between slices, and pairs of tokens with their verdict, at most.
-KNOWN, PAIRS = 300_000, 1_000_000
+KNOWN, PAIRS = 500_000, 1_000_000
 NEVER = 1 << 62
 #: New columns; one of these names that is to be kept is left out.
 NEW = ("n_tokens", "ids", "decoded")
@@ -72,6 +72,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
+class Slots(dict):
+    """Numbers of pieces in the order in which they are met."""
+
+    def __missing__(self, piece: str) -> int:
+        slot = self[piece] = len(self)
+        return slot
+
+
 class Ranks:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
@@ -83,6 +91,7 @@ class Ranks:
             self.token[r] = t
         self.length = [len(t or b"") for t in self.token]
         self.lengths = np.array(self.length)
+        self.bytes, self.first = np.frombuffer(b"".join(t or b"" for t in self.token), np.uint8), np.cumsum(self.lengths) - self.lengths
         #: The two parts whose merge makes a token (none for a byte), the token of two parts, and the next shorter token it begins with.
         self.left, self.right, self.pair = [-1] * self.size, [-1] * self.size, {}
         self.shorter = array("i", [-1] * self.size)
@@ -104,7 +113,7 @@ class Ranks:
         careful = pattern.replace(r"[^\s\p{L}\p{N}]", rf"(?:[^\s\p{{L}}\p{{N}}]|[{new}])")
         careful = careful.replace(r"\p{L}+", rf"(?:(?![{new}])\p{{L}})+").replace(r"\p{N}+", rf"(?:(?![{new}])\p{{N}})+")
         self.careful = regex.compile(careful) if new else self.pieces
-        self.known: dict[str, int] = {}
+        self.known = Slots()
         self.ids, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _learn(self, token: bytes, rank: int) -> bool:
@@ -154,48 +163,67 @@ class Ranks:
             self.verdicts[key] = self._border_stays(a, b)
         return self.verdicts[key]
 
-    def _longest(self, pieces: list[bytes]) -> array:
-        """The longest token at each place of all pieces, end to end, each followed by one place without."""
-        joined = "\u0100".join([p.decode("latin-1") for p in pieces])  # no byte, so no token crosses it
-        found = np.fromiter(chain.from_iterable(self.automaton.iter(joined)), np.int64).reshape(-1, 2)
-        longest = np.full(len(joined) + 1, -1, np.int32)
-        longest[found[:, 0] + 1 - self.lengths[found[:, 1]]] = found[:, 1]  # ends ascend, so a longer token of one place comes later
-        return array("i", longest.tobytes())
-
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece by backtracking from the longest tokens."""
-        longest, length, shorter, size, known = self._longest(pieces), self.length, self.shorter, self.size, self.verdicts
-        dead, start, out = bytearray(len(longest)), 0, []
-        for piece in pieces:
-            stop = start + len(piece)
-            whole = self.ranks.get(piece)
-            if whole is not None:
-                out.append([whole])
-                start = stop + 1
-                continue
-            at, t, ids = start, longest[start], []
-            while at < stop:
-                while t >= 0:
-                    end = at + length[t]
-                    if not dead[end]:
-                        if not ids:
-                            break
-                        fits = known.get(ids[-1] * size + t)
-                        if fits if fits is not None else self.fits(ids[-1], t):
-                            break
-                    t = shorter[t]
-                if t >= 0:
-                    ids.append(t)
-                    at = end
-                    t = longest[at]
-                else:
-                    dead[at] = 1
-                    t = ids.pop()
-                    at -= length[t]
-                    t = shorter[t]
-            out.append(ids)
-            start = stop + 1
-        return out
+    def _matches(self, text: str, longest: bool) -> tuple[np.ndarray, np.ndarray]:
+        """First place and token of the matches in a text: all, by their ends, or only the longest one at each place that is reached."""
+        found = (self.automaton.iter_long if longest else self.automaton.iter)(text)
+        ends = np.fromiter(found, np.dtype([("end", np.int64), ("token", np.int64)]))
+        return ends["end"] + 1 - self.lengths[ends["token"]], ends["token"]
+
+    def _all_fit(self, tokens: np.ndarray) -> np.ndarray:
+        """Whether each token but the first fits the one before it."""
+        keys, of = np.unique(tokens[:-1] * self.size + tokens[1:], return_inverse=True)
+        return np.array([self.fits(k // self.size, k % self.size) for k in keys.tolist()], bool)[of]
+
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, end to end, and the number of each. The longest tokens are taken where they fit; other pieces go back from them."""
+        text = "\u0100".join([p.decode("latin-1") for p in pieces]) + "\u0100"  # no byte, so no token crosses it
+        size = np.array([len(p) for p in pieces], np.int64)
+        start = np.cumsum(size + 1) - size - 1
+        at, tokens = self._matches(text, longest=True)
+        of = np.searchsorted(start, at, "right") - 1
+        whole = np.bincount(of, self.lengths[tokens], len(pieces)) == size
+        if len(tokens) > 1:
+            wrong = (of[1:] == of[:-1]) & ~self._all_fit(tokens)
+            whole[of[1:][wrong]] = False
+        ids = self.ranks.get
+        direct = {k: [ids(pieces[k])] if ids(pieces[k]) is not None else self._back(pieces[k]) for k in np.flatnonzero(~whole).tolist()}
+        count = np.bincount(of, minlength=len(pieces))
+        count[list(direct)] = [len(x) for x in direct.values()]
+        stop = np.cumsum(count)
+        out = np.empty(int(stop[-1]) if len(stop) else 0, np.int32)
+        keep = whole[of]
+        out[np.repeat(whole, count)] = tokens[keep]
+        out[np.repeat(~whole, count)] = np.fromiter(chain.from_iterable(direct.values()), np.int32)
+        return out, count
+
+    def _back(self, piece: bytes) -> list[int]:
+        """Ids of one piece by backtracking from the longest tokens."""
+        length, shorter, size, known, n = self.length, self.shorter, self.size, self.verdicts, len(piece)
+        longest = array("i", bytes(4 * n + 4))
+        for end, t in self.automaton.iter(piece.decode("latin-1")):  # ends ascend, so a longer token of one place comes later
+            longest[end + 1 - length[t]] = t
+        dead, at, ids = bytearray(n + 1), 0, []
+        t = longest[0]
+        while at < n:
+            while t >= 0:
+                end = at + length[t]
+                if not dead[end]:
+                    if not ids:
+                        break
+                    fits = known.get(ids[-1] * size + t)
+                    if fits if fits is not None else self.fits(ids[-1], t):
+                        break
+                t = shorter[t]
+            if t >= 0:
+                ids.append(t)
+                at = end
+                t = longest[at]
+            else:
+                dead[at] = 1
+                t = ids.pop()
+                at -= length[t]
+                t = shorter[t]
+        return ids
 
     def cut(self, text: str) -> list[str]:
         try:
@@ -208,28 +236,28 @@ class Ranks:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end to end, and the offsets of each text. Pieces that were met before are looked up."""
         if len(self.known) > KNOWN:
-            self.known, self.ids, self.at = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
+            self.known, self.ids, self.at = Slots(), np.zeros(0, np.int32), np.zeros(1, np.int64)
         cut = [self.cut(t) if t else [] for t in texts]
         known, before = self.known, len(self.known)
-        slot = np.fromiter((known.setdefault(p, len(known)) for p in chain.from_iterable(cut)), np.int64)
+        slot = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64)
         if len(known) > before:
-            fresh = self.encode_pieces([p.encode("utf-8") for p in islice(known, before, None)])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(f) for f in fresh])])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(fresh), np.int32)])
+            ids, n = self.encode_pieces([p.encode("utf-8") for p in islice(known, before, None)])
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(n)])
+            self.ids = np.concatenate([self.ids, ids])
         size = self.at[slot + 1] - self.at[slot]
         end = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.arange(end[-1]) + np.repeat(self.at[slot] - end[:-1], size)]
         pieces = np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(np.int64)
         return ids, end[pieces]
 
-    def decode(self, ids: list[int]) -> bytes:
-        """The bytes of all tokens; they need not be UTF-8."""
-        try:
-            if ids and min(ids) < 0:
-                raise KeyError(min(ids))
-            return b"".join(map(self.token.__getitem__, ids))
-        except (IndexError, TypeError) as e:
-            raise KeyError("an id is not in the vocabulary") from e
+    def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the tokens of some rows, end to end, and their offsets; they need not be UTF-8. ``at``: offsets of the rows in ``ids``."""
+        if len(ids) and (int(ids.min()) < 0 or int(ids.max()) >= self.size or not self.lengths[ids].all()):
+            raise KeyError("an id is not in the vocabulary")
+        size = self.lengths[ids]
+        end = np.concatenate([[0], np.cumsum(size)])
+        step = np.arange(int(end[-1])) - np.repeat(end[:-1], size)
+        return self.bytes[np.repeat(self.first[ids], size) + step], end[at]
 
 
 @lru_cache(maxsize=2)
@@ -252,8 +280,16 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
 def _decode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
     ranks = vocabulary(path, pattern)
     for batch in batches:
-        decoded = [None if ids is None else ranks.decode(ids) for ids in batch.column(batch.schema.get_field_index("ids")).to_pylist()]
-        yield pa.record_batch([*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"])
+        lists = batch.column(batch.schema.get_field_index("ids"))
+        missing = lists.is_null().to_numpy(zero_copy_only=False)
+        size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        raw, at = ranks.decode(lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(size)]))
+        if at[-1] > np.iinfo(np.int32).max:
+            raise ValueError("the texts of a batch are longer than it can hold")
+        decoded = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes())])
+        if missing.any():
+            decoded = pa.array([None if gone else x for gone, x in zip(missing, decoded.to_pylist(), strict=True)], pa.binary())
+        yield pa.record_batch([*batch.columns, decoded], [*batch.schema.names, "decoded"])
 
 
 def _schema(df: DataFrame, names: list[str]) -> str:
