@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,26 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridian.sources import scratch
+
 #: A word is a run of characters other than space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset and Spark is one local process (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = tempfile.mkdtemp(prefix="meridian-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where
-
-
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there, and a lost executor costs nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there, and a lost executor costs nothing. ``scratch.clean`` deletes it."""
+    return scratch.written(df, label)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

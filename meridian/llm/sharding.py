@@ -4,9 +4,12 @@ Pass one scatters the rows uniformly into memory-sized buckets by a seeded hash
 built-in Fisher-Yates ``shuffle`` and deals the resulting global order to the shards in turn. Row counts of the shards differ by one at most
 (law ``rows``), and the slots of a shard have no gaps.
 
-Defined results: nulls in any column hash like a value of their own; equal rows are separate rows, each with a slot of its own; an empty
-table gives an empty result; further columns are carried along, and columns named
-``shard`` or ``slot`` are replaced.
+Copies of one row hash alike, so a row that is repeated beyond a part of a bucket is counted first and its copies are cut into portions with
+hashes of their own; the row is then shuffled once a portion and repeated within its bucket.
+
+Defined results: nulls in any column hash like a value of their own; equal rows are separate rows, each with a slot of its own (0.0 and -0.0 are
+equal, and either may stand for both in a row that is cut into portions); an empty table gives an empty result; further columns are carried
+along, and columns named ``shard`` or ``slot`` are replaced. A column of maps raises, as Spark can't hash it.
 """
 
 from __future__ import annotations
@@ -18,6 +21,20 @@ from meridian.llm.common import documents, shuffle_partitions
 
 #: Buckets in one group of the two-level running sum.
 GROUP = 1024
+#: Copies of one row that take more than this share of a bucket are cut into portions of that size.
+PORTIONS = 8
+
+
+def _single(rows: DataFrame) -> DataFrame:
+    return rows.select("__h", "__row", F.lit(0).cast("long").alias("__part"), F.lit(1).cast("int").alias("__n"))
+
+
+def _portions(rows: DataFrame, portion: int) -> DataFrame:
+    """A row for each ``portion`` bytes of the copies of a row, with the number of copies in it; a row of its own where one is larger."""
+    each = F.greatest(F.lit(1), F.expr(f"{portion} div __bytes"))
+    counted = rows.groupBy("__h", "__row", "__bytes").agg(F.count(F.lit(1)).alias("__all")).withColumn("__each", each)
+    parts = counted.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(__all - 1) div __each"))))
+    return parts.select("__h", "__row", "__part", F.least(F.col("__each"), F.col("__all") - F.col("__part") * F.col("__each")).cast("int").alias("__n"))
 
 
 def _offsets(counts: DataFrame) -> DataFrame:
@@ -37,20 +54,28 @@ def shard_rows(df: DataFrame, n_shards: int = 8, seed: int = 42, bucket_bytes: i
     """
     spark, names = df.sparkSession, [c for c in df.columns if c not in ("shard", "slot")]
     wide = [c for c, kind in df.dtypes if kind in ("string", "binary") and c in names]
-    volume = F.count(F.lit(1)) * row_bytes
-    for c in wide:
-        volume = volume + F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0))
-    total = df.agg(volume.alias("v")).first()["v"] or 0
-    buckets = max(4 * shuffle_partitions(spark), -(-total // bucket_bytes))
-
-    # Pass one: scatter. Equal texts have different ids and so part; the hash is of the whole row.
-    scattered = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"))
-    scattered = scattered.withColumn("__bucket", F.pmod(F.xxhash64("__row", F.lit(seed)), F.lit(buckets)))
-    grouped = scattered.groupBy("__bucket").agg(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 1), "__row").alias("h"), F.col("__row").alias("r"))).alias("__rows"))
+    volume = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in wide), F.lit(row_bytes).cast("long"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), volume.alias("__bytes"))
+    rows = rows.withColumn("__h", F.xxhash64(F.lit(seed + 1), "__row"))
+    copies = rows.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"), F.sum("__bytes").alias("__v"))
+    total, most = copies.agg(F.sum("__v"), F.max(F.when(F.col("__n") > 1, F.col("__v")))).first()
+    buckets = max(4 * shuffle_partitions(spark), -(-(total or 0) // bucket_bytes))
+
+    # Pass one: scatter. Equal texts have different ids and so part; the hash is of the whole row and the number of its portion.
+    portion = max(1, bucket_bytes // PORTIONS)
+    if (most or 0) > portion:
+        often = copies.where((F.col("__n") > 1) & (F.col("__v") > portion)).select("__h")
+        parted = _portions(rows.join(often, "__h", "left_semi"), portion).unionByName(_single(rows.join(often, "__h", "left_anti")))
+        repeated = lambda items: F.flatten(F.transform(items, lambda x: F.array_repeat(x, x["n"])))
+    else:
+        parted, repeated = _single(rows), lambda items: items
+    scattered = parted.withColumn("__bucket", F.pmod(F.xxhash64("__row", F.lit(seed), "__part"), F.lit(buckets)))
+    item = F.struct(F.col("__h").alias("h"), F.col("__row").alias("r"), F.col("__n").alias("n"))
+    grouped = scattered.groupBy("__bucket").agg(F.collect_list(item).alias("__rows"))
     # Pass two: sorted first, so that the Fisher-Yates shuffle starts from the same order in every attempt of a task.
     # Buckets too are in a fixed order within a task, as they draw from one seeded generator in turn.
-    shuffled = grouped.sortWithinPartitions("__bucket").select("__bucket", F.shuffle(F.sort_array("__rows"), seed).alias("__rows"))
-    starts = _offsets(scattered.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")))
+    shuffled = grouped.sortWithinPartitions("__bucket").select("__bucket", F.shuffle(repeated(F.sort_array("__rows")), seed).alias("__rows"))
+    starts = _offsets(scattered.groupBy("__bucket").agg(F.sum("__n").alias("__n")))
     dealt = shuffled.join(starts, "__bucket").select("__start", F.posexplode("__rows").alias("__at", "__item"))
     place = F.col("__start") + F.col("__at")
     return dealt.select(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meridian.llm import bpe, byte_bpe, byte_dedup, language, media, merkle, mixing, periodic, sharding, simhash, substring_dedup, topk, toxicity
+from meridian.sources import scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, score string, kept long, repeats string"
 LONG = " ".join(f"word{i % 97} übung{i}" for i in range(20_000))
@@ -187,6 +188,33 @@ def test_sharding(docs, empty):
     assert sharding.shard_rows(empty, 5).count() == 0
 
 
+def test_sharding_of_copies(spark):
+    """A third of 150,000 rows are one row, another is so long that each copy is a portion: no bucket holds more than its size, and none is lost."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit("the same row")).when(F.col("id") < 60, F.lit("y" * 5000)).otherwise(F.concat(F.lit("row "), F.col("id").cast("string")))
+    rows = spark.range(150_000).select(hot.alias("text"), F.when(F.col("id") % 3 == 0, None).otherwise(F.when(F.col("id") < 60, 1.5).otherwise(F.col("id") / 7)).alias("x"))
+    deal = lambda size: sharding.shard_rows(rows, 7, bucket_bytes=size).cache()
+    got = deal(32 << 10)
+    count = lambda df: {tuple(r)[:2]: r["count"] for r in df.groupBy("text", "x").count().collect()}
+    assert count(got) == count(rows)
+    per = {r["shard"]: (r["n"], r["least"], r["most"], r["each"]) for r in got.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("least"), F.max("slot").alias("most"), F.countDistinct("slot").alias("each")).collect()}
+    assert set(per) == set(range(7)) and all(n == each == most + 1 and least == 0 for n, least, most, each in per.values())
+    assert max(p[0] for p in per.values()) - min(p[0] for p in per.values()) <= 1
+    # Copies lie everywhere: each of 50 stretches of the global order has about a third of them.
+    spread = got.groupBy(((F.col("slot") * 7 + F.col("shard")) / 3000).cast("int").alias("part")).agg(F.avg((F.col("text") == "the same row").cast("int")).alias("share")).collect()
+    assert len(spread) == 50 and all(0.1 < r["share"] < 0.6 for r in spread)
+    again = sharding.shard_rows(rows.repartition(5), 7, bucket_bytes=32 << 10)
+    assert again.exceptAll(got).isEmpty()
+    parts = sharding._portions(rows.select(F.struct("text", "x").alias("__row"), F.lit(140).cast("long").alias("__bytes"), F.xxhash64("text", "x").alias("__h")), 4096)
+    assert parts.agg(F.max("__n"), F.sum("__n")).first()[:] == (29, 150_000)
+
+
+def test_scratch_is_cleaned(spark, docs):
+    scratch.clean(spark)
+    components = simhash.components(simhash.materialise(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"), "pairs"))
+    assert components.count() == 2
+    assert scratch.clean(spark) > 1 and scratch.clean(spark) == 0
+
+
 def test_manifest(docs, empty):
     """Nulls, equal rows, a null order and a null group; clashing names are replaced."""
     df = docs.withColumns({"root": F.lit(1), "left": F.lit(2)})
