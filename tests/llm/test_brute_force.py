@@ -221,6 +221,21 @@ def test_topk_stops_reading():
     assert flat.best(np.array([1, 1]), 3, -1)[0].tolist() == [0, 1, 2] and flat.read == 4000
 
 
+def test_topk_of_a_block():
+    """Queries that read together have the results that each has alone: zero, one-sided and huge ones, with ties, own rows twice, and fewer rows than k."""
+    rng = np.random.default_rng(8)
+    for n, most in ((900, 40), (900, 1 << 40), (6, 40)):
+        x = rng.integers(-most, most, (n, 5))
+        x[n // 2 :] = x[: n - n // 2]
+        lists = topk.Lists(x, np.arange(n) // 3 * 3)
+        asked = np.concatenate([x[:40], np.abs(x[:5]), np.zeros((1, 5), np.int64)])
+        own = np.append(np.arange(len(asked) - 1) * 3, -1)
+        for q, i, (ids, scores) in zip(asked, own, lists.best_of(asked, 10, own), strict=True):
+            exact = x.astype(object) @ q.astype(object)
+            every = sorted((-int(s), int(j)) for j, s in zip(lists.ids, exact, strict=True) if j != i)[:10]
+            assert [(-int(s), int(j)) for j, s in zip(ids, scores, strict=True)] == every
+
+
 def test_topk_beyond_64_bits(spark):
     rows = [(0, [1e300, 1.0]), (1, [1e300, 1.0]), (2, [-1e300, 0.0]), (3, [2.0, 1.0])]
     vectors = topk.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
