@@ -4,12 +4,15 @@ import datetime
 import math
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from meridian.functions import units
 from meridian.operators import climate, ensemble, grid, packed, temporal
+from meridian.plans import cube_queries  # noqa: F401  (it registers its queries)
+from meridian.plans.fixtures import ORACLE, QUERIES
 from meridian.sources import catalogue, manifest, scratch, tables
 
 DAY = datetime.date
@@ -82,6 +85,36 @@ def test_packed_edges(spark):
         packed.pack_years(rows.unionAll(rows), 0.01).collect()
 
 
+def test_packed_wide_keeps_values_beyond_16_bits(spark):
+    """400, the number that marks a missing value and 1e9 are kept, and only their years are wide."""
+    rows = spark.createDataFrame([(k, 0, DAY(2001, 1, 1 + i), v) for k, vs in enumerate([(1.0, 400.0, None), (-327.67, 2.0), (1e9, -1.0), (327.67, -327.68)]) for i, v in enumerate(vs)], "lat_i int, lon_i int, date date, value double")
+    path = scratch.path(spark, "cube")
+    tables.write(packed.pack_years(rows, 0.01, wide=True), path, ["year"])
+    cube = tables.read(spark, path)
+    assert {r["lat_i"]: r["wide"] is not None for r in cube.collect()} == {0: True, 1: True, 2: True, 3: False}
+    want = {(r["lat_i"], r["date"]): r["value"] for r in rows.collect() if r["value"] is not None}
+    assert values(packed.days(cube, 0.01).where("value is not null"), "lat_i", "date") == pytest.approx(want, rel=1e-12)
+    for how, want in (("max", (400, 2, 1e9, 327.67)), ("min", (1, -327.67, -1, -327.68)), ("sum", (401, -325.67, 1e9 - 1, -0.01)), ("mean", (200.5, -162.835, (1e9 - 1) / 2, -0.005))):
+        assert values(packed.annual(cube, how, 0.01), "lat_i") == pytest.approx({(k,): v for k, v in enumerate(want)}, rel=1e-12)
+    assert {r["lat_i"]: r["days"] for r in packed.annual_days(cube, lambda v: v > 300, 0.01).collect()} == {0: 1, 1: 0, 2: 1, 3: 1}
+    knots = spark.createDataFrame([(0.0, 0.0), (1e9, 1.0)], "temperature double, suitability double")
+    assert values(packed.curve_sum(cube, knots, 0.01), "lat_i")[2,] == pytest.approx(1.0)
+    both = packed.combine(cube, cube, units.magnitude, (0.01,) * 3)
+    assert values(packed.annual(both, "max", 0.01), "lat_i") == pytest.approx({(0,): 565.69, (1,): 463.4, (2,): 1414213562.37, (3,): 463.41}, rel=1e-12)
+
+
+def test_packed_wind_speed_of_large_sums(spark, tmp_path):
+    """5,000 lines a day, whose discounts add to more than 16 bits hold at 0.01: the query has what its SQL has."""
+    lines = spark.range(10_000).selectExpr("0L as l_suppkey", "timestamp(date_add(date'2001-01-01', int(id % 2))) as l_shipdate", "double(310 + id % 5) as l_quantity", "0.1D as l_discount")
+    for name, df in (("lineitem", lines), ("supplier", spark.sql("select 0L as s_suppkey, 7 as s_nationkey"))):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    con = duckdb.connect()
+    for name in ("lineitem", "supplier"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.sql(ORACLE["packed_wind_speed"]).fetchall()
+    assert want[0][-1] > 5000 and [tuple(r) for r in QUERIES["packed_wind_speed"](spark, str(tmp_path)).collect()] == want
+
+
 def test_lines_with_gaps_are_as_null_values(spark):
     """A source that leaves out its missing places, and one that has them as null."""
     rng = np.random.default_rng(2)
