@@ -1,12 +1,16 @@
 """Polygons by tiles, mosaics, systems of coordinates, trees and numbers in order."""
 
 import math
+import os
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from meridian.operators import hierarchy, order, spatial, tiles
+from meridian.plans import cube_queries  # noqa: F401  (it registers its queries)
+from meridian.plans.fixtures import QUERIES
 from meridian.sources import scratch
 
 
@@ -71,6 +75,26 @@ def test_mosaic(spark):
         tiles.mosaic(pixels, index, (1.0, 8.0, 5.5, 11.0), 1.0)
 
 
+def test_cut_into_tiles(spark):
+    """Overlapping tiles, tiles across blocks and over the raster's edge or beyond it, and pixels left of the origin: the same as a test of every tile."""
+    rng = np.random.default_rng(3)
+    cells = {(r, c): float(rng.random()) for r in range(-5, 40) for c in range(-7, 50) if rng.random() < 0.9}
+    raster = spark.createDataFrame([(*k, v) for k, v in cells.items()], "row int, col int, value double")
+    corners = [(f"{k}", *map(int, rng.integers(-30, 60, 2)), *map(int, rng.integers(1, 40, 2))) for k in range(60)]
+    index = spark.createDataFrame([(t, 4 + left * 0.5, 8 - top * 0.5, 0.5, rows, cols) for t, left, top, rows, cols in corners], "tile string, x0 double, y0 double, step double, rows int, cols int")
+    want = sorted((t, r - top, c - left, v) for t, left, top, rows, cols in corners for (r, c), v in cells.items() if 0 <= r - top < rows and 0 <= c - left < cols)
+    for block in (1, 8, 16, 100):
+        assert sorted(map(tuple, tiles.cut(raster, index, 4.0, 8.0, 0.5, block).collect())) == want
+    with pytest.raises(Exception, match="off the raster"):
+        tiles.cut(raster, index, 4.25, 8.0, 0.5).collect()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the generated tables")
+def test_tile_mosaic_tests_no_pixel_with_every_tile(spark):
+    plan = QUERIES["tile_mosaic"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"(NestedLoopJoin|CartesianProduct).*\brow#", plan)
+
+
 def test_area_after_a_round_trip(spark):
     edges = spark.createDataFrame(polygon(1, [(10, 10), (20, 10), (20, 30), (10, 30)]) + polygon(2, [(170, -10), (200, -10), (200, 10), (170, 10)]) + polygon(3, [(5, 5), (6, 6), (5, 5)]), EDGES)
     got = {r["location_id"]: r for r in spatial.round_trip_change(edges, "ESRI:54034").collect()}
