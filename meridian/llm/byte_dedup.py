@@ -33,6 +33,8 @@ from meridian.llm.suffix_array import permuted_lcp, suffix_array
 
 #: Bytes of an anchor.
 ANCHOR = 20
+#: Shards of text whose anchors and pieces meet in one bucket, where they are worked on shard by shard.
+BUCKET = 16
 #: A byte that UTF-8 never has, between the pieces of a shard.
 BETWEEN = 0xFF
 ANCHORS = "__bucket long, __batch long, n int, hashes binary, shared binary, pieces binary"
@@ -236,12 +238,18 @@ def _shard(key: tuple, table: pa.Table, length: int, shard_bytes: int) -> pa.Tab
         mine = mine[np.lexsort((ids[mine], h[mine]))]
         new = _different(data, at[mine], size[mine], h[mine])
         heads = mine[new]
-        span = size[heads] + 1
-        start = np.cumsum(span) - span
-        string = np.full(int(span.sum()), BETWEEN, np.uint8)
-        inside = np.arange(int(size[heads].sum())) - np.repeat(np.cumsum(size[heads]) - size[heads], size[heads])
-        string[inside + np.repeat(start, size[heads])] = data[inside + np.repeat(at[heads], size[heads])]
-        least = _least_ids(string, start, width[heads], ids[heads], length)
+        least = np.repeat(ids[heads], width[heads])
+        # Equal windows have one anchor: where only one piece has it, its windows are in no other piece.
+        _, anchor, pieces = np.unique(part[heads], return_inverse=True, return_counts=True)
+        several = pieces[anchor] > 1
+        if several.any():
+            some = heads[several]
+            span = size[some] + 1
+            start = np.cumsum(span) - span
+            string = np.full(int(span.sum()), BETWEEN, np.uint8)
+            inside = np.arange(int(size[some].sum())) - np.repeat(np.cumsum(size[some]) - size[some], size[some])
+            string[inside + np.repeat(start, size[some])] = data[inside + np.repeat(at[some], size[some])]
+            least[np.repeat(several, width[heads])] = _least_ids(string, start, width[some], ids[some], length)
         # For each piece sent, which of its windows start in a document with a smaller id, as bits.
         which = np.cumsum(new) - 1
         first = np.cumsum(width[heads]) - width[heads]
@@ -290,7 +298,8 @@ def remove_repeated_bytes(
         raise ValueError(f"length must be {ANCHOR + 1} to {ANCHOR + 31}")
     keep = tuple(c for c in keep if c not in COUNTS)
     rows, total = in_batches(docs.select(*dict.fromkeys(["doc_id", "text", *keep])), batch_bytes)
-    n_buckets = int(max(shuffle_partitions(docs.sparkSession), total // (2 * shard_bytes)))
+    # Each batch writes to each bucket, so messages grow with the square of the table; buckets as large as a task can hold keep them few.
+    n_buckets = int(max(shuffle_partitions(docs.sparkSession), total // (BUCKET * shard_bytes)))
     hot = max(1, hot_bytes // (2 * length - ANCHOR))
     by_batch = rows.groupBy("__batch")
     live = by_batch.applyInArrow(lambda key, t: _anchors(key, t, length, n_buckets), ANCHORS).groupBy("__bucket").applyInArrow(lambda key, t: _live(key, t, hot), LIVE)

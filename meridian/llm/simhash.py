@@ -15,6 +15,7 @@ result. Texts are taken whole, of any length.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meridian.llm.batches import mixed, word_spans
@@ -35,6 +36,8 @@ SLICE = 1 << 20
 BLOCK, RADIUS, GENERATOR = 23, 3, 0b110001110101
 #: Points of an anchor that one task compares with each other.
 MEET = 4096
+#: Pairs of points of one anchor that are compared in one task, where only sizes near each other are.
+PAIRS = 1 << 26
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: The bits of each byte as the bytes of a number, so that up to 255 of them add up without carry.
@@ -209,9 +212,14 @@ def _replicate(batches: Iterator[pa.RecordBatch], blocks: int, starts: tuple[int
                 yield pa.record_batch([pa.array(anchor * len(starts) + k), *[c.take(pa.array(at)) for c in part.columns]], ["anchor", *part.schema.names])
 
 
-def meetings(points: DataFrame, blocks: int, starts: tuple[int, ...] = (0,)) -> DataFrame:
-    """Each point at each of its anchors, with the square block (one, two) in which it is compared there: (anchor, one, two, ...)."""
+def meetings(points: DataFrame, blocks: int, starts: tuple[int, ...] = (0,), least: float | None = None) -> DataFrame:
+    """Each point at each of its anchors, with the square block (one, two) in which it is compared there: (anchor, one, two, ...).
+
+    ``least``: only points whose column ``size`` is at least this share of the other's are compared; see ``_sized``.
+    """
     spread = points.mapInArrow(lambda it: _replicate(it, blocks, starts), "anchor long, " + ", ".join(f"{c} {kind}" for c, kind in points.dtypes))
+    if least is not None:
+        return _sized(spread, least)
     # An anchor with more points than one task compares is cut into stripes, and each point goes to every pair with its own stripe.
     crowded = spread.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MEET).select("anchor", F.ceil(F.col("n") / (MEET / 2)).alias("__stripes"))
     # Documents with one fingerprint are dealt to different stripes, too.
@@ -220,12 +228,42 @@ def meetings(points: DataFrame, blocks: int, starts: tuple[int, ...] = (0,)) ->
 
 def _striped(rows: DataFrame, key: str, crowded: DataFrame, by: list[str]) -> DataFrame:
     """``rows`` in the square blocks (one, two) of their key; ``crowded``: keys that are cut, and in how many ``__stripes``, by a hash of ``by``."""
-    names = [c for c in rows.columns if c != key]
-    spread = rows.join(crowded, key, "left")
+    return _blocks(rows.join(crowded, key, "left"), by).select(key, "one", "two", *[c for c in rows.columns if c != key])
+
+
+def _blocks(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``rows``, once for each pair of stripes (one, two) with their own; ``__stripes``: how many there are, or null."""
     mine = F.pmod(F.xxhash64(*by, F.lit(3)), F.col("__stripes"))
     pairs = F.when(F.col("__stripes").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("__stripes") - 1))
-    spread = spread.withColumn("__mine", F.coalesce(mine, F.lit(0))).withColumn("__other", F.explode(pairs))
-    return spread.select(key, F.least("__mine", "__other").alias("one"), F.greatest("__mine", "__other").alias("two"), *names)
+    spread = rows.withColumn("__mine", F.coalesce(mine, F.lit(0))).withColumn("__other", F.explode(pairs))
+    return spread.select(F.least("__mine", "__other").alias("one"), F.greatest("__mine", "__other").alias("two"), *rows.columns)
+
+
+def _sized(spread: DataFrame, least: float) -> DataFrame:
+    """Points at their anchors (anchor, class, one, two, own, ...), for comparing those with sizes near each other.
+
+    An anchor with more than PAIRS of these is cut into classes of size. Sizes that go together lie in one class or in neighbouring ones, so
+    a point goes to its class, where it is ``own``, and to the one below. Only a class that is too large by itself is cut into stripes, and
+    each point goes to every pair with its own. So a point goes to twice its anchors as the table grows, not to more and more stripes.
+    """
+    # A class is a little wider than it has to be, so that rounding can't take a pair two classes apart.
+    sized = spread.withColumn("__class", F.floor(F.log("size") / math.log(1.01 / least)))
+    full = spread.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * F.col("n") > 2 * PAIRS).select("anchor")
+    counts = sized.join(F.broadcast(full), "anchor", "left_semi").groupBy("anchor", "__class").agg(F.count(F.lit(1)).alias("n"))
+    of_anchor = Window.partitionBy("anchor").orderBy("__class").rangeBetween(1, 1)
+    counts = counts.withColumn("__above", F.coalesce(F.first("n").over(of_anchor), F.lit(0)))
+    work = counts.withColumn("__pairs", F.col("n") * (F.col("n") / 2 + F.col("__above")))
+    stripes = F.when(F.col("__pairs") > PAIRS, F.ceil((F.col("n") + F.col("__above")) / (MEET / 2)))
+    classes = F.map_from_entries(F.collect_list(F.struct("__class", stripes.alias("s"))))
+    # A row for an anchor at most, of which a block has 4,096.
+    crowded = F.broadcast(work.groupBy("anchor").agg(F.sum("__pairs").alias("__pairs"), classes.alias("__cut")).where(F.col("__pairs") > PAIRS).drop("__pairs"))
+    rows = sized.join(crowded, "anchor", "left")
+    both = F.array(F.col("__class"), F.col("__class") - 1)
+    rows = rows.withColumn("class", F.explode(F.when(F.col("__cut").isNull(), F.array(F.lit(-2).cast("long"))).otherwise(both)))
+    rows = rows.withColumn("own", F.col("__cut").isNull() | (F.col("class") == F.col("__class"))).withColumn("__stripes", F.try_element_at("__cut", "class"))
+    # Where no point has the class below, no pair is looked for there.
+    rows = rows.where(F.col("own") | F.map_contains_key("__cut", F.col("class")))
+    return _blocks(rows, [c for c in spread.columns if c in ("fp", "doc_id")]).select("anchor", "class", "one", "two", "own", *[c for c in spread.columns if c != "anchor"])
 
 
 def _links(table: pa.Table, most: int) -> pa.Table:
@@ -301,26 +339,35 @@ def _forest(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
         label = parent[label]
 
 
-def _close(table: pa.Table, most: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs of documents whose fingerprints differ in at most ``most`` bits, in blocks of 256 rows: places a < b, and the bits.
+def _by_size(table: pa.Table) -> pa.Table:
+    return table.sort_by([("size", "ascending"), ("doc_id", "ascending")])
+
+
+def _close(table: pa.Table, most: int, least: float, own: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of documents whose fingerprints differ in at most ``most`` bits, in blocks of 64 rows: places a < b, and the bits.
 
-    A pair of sets whose sizes rule out a similarity of ``least`` is left out.
+    The table is sorted by size. A pair of sets whose sizes rule out a similarity of ``least`` is left out, and such sizes are not gone
+    through. ``own``: the first of a pair is one of so many first rows.
     """
     lanes = [table.column(c).to_numpy().view(np.uint64) for c in ("fp", "fp2")]
     size = table.column("size").to_numpy()
-    for lo in range(0, table.num_rows, 256):
-        near = sum(np.bitwise_count(x[lo : lo + 256, None] ^ x[None, lo:]) for x in lanes)
+    reach = np.searchsorted(size, size / least + 1, "right")
+    own = table.num_rows if own is None else own
+    for lo in range(0, own, 64):
+        hi = min(lo + 64, own)
+        near = sum(np.bitwise_count(x[lo:hi, None] ^ x[None, lo : reach[hi - 1]]) for x in lanes)
         i, j = np.nonzero(near <= most)
-        some = (i < j) & (np.minimum(size[i + lo], size[j + lo]) >= least * np.maximum(size[i + lo], size[j + lo]))
+        some = (i < j) & (size[i + lo] >= least * size[j + lo])
         i, j = i[some], j[some]
         yield i + lo, j + lo, near[i, j]
 
 
 def _candidates(table: pa.Table, most: int, least: float) -> pa.Table:
     """The closest links of the documents that meet at an anchor: a minimum spanning forest by differing bits."""
+    table = _by_size(table)  # a class has its own rows first
     ids, n = table.column("doc_id").to_numpy(), table.num_rows
     a = b = w = np.zeros(0, np.int64)
-    for i, j, bits in _close(table, most, least):
+    for i, j, bits in _close(table, most, least, pc.sum(table.column("own")).as_py()):
         a, b, w = np.concatenate([a, i]), np.concatenate([b, j]), np.concatenate([w, bits])
         if len(a) > 4 * n:
             keep = _forest(a, b, w, n)
@@ -332,6 +379,7 @@ def _candidates(table: pa.Table, most: int, least: float) -> pa.Table:
 
 def _settle(table: pa.Table, most: int, least: float) -> pa.Table:
     """Links of a family's documents that join different roots. Each pair of different roots is tested, and a link that joins them is enough."""
+    table = _by_size(table)
     ids, size = table.column("doc_id").to_numpy(), table.column("size").to_numpy()
     _, label = np.unique(table.column("root").to_numpy(), return_inverse=True)
     hashes = np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint64)
@@ -395,8 +443,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     prints = materialise(fingerprints(rows, words, wide=True).where("size > 0"), "wide-fingerprints")
     points = prints.groupBy("same").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("fp", "fp2", "size")]).drop("same")
     points = materialise(points, "points")
-    met = meetings(points, 1, BLOCK_STARTS)
-    links = met.groupBy("anchor", "one", "two").applyInArrow(lambda t: _candidates(t, CANDIDATE_BITS, similarity), "a long, b long").distinct()
+    met = meetings(points, 1, BLOCK_STARTS, similarity)
+    links = met.groupBy("anchor", "class", "one", "two").applyInArrow(lambda t: _candidates(t, CANDIDATE_BITS, similarity), "a long, b long").distinct()
     links = materialise(links, "candidates")
     nodes = links.select(F.col("a").alias("doc_id")).unionAll(links.select("b")).distinct()
     sets = rows.join(nodes, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: _sets(it, words), "doc_id long, shingles binary")

@@ -9,6 +9,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -531,3 +532,52 @@ def test_byte_bpe_by_merges():
         byte_bpe.Ranks({bytes([b]): b for b in range(255)}, r".")
     with pytest.raises(KeyError):
         words.decode(np.array([999]), np.array([0, 1]))
+
+
+def _points(sizes, rng):
+    flips = rng.integers(0, 64, (len(sizes), 12))
+    fp = np.bitwise_xor.reduce(np.uint64(1) << flips.astype(np.uint64), axis=1)
+    return pa.table({"doc_id": np.arange(len(sizes)), "fp": fp.view(np.int64), "fp2": np.zeros(len(sizes), np.int64), "size": sizes, "own": np.ones(len(sizes), bool)})
+
+
+def test_near_copies_pass_over_other_sizes(monkeypatch):
+    """All close pairs of sizes near each other are found, and most pairs of other sizes are not gone through."""
+    rng, seen, count = np.random.default_rng(3), [], np.bitwise_count
+    table = _points(np.sort((10 ** rng.uniform(0, 4, 2000)).astype(np.int64)), rng)
+    monkeypatch.setattr(simhash.np, "bitwise_count", lambda x: seen.append(x.size) or count(x))
+    found = {(i, j) for a, b, _ in simhash._close(table, 16, 0.8) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
+    fp, size = table.column("fp").to_numpy().view(np.uint64), table.column("size").to_numpy()
+    near = (count(fp[:, None] ^ fp) <= 16) & (size[:, None] >= 0.8 * size)
+    assert found == {(i, j) for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1))), strict=True)} and found
+    assert sum(seen) / 2 < 2000 * 2000 / 6
+
+
+def test_near_copies_at_crowded_anchors(spark, monkeypatch):
+    """An anchor with too many pairs is cut by size: each point goes to two classes, and to stripes only in a class that is too large itself."""
+    sizes = [1 + k % 40 * (k % 40) for k in range(1200)] + [5000] * 300
+    rows = [(k, 0, 0, size) for k, size in enumerate(sizes)]
+    monkeypatch.setattr(simhash, "PAIRS", 20_000)
+    monkeypatch.setattr(simhash, "MEET", 256)
+    points = spark.createDataFrame(rows, "doc_id long, fp long, fp2 long, size long")
+    met = simhash.meetings(points, 1, (0,), 0.8).where("anchor = 0").collect()
+    groups = {}
+    for r in met:
+        groups.setdefault((r["class"], r["one"], r["two"]), []).append((r["size"], r["doc_id"], r["own"]))
+    assert max(map(len, groups.values())) < 400 and len(met) < 2 * 1200 + 300 * 6
+    want = {(i, j) for i, x in enumerate(sizes) for j, y in enumerate(sizes) if (x, i) < (y, j) and x >= 0.8 * y}
+    pairs = {(i, j) for rows in groups.values() for x, i, own in rows if own for y, j, _ in rows if (x, i) < (y, j)}
+    assert want <= pairs
+
+
+def test_byte_dedup_sorts_only_what_meets(monkeypatch):
+    """A piece whose anchor no other piece of the shard has is settled without a suffix array."""
+    rng, sorted_bytes, array = np.random.default_rng(4), [], byte_dedup.suffix_array
+    monkeypatch.setattr(byte_dedup, "suffix_array", lambda s: sorted_bytes.append(len(s)) or array(s))
+    texts = [rng.integers(97, 123, 60, np.uint8).tobytes() for _ in range(100)]
+    texts += [texts[0], texts[1][:52] + b"########"]  # a copy, and one with three windows of another
+    anchor = [*range(100), 0, 1]
+    row = (7, 0, 102, np.array(anchor, np.uint32).tobytes(), np.full(102, 10, np.uint8).tobytes(), b"".join(texts), byte_dedup.narrow(np.arange(102)), b"", np.arange(102, dtype=np.uint32).tobytes())
+    gone = byte_dedup._shard((pa.scalar(7),), byte_dedup.packed_table([row], byte_dedup.PIECES), 50, 1 << 20)
+    places, windows = (np.frombuffer(gone.column(c)[0].as_py(), np.uint32).tolist() for c in ("places", "windows"))
+    assert dict(zip(places, windows, strict=True)) == {100: 0b11111111111, 101: 0b111}
+    assert sorted_bytes and max(sorted_bytes) == 2 * 61
